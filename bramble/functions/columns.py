@@ -46,3 +46,14 @@ def sparse_entries(df: DataFrame, features: str, *keep: str) -> DataFrame:
     return df.select(*keep, F.explode(F.arrays_zip(raw["indices"].alias("idx"),
                                                    raw["values"].alias("value"))).alias("_e")) \
         .select(*keep, F.col("_e.idx").alias("idx"), F.col("_e.value").alias("value"))
+
+
+def dot(a: str | Column, b: str | Column) -> Column:
+    """Inner product of two numeric arrays."""
+    return F.aggregate(F.zip_with(col(a), col(b), lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
+
+
+def distance(a: str | Column, b: str | Column) -> Column:
+    """Euclidean distance of two numeric arrays."""
+    return F.sqrt(F.aggregate(F.zip_with(col(a), col(b), lambda x, y: (x - y) * (x - y)),
+                              F.lit(0.0), lambda s, v: s + v))
