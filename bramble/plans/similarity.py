@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bramble.functions.columns import big, r6
+from bramble.functions import text
+from bramble.functions.columns import as_vector, big, distance, dot, r6
+from bramble.learners.knn import KNNClassifier, KNNRegression
 from bramble.operators import neighbours as nb
+from bramble.operators import ranking, setjoin
+from bramble.plans.aggregation import ratings
 from bramble.plans.registry import Tables, plan
 from bramble.plans.registry import r6 as sql6
 
@@ -41,3 +47,221 @@ def knn_join_exact(t: Tables) -> DataFrame:
 def knn_join_radius(t: Tables) -> DataFrame:
     return _neighbours(t, max_distance=1.1).select(
         "qid", big("rank").alias("rank"), "nid", r6("dist").alias("dist"))
+
+
+@plan("C4 C6")
+def knn_join_approximate(t: Tables) -> DataFrame:
+    """Approximate routing with an estimated margin; a subset of cells is searched."""
+    e = t.embeddings
+    tau = nb.estimate_tau(e, id_col="vec_id", features="embedding")
+    return _neighbours(t, num_pivots=16, tau=tau).select("qid", big("rank").alias("rank"), "nid",
+                                                         r6("dist").alias("dist"))
+
+
+_VOTES = _PAIRS + """, w AS (SELECT near.*, {weight} AS w FROM near JOIN e ON e.vec_id = nid),
+    v AS (SELECT qid, nlabel, sum(w) AS votes FROM w GROUP BY ALL),
+    z AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY votes DESC, nlabel) AS o,
+                 sum(votes) OVER (PARTITION BY qid) AS total FROM v)
+    SELECT qid AS vec_id, nlabel::DOUBLE AS prediction, {share} AS probability FROM z WHERE o = 1
+"""
+
+
+def _votes_sql(weight: str) -> str:
+    return _VOTES.format(weight=weight, share=sql6("votes / total"))
+
+
+def _classified(t: Tables, **options) -> DataFrame:
+    rows = t.embeddings.select("vec_id", "label", F.col("embedding").alias("features"),
+                               (1 + F.round(F.abs(F.col("embedding")[0].cast("double")), 6)).alias("w"))
+    model = KNNClassifier(k=K, idCol="vec_id", excludeSelf=True, **options).fit(rows)
+    top = F.array_max(vector_to_array("probability"))
+    return model.transform(rows).select("vec_id", "prediction", r6(top).alias("probability"))
+
+
+@plan("D8 I12 Q4 C2", oracle=_votes_sql("1.0"))
+def knn_classify(t: Tables) -> DataFrame:
+    return _classified(t)
+
+
+@plan("D8 I12", oracle=_votes_sql("1 + round(abs(e.v[1]), 6)"))
+def knn_classify_weighted(t: Tables) -> DataFrame:
+    return _classified(t, weightCol="w")
+
+
+@plan("N3 I12", oracle=_VOTES.format(weight="1.0", share="0").replace(
+    "SELECT qid AS vec_id", ", p AS (SELECT qid AS vec_id") + """)
+    SELECT label::BIGINT AS label, count(*) AS n, count(*) FILTER (prediction = label) AS hits
+    FROM p JOIN embeddings USING (vec_id) GROUP BY label""")
+def knn_accuracy_by_label(t: Tables) -> DataFrame:
+    scored = _classified(t).join(t.embeddings.select("vec_id", "label"), "vec_id")
+    return scored.groupBy(big("label").alias("label")).agg(
+        F.count("*").alias("n"), F.count_if(F.col("prediction") == F.col("label")).alias("hits"))
+
+
+@plan("D9 J11", oracle=_PAIRS + f"""
+    SELECT qid AS vec_id, {sql6('sum(nlabel * (1 + round(abs(e.v[1]), 6))) / sum(1 + round(abs(e.v[1]), 6))')} AS prediction
+    FROM near JOIN e ON e.vec_id = nid GROUP BY qid""")
+def knn_regress(t: Tables) -> DataFrame:
+    rows = t.embeddings.select("vec_id", "label", F.col("embedding").alias("features"),
+                               (1 + F.round(F.abs(F.col("embedding")[0].cast("double")), 6)).alias("w"))
+    model = KNNRegression(k=K, idCol="vec_id", excludeSelf=True, weightCol="w").fit(rows)
+    return model.transform(rows).select("vec_id", r6("prediction").alias("prediction"))
+
+
+@plan("C11", oracle="""
+    WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+    c AS (SELECT list(m ORDER BY i) AS m FROM (SELECT i, avg(v[i]) AS m FROM e,
+             (SELECT unnest(range(1, 65)) AS i) GROUP BY i)),
+    n AS (SELECT label FROM e, c ORDER BY list_distance(v, m), vec_id LIMIT 5)
+    SELECT round(avg(label), 6) AS prediction FROM n""")
+def knn_predict_vector(t: Tables) -> DataFrame:
+    """Prediction for one vector, the mean of all."""
+    rows = t.embeddings.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("features"))
+    centre = [r.m for r in rows.select(F.posexplode("features").alias("i", "v")).groupBy("i")
+              .agg(F.avg("v").alias("m")).orderBy("i").collect()]
+    value = KNNRegression(k=K, idCol="vec_id").fit(rows).predict(centre)
+    return t.spark.createDataFrame([(value,)], "prediction double").select(r6("prediction").alias("prediction"))
+
+
+@plan("D4", oracle=_PAIRS + f"""
+    SELECT qlabel::BIGINT AS label, count(*) AS n, {sql6('avg(d)')} AS mean_distance FROM (
+        SELECT qid, qlabel, min(dist) AS d FROM pairs WHERE dist > 0 GROUP BY ALL) GROUP BY qlabel""")
+def nn_mean_distance(t: Tables) -> DataFrame:
+    e = t.embeddings
+    near = nb.knn_join(e, e, 1, base_id="vec_id", query_id="vec_id", features="embedding",
+                       exclude_identical=True, num_pivots=8)
+    return near.join(e.select(F.col("vec_id").alias("qid"), "label"), "qid") \
+        .groupBy(big("label").alias("label")) \
+        .agg(F.count("*").alias("n"), r6(F.avg("dist")).alias("mean_distance"))
+
+
+@plan("D15 B29")
+def routing_margin(t: Tables) -> DataFrame:
+    tau = nb.estimate_tau(t.embeddings, id_col="vec_id", features="embedding")
+    return t.spark.createDataFrame([(tau,)], "tau double")
+
+
+@plan("C7", oracle=f"""
+    WITH e AS (SELECT min(vec_id) AS id, count(*) AS n, embedding::DOUBLE[] AS v FROM embeddings GROUP BY embedding)
+    SELECT a.id AS a_id, b.id AS b_id, {sql6('list_distance(a.v, b.v)')} AS dist, a.n AS a_copies, b.n AS b_copies
+    FROM e a JOIN e b ON a.id < b.id WHERE list_distance(a.v, b.v) < 1.15""")
+def euclid_range_join(t: Tables) -> DataFrame:
+    e = t.embeddings
+    pairs = nb.range_join(e, e, 1.15, a_id="vec_id", b_id="vec_id", features="embedding", num_pivots=16)
+    return pairs.where("a_id < b_id").withColumn("dist", r6("dist"))
+
+
+def _shingles(t: Tables) -> DataFrame:
+    return text.ngrams(text.tokens(t.documents.select("doc_id", "text")))
+
+
+@plan("C8", oracle=r"""
+    WITH w AS (SELECT doc_id, string_split_regex(lower(text), '[ \t\n\x0B\f\r]') AS w FROM documents),
+    g AS (SELECT doc_id, list_sort(list_distinct(list_transform(list_zip(w[:-2], w[2:]),
+              lambda x: x[1] || ' ' || x[2]))) AS g FROM w WHERE len(w) > 1),
+    s AS (SELECT min(doc_id) AS id, count(*) AS n, g, len(g) AS size FROM g GROUP BY g),
+    p AS (SELECT id, n, size, unnest(g) AS item FROM s),
+    c AS (SELECT a.id AS a_id, b.id AS b_id, count(*) AS overlap, any_value(a.size) AS sa, any_value(b.size) AS sb,
+                 any_value(a.n) AS a_copies, any_value(b.n) AS b_copies
+          FROM p a JOIN p b ON a.item = b.item AND a.id < b.id GROUP BY ALL)
+    SELECT a_id, b_id, overlap, round(1 - overlap / (sa + sb - overlap), 6) AS distance, a_copies, b_copies
+    FROM c WHERE 1 - overlap / (sa + sb - overlap) < 0.6""")
+def jaccard_join(t: Tables) -> DataFrame:
+    return setjoin.jaccard_join(_shingles(t), "doc_id", "ngrams", 0.6) \
+        .withColumn("overlap", big("overlap")).withColumn("distance", r6("distance"))
+
+
+@plan("C8")
+def lsh_jaccard_join(t: Tables) -> DataFrame:
+    return setjoin.minhash_join(_shingles(t), "doc_id", "ngrams", 0.6) \
+        .withColumn("distance", r6("distance"))
+
+
+def _projection_lsh(t: Tables):
+    rows = nb.distinct_vectors(t.embeddings, "vec_id", "embedding") \
+        .select(F.col("nid").alias("id"), as_vector("vec").alias("features"))
+    lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=0.5,
+                                      numHashTables=3, seed=12345)
+    return lsh.fit(rows), rows
+
+
+@plan("C7")
+def lsh_euclid_join(t: Tables) -> DataFrame:
+    model, rows = _projection_lsh(t)
+    return model.approxSimilarityJoin(rows, rows, 1.15, "dist") \
+        .select(F.col("datasetA.id").alias("a_id"), F.col("datasetB.id").alias("b_id"), r6("dist").alias("dist")) \
+        .where("a_id < b_id")
+
+
+@plan("C10")
+def lsh_signature(t: Tables) -> DataFrame:
+    model, rows = _projection_lsh(t)
+    return model.transform(rows).select("id", F.posexplode("hashes").alias("table", "h")) \
+        .select("id", "table", vector_to_array("h")[0].alias("bucket"))
+
+
+@plan("C9", oracle=f"""
+    WITH q AS (SELECT embedding::DOUBLE[] AS v FROM embeddings ORDER BY vec_id LIMIT 1)
+    SELECT vec_id, {sql6('list_distance(embedding::DOUBLE[], v)')} AS dist FROM embeddings, q
+    ORDER BY list_distance(embedding::DOUBLE[], v), vec_id LIMIT 10""")
+def nearest_to_key(t: Tables) -> DataFrame:
+    """The ten rows nearest to the row of the smallest key."""
+    e = t.embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    key = e.agg(F.min_by("v", "vec_id")).scalar()
+    return e.withColumn("q", key).select("vec_id", distance("v", "q").alias("dist")) \
+        .orderBy("dist", "vec_id").limit(10).withColumn("dist", r6("dist"))
+
+
+@plan("C9")
+def lsh_nearest_to_key(t: Tables) -> DataFrame:
+    model, rows = _projection_lsh(t)
+    key = rows.agg(F.min_by("features", "id")).first()[0]
+    return model.approxNearestNeighbors(rows, key, 10, distCol="dist").select("id", r6("dist").alias("dist"))
+
+
+_SCORES = """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+    s AS (SELECT a.vec_id AS user, a.label, b.vec_id AS item, list_dot_product(a.v, b.v) AS score FROM e a, e b),
+    r AS (SELECT *, row_number() OVER (PARTITION BY user ORDER BY score DESC, item) AS rank FROM s)
+"""
+
+
+def _top(t: Tables, users: DataFrame) -> DataFrame:
+    return ranking.top_scores(users, t.embeddings, K, user_id="vec_id", item_id="vec_id",
+                              user_factors="embedding", item_factors="embedding") \
+        .select("user", "item", big("rank").alias("rank"), r6("score").alias("score"))
+
+
+@plan("F2 M6", oracle=_SCORES + f"""
+    SELECT user, item, rank, {sql6('score')} AS score FROM r WHERE rank <= 5""")
+def top_n_scores(t: Tables) -> DataFrame:
+    return _top(t, t.embeddings)
+
+
+@plan("F3 M6", oracle=_SCORES + f"""
+    SELECT user, item, rank, {sql6('score')} AS score FROM r WHERE rank <= 5
+    AND user IN (SELECT min(vec_id) FROM e GROUP BY label)""")
+def top_n_subset(t: Tables) -> DataFrame:
+    first = t.embeddings.groupBy("label").agg(F.min("vec_id").alias("vec_id")).select("vec_id")
+    return _top(t, t.embeddings.join(first, "vec_id", "left_semi"))
+
+
+@plan("F4 M6", oracle=_SCORES + f"""
+    SELECT user, item, rank, {sql6('score')} AS score FROM r WHERE rank <= 5
+    AND user = (SELECT min(vec_id) FROM e)""")
+def top_n_one(t: Tables) -> DataFrame:
+    first = t.embeddings.agg(F.min("vec_id")).scalar()
+    return _top(t, t.embeddings.where(F.col("vec_id") == first))
+
+
+@plan("M3 M4", oracle=f"""
+    WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+    p AS (SELECT DISTINCT o_custkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+    SELECT o_custkey AS user, l_partkey AS item, {sql6('list_dot_product(a.v, b.v)')} AS score
+    FROM p JOIN e a ON a.vec_id = o_custkey JOIN e b ON b.vec_id = l_partkey""")
+def score_pairs(t: Tables) -> DataFrame:
+    """Score of every bought pair from given factors; pairs without factors are dropped."""
+    pairs = ratings(t).select("user", "item")
+    f = t.embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    return pairs.join(f.select(F.col("vec_id").alias("user"), F.col("v").alias("x")), "user") \
+        .join(f.select(F.col("vec_id").alias("item"), F.col("v").alias("y")), "item") \
+        .select("user", "item", r6(dot("x", "y")).alias("score"))
