@@ -1,4 +1,4 @@
 """Importing this package fills the plan registry."""
 
-from bramble.plans import aggregation, evaluation, features, preparation, similarity  # noqa: F401
+from bramble.plans import aggregation, closedform, evaluation, features, patterns, preparation, similarity, sources  # noqa: F401
 from bramble.plans.registry import PLANS, Plan, Tables  # noqa: F401

@@ -107,11 +107,9 @@ def word_vectors(t: Tables) -> DataFrame:
     docs = tx.without_stop_words(_docs(t))
     model = mf.Word2Vec(vectorSize=16, minCount=5, maxIter=1, seed=11, numPartitions=4,
                         inputCol="filtered", outputCol="v").fit(docs)
-    return model.findSynonyms("re", 10) if _has(model, "re") else model.getVectors().select("word").limit(10)
-
-
-def _has(model, word: str) -> bool:
-    return model.getVectors().where(F.col("word") == word).limit(1).count() == 1
+    common = docs.select(F.explode("filtered").alias("word")).groupBy("word").count() \
+        .orderBy(F.desc("count"), "word").first().word
+    return model.findSynonyms(common, 10)
 
 
 @plan("H8")

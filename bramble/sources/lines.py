@@ -18,6 +18,12 @@ def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataF
         .option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
+def write_lines(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
+    """One line per row of a single string column, in any charset Spark encodes."""
+    df.write.option("encoding", encoding).option("sep", "\u0001").option("quote", "") \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
 def read_tokens(spark: SparkSession, path: str, pattern: str = r"\s+") -> DataFrame:
     """Lines split into an array of tokens."""
     return read_lines(spark, path).select(F.split("value", pattern).alias("tokens"))
