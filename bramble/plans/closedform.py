@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import classification as mc
 from pyspark.ml import clustering as mk
 from pyspark.ml import feature as mf
@@ -241,13 +242,18 @@ def wssse(t: Tables) -> DataFrame:
 
 
 @plan("K3", oracle="""
-    SELECT round(avg(l_quantity), 4) AS m0, round(avg(l_linenumber), 4) AS m1, round(var_pop(l_quantity), 4) AS c00,
-           round(covar_pop(l_quantity, l_linenumber), 4) + 0.0::DOUBLE AS c01, round(var_pop(l_linenumber), 4) AS c11 FROM lineitem""")
-def mixture_of_one(t: Tables) -> DataFrame:
-    """A one-component mixture is the sample mean and covariance."""
-    model = mk.GaussianMixture(k=1, seed=1).fit(stats.assemble(t.lineitem, ["l_quantity", "l_linenumber"]))
-    g = model.gaussians[0]
-    c = g.cov.toArray()
-    df = _rows(t, [tuple(float(v) for v in (g.mean[0], g.mean[1], c[0][0], c[0][1], c[1][1]))],
-               "m0 double, m1 double, c00 double, c01 double, c11 double")
-    return df.select(*[F.round(n, 4).alias(n) for n in df.columns])
+    SELECT 1.0::DOUBLE AS weight, round(avg(l_quantity), 4) AS m0, round(avg(l_linenumber), 4) AS m1,
+           round(avg(l_quantity ** 2), 3) AS s00, round(avg(l_quantity * l_linenumber), 3) AS s01,
+           round(avg(l_linenumber ** 2), 3) AS s11 FROM lineitem""")
+def mixture_moments(t: Tables) -> DataFrame:
+    """Fitted weights, means and covariances together give back the first two sample moments."""
+    model = mk.GaussianMixture(k=2, seed=1).fit(stats.assemble(t.lineitem, ["l_quantity", "l_linenumber"]))
+    parts = model.gaussiansDF.collect()
+    total = np.zeros(6)
+    for w, g in zip(model.weights, parts):
+        m, c = g["mean"].toArray(), g["cov"].toArray()
+        s = c + np.outer(m, m)
+        total += w * np.array([1.0, m[0], m[1], s[0, 0], s[0, 1], s[1, 1]])
+    df = _rows(t, [tuple(float(v) for v in total)], "weight double, m0 double, m1 double, s00 double, s01 double, s11 double")
+    return df.select(*[F.round(n, 4).alias(n) for n in ("weight", "m0", "m1")],
+                     *[F.round(n, 3).alias(n) for n in ("s00", "s01", "s11")])

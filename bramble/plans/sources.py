@@ -169,10 +169,10 @@ def reject_lines(t: Tables) -> DataFrame:
 @plan("A18", oracle=r"""
     SELECT doc_id, length(regexp_replace(text, '[\n\r]', ' ', 'g'))::BIGINT AS n FROM documents""")
 def encoded_text(t: Tables) -> DataFrame:
-    """Text written in UTF-16 and read back through the charset-aware line reader."""
+    """Text written in UTF-16LE and read back through the charset-aware line reader."""
     flat = F.regexp_replace("text", r"[\n\r]", " ")
     path = scratch_path(t.spark, "utf16")
-    lines.write_lines(t.documents.select(F.concat_ws("|", "doc_id", flat).alias("value")), path, "UTF-16")
-    read = lines.read_lines(t.spark, path, "UTF-16")
+    lines.write_lines(t.documents.select(F.concat_ws("|", "doc_id", flat).alias("value")), path, "UTF-16LE")
+    read = lines.read_lines(t.spark, path, "UTF-16LE")
     parts = F.split("value", r"\|", 2)
     return read.select(big(parts[0]).alias("doc_id"), big(F.length(parts[1])).alias("n"))

@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 
 
 def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """One row ``value`` per line, in any charset Spark decodes."""
+    """One row ``value`` per line, in any charset Spark decodes.
+
+    Two-byte charsets must name their byte order (UTF-16LE). Charsets outside Spark's default set,
+    such as GB2312, need ``spark.sql.legacy.javaCharsets``.
+    """
     if encoding.upper().replace("-", "") == "UTF8":
         return spark.read.text(path)
-    # a separator and quote that cannot occur turn the CSV reader into a charset-aware line reader
+    # a separator and quote that cannot occur turn the CSV reader into a charset-aware line reader;
+    # the explicit line break is encoded too, which two-byte charsets need
     return spark.read.schema("value string").option("encoding", encoding).option("sep", "\u0001") \
-        .option("quote", "").option("ignoreLeadingWhiteSpace", False) \
+        .option("lineSep", "\n").option("quote", "").option("ignoreLeadingWhiteSpace", False) \
         .option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
