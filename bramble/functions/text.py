@@ -53,3 +53,15 @@ def term_rows(df: DataFrame, model: CountVectorizerModel, features: str, *keep:
 
 def tf_idf(df: DataFrame, counts: str = "counts", out: str = "weights") -> DataFrame:
     return IDF(inputCol=counts, outputCol=out).fit(df).transform(df)
+
+
+def term_weights(df: DataFrame, key: str, total_docs, words: str = "words") -> DataFrame:
+    """``(key, term, n, tfidf)`` for every term, without a vocabulary limit.
+
+    Counting is combined map-side per document; document frequencies are a second aggregation
+    joined back on the term (common terms are left to the skew-join splitting).
+    """
+    tf = df.select(key, F.explode(words).alias("term")).groupBy(key, "term").agg(F.count("*").alias("n"))
+    counts = tf.groupBy("term").agg(F.count("*").alias("docs"))
+    idf = F.log((total_docs + 1) / (F.col("docs") + 1))
+    return tf.join(counts, "term").select(key, "term", "n", (F.col("n") * idf).alias("tfidf"))

@@ -186,22 +186,20 @@ def build_index(base: DataFrame, *, id_col: str, features: str = "features",
     """Assign base rows to pivot cells. Rows with a null vector are rejected."""
     rows = base.select(F.col(id_col).alias("nid"), as_array(base, features).alias("vec"), *aux) \
         .where(F.col("vec").isNotNull())
-    if copies is not None:
-        rows = distinct_copies(rows, copies)
-    if pivots is None:
-        if num_pivots is None:
-            total = base.count()
-            num_pivots = total // block_rows
-        want = max(1, min(MAX_PIVOTS, num_pivots))
+    if num_pivots is None and pivots is None:
+        num_pivots = base.count() // block_rows
+    if pivots is None and num_pivots > 1:
+        want = min(MAX_PIVOTS, num_pivots)
         # a hash order is a uniform sample that stays the same when a task is retried
         sample = rows.select("vec", F.xxhash64(F.lit(seed), "nid").alias("_h")) \
-            .orderBy("_h").limit(want).select("vec").collect()
-        pivots = np.array([r.vec for r in sample], dtype=float)
-    if len(pivots) <= 1:
+            .orderBy("_h").limit(2 * want).select("vec").collect()
+        distinct = dict.fromkeys(tuple(r.vec) for r in sample)
+        pivots = np.array(list(distinct)[:want], dtype=float)
+    if copies is not None:
+        rows = distinct_copies(rows, copies)
+    if pivots is None or len(pivots) <= 1:
         cells = rows.withColumn("cell", F.lit(0))
-        total = cells.count() if len(pivots) else 0
-        return NeighbourIndex(cells, pivots, np.array([total]), np.array([np.inf]),
-                              tuple(aux), copies)
+        return index_from_cells(cells, np.empty((0, 0)), aux, copies)
     placed = rows.withColumn("_a", _nearest_pivot(pivots)("vec")) \
         .select("*", "_a.cell", "_a.gap").drop("_a")
     cells = materialise(placed, "cells")

@@ -53,6 +53,31 @@ def running_totals(df: DataFrame, by: str, sums: Sequence[str], *, descending: b
         *df.columns, *[(F.sum(s).over(inside) + F.col(f"_b_{s}")).alias(f"cum_{s}") for s in sums])
 
 
+def number_rows(df: DataFrame, key: str, out: str = "row_no") -> DataFrame:
+    """Consecutive numbers from 0 in the order of a unique numeric key."""
+    counted = running_totals(df.withColumn("_one", F.lit(1)), key, ["_one"])
+    return counted.withColumn(out, (F.col("cum__one") - 1).cast("bigint")).drop("_one", "cum__one")
+
+
+def average_ranks(df: DataFrame, column: str, out: str = "rank") -> DataFrame:
+    """``(value, rank)``: the mean position of every distinct value, ties sharing one rank."""
+    counts = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    totals = running_totals(counts, "value", ["n"])
+    return totals.select("value", (F.col("cum_n") - (F.col("n") - 1) / 2.0).alias(out))
+
+
+def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float]:
+    """The smallest values that reach each share of the rows; one row per share leaves the cluster."""
+    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")) \
+        .agg(F.count("*").alias("n"))
+    totals = running_totals(values, "value", ["n"])
+    need = F.col("cum_n") / values.agg(F.sum("n")).scalar()
+    row = totals.withColumn("_share", need).agg(
+        *[F.min(F.when(F.col("_share") >= s - 1e-12, F.col("value"))).alias(f"q{i}")
+          for i, s in enumerate(shares)]).first()
+    return [float(v) for v in row]
+
+
 def top_scores(users: DataFrame, items: DataFrame, n: int, *, user_id: str, item_id: str,
                user_factors: str = "features", item_factors: str = "features",
                num_pivots: int | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bramble.functions.columns import with_slots
+from bramble.operators.ranking import average_ranks
 
 
 def assemble(df: DataFrame, columns: Sequence[str], out: str = "features") -> DataFrame:
@@ -26,11 +27,23 @@ def moments(df: DataFrame, features: str = "features", weight: str | None = None
         with_slots(s, "variance", value="variance"), "pos")
 
 
-def correlations(df: DataFrame, features: str = "features", method: str = "pearson") -> DataFrame:
-    """Correlation matrix as rows ``(i, j, corr)``; its size is the square of the slot count."""
-    matrix = Correlation.corr(df, features, method).first()[0].toArray()
-    rows = [(i, j, float(matrix[i, j])) for i in range(len(matrix)) for j in range(len(matrix))]
-    return df.sparkSession.createDataFrame(rows, "i bigint, j bigint, corr double")
+def correlations(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
+    """Correlation matrix as rows ``(i, j, corr)``; its size is the square of the column count.
+
+    Rank correlation replaces every column by its average ranks first. Ranks are found on the
+    distinct values of a column and joined back, so rows are never sorted as a whole.
+    """
+    rows = df.select(*columns)
+    if method == "spearman":
+        for c in columns:
+            ranks = average_ranks(df, c, "_rank").withColumnRenamed("value", c)
+            rows = rows.join(ranks, c).withColumn(c, F.col("_rank")).drop("_rank")
+    elif method != "pearson":
+        raise ValueError(f"unknown method {method}")
+    rows = assemble(rows.select(*columns), columns, "_features")
+    matrix = Correlation.corr(rows, "_features").first()[0].toArray()
+    values = [(i, j, float(matrix[i, j])) for i in range(len(matrix)) for j in range(len(matrix))]
+    return df.sparkSession.createDataFrame(values, "i bigint, j bigint, corr double")
 
 
 def independence(df: DataFrame, features: str = "features", label: str = "label") -> DataFrame:

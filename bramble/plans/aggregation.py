@@ -95,7 +95,7 @@ def summary_stats_weighted(t: Tables) -> DataFrame:
     f"SELECT {i}::BIGINT AS i, {j}::BIGINT AS j, {sql6(f'corr({a}, {b})')} AS corr FROM lineitem"
     for i, a in enumerate(_X) for j, b in enumerate(_X)))
 def corr_pearson(t: Tables) -> DataFrame:
-    return stats.correlations(stats.assemble(t.lineitem, _X)).withColumn("corr", r6("corr"))
+    return stats.correlations(t.lineitem, _X).withColumn("corr", r6("corr"))
 
 
 @plan("D12", oracle="WITH k AS (SELECT " + ", ".join(
@@ -104,7 +104,7 @@ def corr_pearson(t: Tables) -> DataFrame:
     f"SELECT {i}::BIGINT AS i, {j}::BIGINT AS j, {sql6(f'corr({a}, {b})')} AS corr FROM k"
     for i, a in enumerate(_X) for j, b in enumerate(_X)))
 def corr_spearman(t: Tables) -> DataFrame:
-    return stats.correlations(stats.assemble(t.lineitem, _X), method="spearman") \
+    return stats.correlations(t.lineitem, _X, method="spearman") \
         .withColumn("corr", r6("corr"))
 
 

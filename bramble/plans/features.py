@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from bramble.functions import text as tx
 from bramble.functions.columns import as_vector, big, r6, sparse_entries, with_slots
 from bramble.functions.encode import one_hot
-from bramble.operators import stats
+from bramble.operators import ranking, stats
 from bramble.plans.aggregation import chi_rows
 from bramble.plans.registry import Tables, plan
 from bramble.plans.registry import r6 as sql6
+from bramble.session import spread
 
 # --- text -------------------------------------------------------------------------------------
 
@@ -25,7 +26,7 @@ _TERMS = _WORDS + """, t AS (SELECT doc_id, unnest(words) AS term FROM w)"""
 
 
 def _docs(t: Tables) -> DataFrame:
-    return tx.tokens(t.documents.select("doc_id", "text"))
+    return tx.tokens(spread(t.documents.select("doc_id", "text"), "doc_id"))
 
 
 @plan("H1 B6", oracle=_TERMS + """
@@ -101,11 +102,20 @@ def tf_idf(t: Tables) -> DataFrame:
         .withColumn("tfidf", r6("tfidf"))
 
 
+@plan("H7", oracle=_TERMS + f""", tf AS (SELECT doc_id, term, count(*) AS n FROM t GROUP BY ALL),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term)
+    SELECT doc_id, term, n, {sql6('n * ln(((SELECT count(*) FROM documents) + 1) / (df + 1))')} AS tfidf
+    FROM tf JOIN df USING (term)""")
+def term_weights(t: Tables) -> DataFrame:
+    return tx.term_weights(_docs(t), "doc_id", t.documents.agg(F.count("*")).scalar()) \
+        .withColumn("tfidf", r6("tfidf"))
+
+
 @plan("H8 H9")
 def word_vectors(t: Tables) -> DataFrame:
     """Nearest words of the most frequent term in a trained embedding."""
     docs = tx.without_stop_words(_docs(t))
-    model = mf.Word2Vec(vectorSize=16, minCount=5, maxIter=1, seed=11, numPartitions=4,
+    model = mf.Word2Vec(vectorSize=16, minCount=5, maxIter=1, seed=11, numPartitions=8,
                         inputCol="filtered", outputCol="v").fit(docs)
     common = docs.select(F.explode("filtered").alias("word")).groupBy("word").count() \
         .orderBy(F.desc("count"), "word").first().word
@@ -116,12 +126,13 @@ def word_vectors(t: Tables) -> DataFrame:
 def document_vectors(t: Tables) -> DataFrame:
     """Mean word vector per document."""
     docs = tx.without_stop_words(_docs(t))
-    model = mf.Word2Vec(vectorSize=8, minCount=1, maxIter=1, seed=11, numPartitions=4,
+    model = mf.Word2Vec(vectorSize=8, minCount=1, maxIter=1, seed=11, numPartitions=8,
                         inputCol="filtered", outputCol="v").fit(docs)
     return with_slots(model.transform(docs), "v", "doc_id")
 
 
-@plan("H10")
+@plan("H10", oracle=f"""
+    SELECT o_orderkey, 4::BIGINT AS n, {sql6('o_totalprice + 3')} AS total FROM orders""")
 def feature_hash(t: Tables) -> DataFrame:
     """Mixed columns hashed to one vector: per row the number of active slots and their sum."""
     rows = t.orders.select("o_orderkey", "o_totalprice", (F.col("o_totalprice") > 250000).alias("dear"),
@@ -167,7 +178,17 @@ def bucketize_columns(t: Tables) -> DataFrame:
     SELECT c_custkey, CASE WHEN c_acctbal < a THEN 0 WHEN c_acctbal < b THEN 1 ELSE 2 END::DOUBLE AS bucket
     FROM customer, s""")
 def quantile_buckets(t: Tables) -> DataFrame:
-    stage = mf.QuantileDiscretizer(numBuckets=3, relativeError=0.0, inputCol="c_acctbal", outputCol="bucket")
+    """Exact thirds. Spark's discretizer keeps every value in its sketch when asked for no error."""
+    inf = float("inf")
+    cuts = sorted(set(ranking.exact_quantiles(t.customer, "c_acctbal", [1 / 3, 2 / 3])))
+    stage = mf.Bucketizer(splits=[-inf, *cuts, inf], inputCol="c_acctbal", outputCol="bucket")
+    return stage.transform(t.customer).select("c_custkey", "bucket")
+
+
+@plan("H14")
+def quantile_buckets_sketch(t: Tables) -> DataFrame:
+    """Buckets at approximate quantiles, from a sketch of bounded size."""
+    stage = mf.QuantileDiscretizer(numBuckets=3, relativeError=0.001, inputCol="c_acctbal", outputCol="bucket")
     return stage.fit(t.customer).transform(t.customer).select("c_custkey", "bucket")
 
 
@@ -238,7 +259,7 @@ def encode_onehot_full(t: Tables) -> DataFrame:
 def _quad(t: Tables) -> DataFrame:
     rows = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_tax",
                              F.col("l_linenumber").cast("double").alias("line"))
-    return stats.assemble(rows, ["l_quantity", "l_discount", "l_tax", "line"])
+    return stats.assemble(spread(rows, "l_orderkey", "l_partkey"), ["l_quantity", "l_discount", "l_tax", "line"])
 
 
 _QUAD = """WITH q AS (SELECT l_orderkey, l_partkey, l_quantity AS a, l_discount AS b, l_tax AS c,

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import SQLTransformer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bramble.functions import encode
 from bramble.functions.columns import big, r6
 from bramble.operators import sampling
 from bramble.operators.neighbours import sample_sizes
+from bramble.operators.ranking import number_rows
 from bramble.plans.registry import Tables, plan
 from bramble.plans.registry import r6 as sql6
 
@@ -174,13 +175,9 @@ def nation_lookup(t: Tables) -> DataFrame:
 
 
 @plan("B26", oracle="""
-    SELECT c_custkey, c_mktsegment, row_number() OVER (PARTITION BY c_mktsegment, c_nationkey
-                                                       ORDER BY c_custkey) - 1 AS row_no
-    FROM customer""")
+    SELECT c_custkey, c_mktsegment, row_number() OVER (ORDER BY c_custkey) - 1 AS row_no FROM customer""")
 def keyed_row_number(t: Tables) -> DataFrame:
-    order = Window.partitionBy("c_mktsegment", "c_nationkey").orderBy("c_custkey")
-    return t.customer.select("c_custkey", "c_mktsegment",
-                             big(F.row_number().over(order) - 1).alias("row_no"))
+    return number_rows(t.customer.select("c_custkey", "c_mktsegment"), "c_custkey")
 
 
 @plan("B27", oracle="""

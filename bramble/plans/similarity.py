@@ -15,6 +15,7 @@ from bramble.operators import ranking, setjoin
 from bramble.plans.aggregation import ratings
 from bramble.plans.registry import Tables, plan
 from bramble.plans.registry import r6 as sql6
+from bramble.session import spread
 
 K = 5
 
@@ -152,7 +153,7 @@ def euclid_range_join(t: Tables) -> DataFrame:
 
 
 def _shingles(t: Tables) -> DataFrame:
-    return text.ngrams(text.tokens(t.documents.select("doc_id", "text")))
+    return text.ngrams(text.tokens(spread(t.documents.select("doc_id", "text"), "doc_id")))
 
 
 @plan("C8", oracle=r"""

@@ -27,7 +27,7 @@ from bramble.operators import ranking, sampling, stats
 from bramble.plans.aggregation import ratings
 from bramble.plans.registry import Tables, plan
 from bramble.plans.registry import r6 as sql6
-from bramble.session import scratch_path
+from bramble.session import scratch_path, spread
 from bramble.sources import delimited
 
 # --- prepared tables --------------------------------------------------------------------------
@@ -216,14 +216,14 @@ def bisecting_kmeans(t: Tables) -> DataFrame:
 def gaussian_mixture(t: Tables) -> DataFrame:
     rows = stats.assemble(t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_linenumber"),
                           ["l_quantity", "l_linenumber"])
-    return learner("clustering", "gaussian_mixture", k=2, seed=1).fit(rows).transform(rows) \
+    return learner("clustering", "gaussian_mixture", k=2, maxIter=20, seed=1).fit(rows).transform(rows) \
         .select("l_orderkey", "l_partkey", "prediction", F.array_max(vector_to_array("probability")).alias("probability"))
 
 
 @plan("K4 N15")
 def topics(t: Tables) -> DataFrame:
     """Top terms per topic with the model's likelihood and perplexity."""
-    docs = tx.without_stop_words(tx.tokens(t.documents.select("doc_id", "text")))
+    docs = tx.without_stop_words(tx.tokens(spread(t.documents.select("doc_id", "text"), "doc_id")))
     vocab = tx.vocabulary(docs, "filtered", "features", size=5000, min_df=3)
     rows = vocab.transform(docs).select("doc_id", "features")
     model = learner("clustering", "lda", k=5, maxIter=5, seed=1).fit(rows)
