@@ -25,7 +25,8 @@ def as_array(df: DataFrame, features: str) -> Column:
     kind = df.schema[features].dataType
     if isinstance(kind, T.ArrayType):
         return F.col(features).cast("array<double>")
-    return vector_to_array(F.col(features))
+    # the conversion itself rejects nulls
+    return F.when(F.col(features).isNotNull(), vector_to_array(F.col(features)))
 
 
 def as_vector(c: str | Column) -> Column:

@@ -398,7 +398,7 @@ def _sample_spacing(samples: DataFrame) -> DataFrame:
 
     def spacing(table: pa.Table) -> pa.Table:
         x = np.unique(_matrix(table["vec"]), axis=0)
-        mean = float("nan")
+        mean = None
         if len(x) > 1:
             d2 = _squared(x, x)
             np.fill_diagonal(d2, np.inf)
