@@ -36,9 +36,17 @@ def as_vector(c: str | Column) -> Column:
 
 def with_slots(df: DataFrame, features: str, *keep: str, pos: str = "pos",
                value: str = "value") -> DataFrame:
-    """One row per vector slot: ``(keep..., pos, value)``."""
-    return df.select(*keep, F.posexplode(as_array(df, features)).alias(pos, value)) \
-        .withColumn(pos, F.col(pos).cast("bigint"))
+    """One row per vector slot: ``(keep..., pos, value)``.
+
+    The outer form keeps Spark from deriving a non-empty filter, which would convert twice.
+    """
+    return df.select(*keep, F.posexplode_outer(as_array(df, features)).alias(pos, value)) \
+        .where(F.col(pos).isNotNull()).withColumn(pos, F.col(pos).cast("bigint"))
+
+
+def exploded(df: DataFrame, items: str, out: str, *keep: str) -> DataFrame:
+    """One row per array element; see ``with_slots`` for the outer form."""
+    return df.select(*keep, F.explode_outer(items).alias(out)).where(F.col(out).isNotNull())
 
 
 def sparse_entries(df: DataFrame, features: str, *keep: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, IDF, NGram
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bramble.functions.columns import sparse_entries
+from bramble.functions.columns import exploded, sparse_entries
 
 
 @cache
@@ -61,7 +61,7 @@ def term_weights(df: DataFrame, key: str, total_docs, words: str = "words") -> D
     Counting is combined map-side per document; document frequencies are a second aggregation
     joined back on the term (common terms are left to the skew-join splitting).
     """
-    tf = df.select(key, F.explode(words).alias("term")).groupBy(key, "term").agg(F.count("*").alias("n"))
+    tf = exploded(df, words, "term", key).groupBy(key, "term").agg(F.count("*").alias("n"))
     counts = tf.groupBy("term").agg(F.count("*").alias("docs"))
     idf = F.log((total_docs + 1) / (F.col("docs") + 1))
     return tf.join(counts, "term").select(key, "term", "n", (F.col("n") * idf).alias("tfidf"))

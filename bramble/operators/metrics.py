@@ -66,16 +66,14 @@ def score_steps(df: DataFrame, label: str = "label", score: str = "score") -> Da
     return running_totals(steps, "threshold", ["pos", "neg"], descending=True)
 
 
-def _totals(df: DataFrame, label: str):
-    pos = F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("v")
-    neg = F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("v")
-    return df.agg(pos).scalar(), df.agg(neg).scalar()
+def _total(steps: DataFrame, name: str):
+    return steps.agg(F.max(f"cum_{name}")).scalar()
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    pos, neg = _totals(df, label)
-    return score_steps(df, label, score).select(
-        "threshold", F.try_divide("cum_neg", neg).alias("fpr"), F.try_divide("cum_pos", pos).alias("tpr"))
+    steps = score_steps(df, label, score)
+    return steps.select("threshold", F.try_divide("cum_neg", _total(steps, "neg")).alias("fpr"),
+                        F.try_divide("cum_pos", _total(steps, "pos")).alias("tpr"))
 
 
 def area_under_roc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -96,11 +94,11 @@ def area_under_roc_hard(df: DataFrame, label: str = "label",
 
 def f_by_threshold(df: DataFrame, label: str = "label", score: str = "score",
                    beta: float = 1.0) -> DataFrame:
-    pos, _ = _totals(df, label)
+    steps = score_steps(df, label, score)
     b2 = beta * beta
     flagged = F.col("cum_pos") + F.col("cum_neg")
-    return score_steps(df, label, score).select(
-        "threshold", ((1 + b2) * F.col("cum_pos") / (b2 * pos + flagged)).alias("f"))
+    return steps.select(
+        "threshold", ((1 + b2) * F.col("cum_pos") / (b2 * _total(steps, "pos") + flagged)).alias("f"))
 
 
 def best_threshold(curve: DataFrame) -> DataFrame:

@@ -186,8 +186,9 @@ def build_index(base: DataFrame, *, id_col: str, features: str = "features",
     """Assign base rows to pivot cells. Rows with a null vector are rejected."""
     rows = base.select(F.col(id_col).alias("nid"), as_array(base, features).alias("vec"), *aux) \
         .where(F.col("vec").isNotNull())
-    if num_pivots is None and pivots is None:
-        num_pivots = base.count() // block_rows
+    total = base.count()
+    if num_pivots is None:
+        num_pivots = total // block_rows
     if pivots is None and num_pivots > 1:
         want = min(MAX_PIVOTS, num_pivots)
         # a hash order is a uniform sample that stays the same when a task is retried
@@ -195,11 +196,14 @@ def build_index(base: DataFrame, *, id_col: str, features: str = "features",
             .orderBy("_h").limit(2 * want).select("vec").collect()
         distinct = dict.fromkeys(tuple(r.vec) for r in sample)
         pivots = np.array(list(distinct)[:want], dtype=float)
+    single = pivots is None or len(pivots) <= 1
+    if single and total <= block_rows:      # one block holds everything, copies included
+        return NeighbourIndex(rows.withColumn("cell", F.lit(0)), np.empty((0, 0)), np.array([total]),
+                              np.array([np.inf]), tuple(aux), None)
     if copies is not None:
         rows = distinct_copies(rows, copies)
-    if pivots is None or len(pivots) <= 1:
-        cells = rows.withColumn("cell", F.lit(0))
-        return index_from_cells(cells, np.empty((0, 0)), aux, copies)
+    if single:
+        return index_from_cells(rows.withColumn("cell", F.lit(0)), np.empty((0, 0)), aux, copies)
     placed = rows.withColumn("_a", _nearest_pivot(pivots)("vec")) \
         .select("*", "_a.cell", "_a.gap").drop("_a")
     cells = materialise(placed, "cells")
@@ -222,25 +226,32 @@ def index_from_cells(cells: DataFrame, pivots: np.ndarray, aux: Sequence[str],
 
 # --- search -----------------------------------------------------------------------------------
 
-def _split_table(df: DataFrame, rows: np.ndarray, queries: np.ndarray, block_rows: int) -> DataFrame:
-    """Blocks per cell on each side; one row per pivot, hence safe to broadcast."""
+def _with_splits(df: DataFrame, rows: np.ndarray, queries: np.ndarray, block_rows: int) -> DataFrame:
+    """Add the number of blocks of the row's cell on each side (``nb``, ``nq``).
+
+    The table joined for it has one row per pivot, hence is safe to broadcast.
+    """
+    if len(rows) == 1:
+        return df.withColumn("nb", F.lit(max(1, math.ceil(rows[0] / block_rows)))) \
+            .withColumn("nq", F.lit(max(1, math.ceil(queries[0] / block_rows))))
     wanted = [(int(c), max(1, math.ceil(rows[c] / block_rows)),
                max(1, math.ceil(queries[c] / block_rows)))
               for c in range(len(rows)) if rows[c] and queries[c]]
-    return F.broadcast(df.sparkSession.createDataFrame(wanted, "cell int, nb int, nq int"))
+    table = df.sparkSession.createDataFrame(wanted, "cell int, nb int, nq int")
+    return df.join(F.broadcast(table), "cell")
 
 
 def _scan(index: NeighbourIndex, routed: DataFrame, per_cell: np.ndarray, *, k: int | None,
           limit: float, strict: bool = False, skip_same_id: bool = False,
           skip_zero: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Compare routed queries ``(qid, vec, bound, cell)`` with the base rows of their cell."""
-    splits = _split_table(routed, index.rows, per_cell, block_rows)
-    base = index.cells.select("nid", "vec", "cell", *index.aux).join(splits, "cell") \
+    sizes = (index.rows, per_cell, block_rows)
+    base = _with_splits(index.cells.select("nid", "vec", "cell", *index.aux), *sizes) \
         .withColumn("bs", F.pmod(F.xxhash64("nid"), F.col("nb"))) \
         .withColumn("qs", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                F.col("nq").cast("bigint") - 1))) \
         .drop("nb", "nq")
-    query = routed.join(splits, "cell") \
+    query = _with_splits(routed, *sizes) \
         .withColumn("qs", F.pmod(F.xxhash64("qid"), F.col("nq"))) \
         .withColumn("bs", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                F.col("nb").cast("bigint") - 1))) \

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from bramble.functions.columns import as_array, dot
 from bramble.operators import neighbours as nb
+from bramble.session import materialise
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,
@@ -30,8 +31,10 @@ def running_totals(df: DataFrame, by: str, sums: Sequence[str], *, descending: b
 
     Rows must be unique in ``by`` (aggregate first). The range is cut into buckets at approximate
     quantiles; each bucket is accumulated on its own and shifted by the totals of the buckets
-    before it, so no task sorts the whole table.
+    before it, so no task sorts the whole table. The input is written once, as it is read for the
+    boundaries, the bucket totals and the sums.
     """
+    df = materialise(df, "totals")
     if buckets is None:
         buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = _boundaries(df, by, min(buckets, 2000))
@@ -71,10 +74,9 @@ def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list
     values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")) \
         .agg(F.count("*").alias("n"))
     totals = running_totals(values, "value", ["n"])
-    need = F.col("cum_n") / values.agg(F.sum("n")).scalar()
-    row = totals.withColumn("_share", need).agg(
-        *[F.min(F.when(F.col("_share") >= s - 1e-12, F.col("value"))).alias(f"q{i}")
-          for i, s in enumerate(shares)]).first()
+    rows = totals.agg(F.max("cum_n")).first()[0] or 0
+    row = totals.agg(*[F.min(F.when(F.col("cum_n") >= rows * s - 1e-9, F.col("value"))).alias(f"q{i}")
+                       for i, s in enumerate(shares)]).first()
     return [float(v) for v in row]
 
 

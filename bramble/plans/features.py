@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bramble.functions import text as tx
-from bramble.functions.columns import as_vector, big, r6, sparse_entries, with_slots
+from bramble.functions.columns import as_vector, big, exploded, r6, sparse_entries, with_slots
 from bramble.functions.encode import one_hot
 from bramble.operators import ranking, stats
 from bramble.plans.aggregation import chi_rows
@@ -32,7 +32,7 @@ def _docs(t: Tables) -> DataFrame:
 @plan("H1 B6", oracle=_TERMS + """
     SELECT doc_id, term, count(*) AS n FROM t WHERE term <> '' GROUP BY ALL""")
 def tokens(t: Tables) -> DataFrame:
-    return _docs(t).select("doc_id", F.explode("words").alias("term")).where("term <> ''") \
+    return exploded(_docs(t), "words", "term", "doc_id").where("term <> ''") \
         .groupBy("doc_id", "term").agg(F.count("*").alias("n"))
 
 
@@ -57,7 +57,7 @@ def stopwords(t: Tables) -> DataFrame:
         SELECT doc_id, unnest(list_zip(words[:-2], words[2:])) AS p FROM w WHERE len(words) > 1)
     SELECT p[1] || ' ' || p[2] AS bigram, count(*) AS n, count(DISTINCT doc_id) AS docs FROM g GROUP BY 1""")
 def bigrams(t: Tables) -> DataFrame:
-    return tx.ngrams(_docs(t)).select("doc_id", F.explode("ngrams").alias("bigram")) \
+    return exploded(tx.ngrams(_docs(t)), "ngrams", "bigram", "doc_id") \
         .groupBy("doc_id", "bigram").agg(F.count("*").alias("n")) \
         .groupBy("bigram").agg(F.sum("n").alias("n"), F.count("*").alias("docs"))
 

@@ -52,6 +52,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(scratch_path(spark, "checkpoints"))
 
 
+_written: list[str] = []
+
+
+def drop_materialised(spark: SparkSession) -> int:
+    """Delete the tables this process has materialised, once no result that reads them is needed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    count = len(_written)
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return count
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared folder and read back.
 
@@ -60,6 +73,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

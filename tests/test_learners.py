@@ -97,7 +97,7 @@ def test_parameter_checks(points):
     for bad in ({"k": 0}, {"bufferSize": -2.0}, {"bufferSizeSampleSizes": [5]}):
         with pytest.raises(ValueError):
             KNN(idCol="id", **bad).fit(points)
-    model = KNNClassifier(k=3, idCol="id").fit(points)
+    model = KNNClassifier(k=3, idCol="id", blockRows=50).fit(points)
     with pytest.raises(ValueError):
         model.setParams(k=50).transform(points)
 
