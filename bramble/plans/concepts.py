@@ -7,11 +7,17 @@ from pyspark.ml import feature as mf
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bramble.functions import text as tx
 from bramble.functions.columns import big, r6, with_slots
+from bramble.learners import jobs
+from bramble.learners.knn import KNNRegression
 from bramble.learners.registry import learner
 from bramble.operators import stats
+from bramble.operators.metrics import regression_errors
 from bramble.plans.registry import Tables, plan
 from bramble.plans.registry import r6 as sql6
+from bramble.session import scratch_path, spread
+from bramble.sources import delimited
 
 _RULE = """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')
                   THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction FROM orders"""
@@ -142,8 +148,6 @@ def line_recovered(t: Tables) -> DataFrame:
 @plan("H8", oracle="SELECT doc_id, 0.0::DOUBLE AS gap FROM documents")
 def document_vector_is_mean(t: Tables) -> DataFrame:
     """Largest gap between a document's vector and the mean of its word vectors."""
-    from bramble.functions import text as tx
-    from bramble.session import spread
     docs = tx.without_stop_words(tx.tokens(spread(t.documents.select("doc_id", "text"), "doc_id")))
     model = mf.Word2Vec(vectorSize=4, minCount=1, maxIter=1, seed=11, numPartitions=8,
                         inputCol="filtered", outputCol="v").fit(docs)
@@ -155,3 +159,70 @@ def document_vector_is_mean(t: Tables) -> DataFrame:
         .agg((F.sum(F.col("times") * F.col("part")) / F.max("n")).alias("mean"))
     gap = F.abs(F.col("value") - F.coalesce("mean", F.lit(0.0)))
     return scored.join(means, ["doc_id", "pos"], "left").groupBy("doc_id").agg(F.round(F.max(gap), 4).alias("gap"))
+
+
+@plan("N16", oracle="""
+    SELECT CASE WHEN count(*) > 0 THEN 'dear' END AS feature, 0.0::DOUBLE AS importance FROM orders
+    UNION ALL SELECT 'final and high', 1.0 FROM (SELECT 1 WHERE EXISTS (SELECT 1 FROM orders))""")
+def rule_importance(t: Tables) -> DataFrame:
+    """A slot that the rule does not use gets no importance; those it uses share all of it."""
+    w = learner("classification", "decision_tree", maxDepth=2).fit(_rule_rows(t)).featureImportances.toArray()
+    rows = [("dear", float(w[2])), ("final and high", float(w[0] + w[1]))]
+    return t.spark.createDataFrame(rows, "feature string, importance double").withColumn("importance", r6("importance"))
+
+
+@plan("O2", oracle="SELECT o_orderkey, 0.0::DOUBLE AS prediction FROM orders")
+def later_override_wins(t: Tables) -> DataFrame:
+    """With the last threshold of 1 no row is predicted positive."""
+    lr = learner("classification", "logistic", maxIter=10)
+    rows = _rule_rows(t)
+    model = lr.fit(rows, {**{lr.threshold: 0.0}, lr.threshold: 1.0, lr.probabilityCol: "my_probability"})
+    return model.transform(rows).where(F.col("my_probability").isNotNull()).select("o_orderkey", "prediction")
+
+
+@plan("O7 O8 A1 A12", oracle="""
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')
+                            THEN 'yes' ELSE 'no' END AS predicted_label FROM orders""")
+def job_recovers_rule(t: Tables) -> DataFrame:
+    """CSV training job, saved pipeline and CSV scoring job on a rule over two text columns."""
+    rule = (F.col("o_orderstatus") == "F") & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    table = t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice",
+                            F.when(rule, "yes").otherwise("no").alias("answer"))
+    source, model, out = (scratch_path(t.spark, n) for n in ("rule-csv", "rule-model", "rule-scored"))
+    delimited.write_csv(table, source)
+    jobs.train_job(t.spark, source, model, kind="classification", learner="decision_tree", key="o_orderkey",
+                   params={"maxDepth": 6}, schema=table.schema)
+    return jobs.score_job(t.spark, source, out, model, schema=table.schema).select("o_orderkey", "predicted_label")
+
+
+_LANGUAGE = "SELECT doc_id, (lang = 'fr')::INT::DOUBLE AS prediction FROM documents"
+
+
+def _french(t: Tables) -> DataFrame:
+    return spread(t.documents.select("doc_id", "text", (F.col("lang") == "fr").cast("double").alias("label")), "doc_id")
+
+
+@plan("O10 O1 H5 H7", oracle=_LANGUAGE)
+def language_by_tf_idf(t: Tables) -> DataFrame:
+    """Whether a document is French, learned from its words."""
+    rows = _french(t)
+    return jobs.tf_idf_classifier(slots=1 << 14, max_iter=50, reg=0.0).fit(rows).transform(rows) \
+        .select("doc_id", "prediction")
+
+
+@plan("F1 O6 N10 J11", oracle="""
+    WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+    r AS (SELECT q.vec_id, q.label, b.label AS y, row_number() OVER (PARTITION BY q.vec_id
+              ORDER BY list_distance(q.v, b.v), b.vec_id) AS rank FROM e q JOIN e b ON q.vec_id <> b.vec_id),
+    p AS (SELECT k, vec_id, label, avg(y) AS m FROM r, (SELECT unnest([1, 3, 9]) AS k) WHERE rank <= k GROUP BY ALL)
+    SELECT k::BIGINT AS k, round(sqrt(avg((label - m) ** 2)), 6) AS rmse FROM p GROUP BY k ORDER BY 2 LIMIT 1""")
+def knn_sweep_best(t: Tables) -> DataFrame:
+    """Neighbour counts compared by leave-one-out error; the best setting."""
+    rows = t.embeddings.select("vec_id", F.col("label").cast("double").alias("label"),
+                               F.col("embedding").alias("features"))
+    results = []
+    for k in (1, 3, 9):
+        scored = KNNRegression(k=k, idCol="vec_id", excludeSelf=True).fit(rows).transform(rows)
+        results.append((k, float(regression_errors(scored).first().rmse)))
+    return t.spark.createDataFrame(results, "k bigint, rmse double").orderBy("rmse").limit(1) \
+        .withColumn("rmse", r6("rmse"))

@@ -24,10 +24,11 @@ from bramble.learners.knn import KNN, KNNClassificationModel, KNNClassifier, KNN
 from bramble.learners.registry import grid, learner
 from bramble.operators import neighbours as nb
 from bramble.operators import ranking, sampling, stats
+from bramble.operators.metrics import regression_errors
 from bramble.plans.aggregation import ratings
 from bramble.plans.registry import Tables, plan
 from bramble.plans.registry import r6 as sql6
-from bramble.session import scratch_path, spread
+from bramble.session import materialise, scratch_path, spread
 from bramble.sources import delimited
 
 # --- prepared tables --------------------------------------------------------------------------
@@ -259,7 +260,6 @@ def als_explicit(t: Tables) -> DataFrame:
     stage, rows = _als(t)
     train, test = sampling.split_by_key(rows, F.concat_ws(":", "user", "item"), 0.8, seed=2)
     scored = stage.fit(train).transform(test)
-    from bramble.operators.metrics import regression_errors
     return regression_errors(scored, "rating")
 
 
@@ -376,7 +376,7 @@ def holdout_tuning(t: Tables) -> DataFrame:
     stage = learner("regression", "linear", maxIter=10)
     settings = grid(stage, {"regParam": (0.1, 0.01), "fitIntercept": (False, True), "elasticNetParam": (0.0, 0.5, 1.0)})
     search = jobs.holdout_tuning(stage, settings, RegressionEvaluator(), train=0.8, seed=3)
-    values = search.fit(rentals(t).select("features", "label").cache()).validationMetrics
+    values = search.fit(materialise(rentals(t).select("features", "label"), "rentals")).validationMetrics
     rows = [(float(m[stage.regParam]), m[stage.fitIntercept], float(m[stage.elasticNetParam]), float(v))
             for m, v in zip(settings, values)]
     return t.spark.createDataFrame(rows, "reg double, intercept boolean, mix double, rmse double")
