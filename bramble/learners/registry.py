@@ -47,7 +47,7 @@ RECOMMENDERS: dict[str, Callable[..., Estimator]] = {"als": mr.ALS}
 _KINDS = {"classification": CLASSIFIERS, "regression": REGRESSORS, "clustering": CLUSTERERS,
           "recommendation": RECOMMENDERS}
 
-# fixed values: the parameter settings searched by the generic training jobs
+# small default grids for the training jobs; pass other settings to search more
 GRIDS: dict[str, dict[str, Sequence[Any]]] = {
     "decision_tree": {"maxDepth": (4, 5, 6, 7, 8), "maxBins": (16, 32, 48, 64)},
     "logistic": {"regParam": (0.01, 0.1, 0.3), "elasticNetParam": (0.0, 0.5, 1.0)},
