@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-from functools import cache
-
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, IDF, NGram, StopWordsRemover, Tokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,14 +9,25 @@ from pyspark.sql import functions as F
 from bramble.functions.columns import exploded, sparse_entries
 
 
-@cache
-def default_stop_words(language: str = "english") -> tuple[str, ...]:
-    """The stop-word list shipped with Spark, read without a running session."""
-    import pyspark
-    jar = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))[0]
-    with zipfile.ZipFile(jar) as z:
-        text = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode()
-    return tuple(text.split("\n")) if not text.endswith("\n") else tuple(text[:-1].split("\n"))
+# The default English list of Spark's StopWordsRemover, in its order.
+ENGLISH_STOP_WORDS = tuple("""
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her
+    hers herself it its itself they them their theirs themselves what which who whom this that these
+    those am is are was were be been being have has had having do does did doing a an the and but if or
+    because as until while of at by for with about against between into through during before after
+    above below to from up down in out on off over under again further then once here there when where
+    why how all any both each few more most other some such no nor not only own same so than too very s
+    t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd
+    they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't
+    weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't
+    couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+    would
+""".split())
+
+
+def default_stop_words() -> tuple[str, ...]:
+    """The English stop-word list that plans and their SQL share; needs no file and no session."""
+    return ENGLISH_STOP_WORDS
 
 
 def tokens(df: DataFrame, text: str = "text", out: str = "words") -> DataFrame:
@@ -29,7 +35,7 @@ def tokens(df: DataFrame, text: str = "text", out: str = "words") -> DataFrame:
 
 
 def without_stop_words(df: DataFrame, words: str = "words", out: str = "filtered") -> DataFrame:
-    return StopWordsRemover(inputCol=words, outputCol=out).transform(df)
+    return StopWordsRemover(stopWords=list(ENGLISH_STOP_WORDS), inputCol=words, outputCol=out).transform(df)
 
 
 def ngrams(df: DataFrame, n: int = 2, words: str = "words", out: str = "ngrams") -> DataFrame:
