@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bramble.llm import exact_dedup
+from bramble.llm import exact_dedup, packing
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +35,8 @@ def op4_stateful_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_classes(spark, f"{sf_dir}/documents.parquet")
     return found.select("doc_id", "keep_id", "group_size", "kept",
                         F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query()
+def op10_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir))
