@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bramble.llm import exact_dedup, packing
+from bramble.llm import exact_dedup, packing, simhash
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -40,3 +40,8 @@ def op4_stateful_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
+
+
+@query()
+def op8_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(documents(spark, sf_dir))
