@@ -21,7 +21,12 @@ from bramble.session import materialise, scratch_path
 #: copies compared with one replica of their kept text
 COPIES_PER_REPLICA = 256
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: state on disk; without reserving room ahead, which costs megabytes for each of many partitions
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: str) -> Column:
@@ -53,17 +58,15 @@ def digest_state(spark: SparkSession, path: str, checkpoint: str, *, doc_id: str
     states = rows.groupBy("digest").agg(
         F.count("*").alias("size"),
         F.max(F.struct("chars", (-F.col("doc_id")).alias("below"), "file", "row")).alias("keep"))
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE_STORE}
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)
     try:
         query = states.writeStream.outputMode("update").format("noop") \
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     query.awaitTermination()
     found = spark.read.format("statestore").load(checkpoint)
     size, keep = (F.col("value")[f] for f in found.schema["value"].dataType.names)
