@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,34 @@ def join_by_weight(rows: DataFrame, table: DataFrame, key: str, weight: str, tot
     return near.unionByName(far)
 
 
+def addressable(content: DataFrame, file: str = "_file", row: str = "_row") -> DataFrame:
+    """``content`` written once to the shared folder, with the file and row number of every row."""
+    held = materialise(content, "content")
+    return held.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+
+
+def numbered(rows: DataFrame, order: Sequence[str], out: str = "number") -> DataFrame:
+    """Consecutive numbers from 0 in the order of ``order``, nulls first; equal rows in any order.
+
+    The rows are dealt out by ranges and sorted in their partitions; a partition's first number is
+    the row count of those before it, and one count per partition is all that the driver sees.
+    """
+    spark = rows.sparkSession
+    tagged = materialise(rows.withColumn("_tie", F.monotonically_increasing_id()), "tagged")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialise(tagged.repartitionByRange(parts, *order, "_tie").sortWithinPartitions(*order, "_tie")
+                         .withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("_at", 33).alias("_part")
+    before, starts = 0, []
+    for found in placed.groupBy(part).count().orderBy("_part").collect():
+        starts.append((found["_part"], before))
+        before += found["count"]
+    shifts = spark.createDataFrame(starts, "_part long, _first long")
+    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.withColumn("_part", part).join(F.broadcast(shifts), "_part") \
+        .withColumn(out, F.col("_first") + inside).drop("_part", "_first", "_at", "_tie")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, label)`` for every node of the edges ``(a, b)``; label is the component's smallest node.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bramble.llm import exact_dedup, packing, simhash
+from bramble.llm import exact_dedup, mixing, packing, simhash
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +45,8 @@ def op10_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(documents(spark, sf_dir))
+
+
+@query()
+def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan_mix(documents(spark, sf_dir))
