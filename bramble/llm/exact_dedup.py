@@ -21,11 +21,13 @@ from bramble.session import materialise, scratch_path
 #: copies compared with one replica of their kept text
 COPIES_PER_REPLICA = 256
 
-#: state on disk; without reserving room ahead, which costs megabytes for each of many partitions
+#: state on disk, with one bounded memory for an executor's partitions, and no room reserved ahead
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
 }
 
 
