@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bramble.llm import exact_dedup, mixing, packing, simhash
+from bramble.llm import exact_dedup, mixing, packing, simhash, toxicity
+from bramble.llm.common import id_fold
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +26,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 @query(r"""
     WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS chars,
                       regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm FROM documents)
@@ -50,3 +55,11 @@ def op8_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(documents(spark, sf_dir))
+
+
+@query()
+def op6_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, labels(spark, sf_dir))
+    return toxicity.graded(docs, model).withColumn(
+        "held_out", id_fold("doc_id", toxicity.FOLDS) == toxicity.HELD_OUT)
