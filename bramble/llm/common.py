@@ -38,7 +38,7 @@ def worker_store(name: str) -> dict:
     return holder.__dict__.setdefault(name, {})
 
 
-def join_by_weight(rows: DataFrame, table: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+def join_by_weight(rows: DataFrame, table: DataFrame, key: str | list[str], weight: str, total: int) -> DataFrame:
     """Inner join of ``rows`` with a table of one row per key and the key's row count in ``weight``.
 
     Keys with more than 1/HEAVY of all ``total`` rows number HEAVY at most: those table rows are
@@ -48,13 +48,16 @@ def join_by_weight(rows: DataFrame, table: DataFrame, key: str, weight: str, tot
     hot = table.where(F.col(weight) > total / HEAVY)
     cold = table.where(F.col(weight) <= total / HEAVY)
     near = rows.join(F.broadcast(hot), key)
-    far = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    far = rows.join(F.broadcast(hot.select(*([key] if isinstance(key, str) else key))), key, "left_anti").join(cold, key)
     return near.unionByName(far)
 
 
-def addressable(content: DataFrame, file: str = "_file", row: str = "_row") -> DataFrame:
-    """``content`` written once to the shared folder, with the file and row number of every row."""
-    held = materialise(content, "content")
+def addressable(content: DataFrame, file: str = "_file", row: str = "_row", *, stored: bool = False) -> DataFrame:
+    """``content`` with the file and row number of every row.
+
+    It is written once to the shared folder, unless it is ``stored``: a plain read of whole files.
+    """
+    held = content if stored else materialise(content, "content")
     return held.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
 
 

@@ -1,0 +1,171 @@
+"""Groups of near copies by the SimHash index, decided by the similarity of their word shingles.
+
+Copies of 0.8 similarity on five-word shingles differ in about one bit in seven of a shingle
+SimHash, far beyond what a Hamming index reaches. Their sets of words agree much better (about one
+bit in fifteen), so the index of operator 8 files a SimHash of four lanes over the distinct words,
+in eight 32-bit segments with a ball of radius one each, and the pairs it proposes are decided on
+the exact similarity of the five-word shingles of the whole texts.
+
+A bucket hands on a minimum spanning forest of its members by complete distance, not its pairs;
+large buckets are cut into blocks that are compared block with block.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from bramble.llm.common import addressable, bounded_batches, connected_components, join_by_weight, numbered, text_of
+from bramble.llm.simhash import _keys, majority, segment_tables, shingle_hashes
+from bramble.session import materialise
+
+LANES = 4
+#: differing bits of 256 up to which members of a bucket are proposed; copies of 0.8 have about 17
+FAR = 48
+SHINGLE, SIMILARITY = 5, 0.8
+#: members of a bucket that are compared as one block
+BLOCK = 1024
+
+
+def _spread(hashes: np.ndarray, lanes: int) -> np.ndarray:
+    """One hash to several lanes, by the finaliser of SplitMix64 at multiples of its step."""
+    steps = np.arange(1, lanes + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = hashes.reshape(-1, 1) + steps
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def word_lanes(words: list[bytes], lanes: int = LANES) -> np.ndarray:
+    """SimHash over the distinct words; zeros for no words."""
+    distinct = sorted(set(words))
+    if not distinct:
+        return np.zeros(lanes, np.uint64)
+    return majority(_spread(block, lanes) for block in shingle_hashes(distinct, 1))
+
+
+def similarity(a: str | None, b: str | None, width: int = SHINGLE) -> float:
+    """Jaccard similarity of the sets of word shingles; two texts without words are equal."""
+    sets = []
+    for text in (a, b):
+        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+        sets.append(np.unique(np.concatenate(list(shingle_hashes(words, width)))) if words else np.array([], np.uint64))
+    union = len(np.union1d(*sets))
+    return len(np.intersect1d(*sets, assume_unique=True)) / union if union else 1.0
+
+
+def spanning_forest(lanes: np.ndarray, far: int = FAR) -> list[tuple[int, int]]:
+    """Edges of a minimum spanning forest over the pairs of at most ``far`` differing bits."""
+    n = len(lanes)
+    best, parent = np.full(n, far + 1, np.int64), np.full(n, -1, np.int64)
+    outside, edges = np.ones(n, bool), []
+    for _ in range(n):
+        i = int(np.argmin(np.where(outside, best, 1 << 20)))
+        outside[i] = False
+        if best[i] <= far:
+            edges.append((int(parent[i]), i))
+        d = np.bitwise_count(lanes ^ lanes[i]).sum(axis=1, dtype=np.int64)
+        closer = outside & (d < best)
+        best[closer], parent[closer] = d[closer], i
+    return edges
+
+
+def _forests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Forest edges of each bucket block; the rows come sorted by ``block``."""
+    current, ids, prints = None, [], []
+
+    def edges() -> pd.DataFrame:
+        found = []
+        for a, b in spanning_forest(np.array(prints, np.int64).view(np.uint64).reshape(len(ids), -1)):
+            found.append((max(ids[a], ids[b]), min(ids[a], ids[b])))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    for batch in batches:
+        for block, i, lanes in zip(batch["block"], batch["id"], batch["lanes"]):
+            if block != current:
+                if len(ids) > 1:
+                    yield edges()
+                current, ids, prints = block, [], []
+            if not ids or ids[-1] != i:
+                ids.append(i)
+                prints.append(lanes)
+    if len(ids) > 1:
+        yield edges()
+
+
+def proposed_links(points: DataFrame) -> DataFrame:
+    """Distinct pairs ``(a, b)`` of ids that share a bucket and are close over all lanes."""
+    spark = points.sparkSession
+    tables, cell = segment_tables(LANES), ["table", "key"]
+    filed = points.select("id", F.explode(_keys(tables, False)).alias("k")).select("id", "k.table", "k.key")
+    steps = points.select("id", F.explode(_keys(tables, True)).alias("k")).where("k.step") \
+        .select("id", "k.table", "k.key")
+    present = filed.groupBy(*cell).agg(F.count("*").alias("filed"))
+    members = materialise(filed.unionByName(steps.join(present, cell).select("id", *cell)), "members")
+    sizes = materialise(members.groupBy(*cell).agg(F.count("*").alias("size")).where("size > 1"), "buckets")
+    held = join_by_weight(members, sizes, cell, "size", members.count())
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    meets = held.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    block = F.concat_ws(":", "table", "key", F.least("own", "other"), F.greatest("own", "other"))
+    rows = meets.select("id", block.alias("block")).join(points.select("id", "lanes"), "id")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "block").sortWithinPartitions("block", "id") \
+        .mapInPandas(_forests, "a long, b long").distinct()
+
+
+def near_groups(content: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
+                threshold: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """Written points and labels of an ``addressable`` content.
+
+    A point is a text up to letter case and white space: ``id`` (its first row in the order of
+    ids), ``_file`` and ``_row`` of that row and ``copies``. Labels are ``(node, label)`` for the
+    points with a partner of at least ``threshold`` similarity; null texts count as empty, and
+    texts without words are one point.
+    """
+    spark = content.sparkSession
+    bounded_batches(spark)
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from xxhash import xxh3_128_digest
+        for batch in batches:
+            words = [(t if isinstance(t, str) else "").encode("utf-8", "surrogatepass").lower().split()
+                     for t in batch["text"]]
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "_file": batch["_file"],
+                                "_row": batch["_row"], "same": [xxh3_128_digest(b" ".join(w)) for w in words],
+                                "lanes": [word_lanes(w).view(np.int64) for w in words]})
+
+    texts = content.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"), "_file", "_row")
+    rows = texts.mapInPandas(score, "doc_id long, _file string, _row long, same binary, lanes array<long>")
+    rows = numbered(rows, ["doc_id", "same"], "id")
+    first = rows.groupBy("same").agg(F.min(F.struct("id", "_file", "_row", "lanes")).alias("p"), F.count("*").alias("copies"))
+    points = materialise(first.select("p.*", "copies"), "points")
+    links = materialise(proposed_links(points), "proposed")
+
+    def alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            near = [similarity(x, y) >= threshold for x, y in zip(batch["x"], batch["y"])]
+            yield batch.loc[near, ["a", "b"]]
+
+    ends = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
+    shown = materialise(texts.join(points.join(ends, "id").select("id", "_file", "_row"), ["_file", "_row"])
+                        .select("id", "text"), "shown")
+    pairs = links.join(shown.select(F.col("id").alias("a"), F.col("text").alias("x")), "a") \
+        .join(shown.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
+    return points, connected_components(pairs.mapInPandas(alike, "a long, b long"))
+
+
+def keep_one_per_group(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
+                       threshold: float = SIMILARITY, stored: bool = False) -> DataFrame:
+    """One row of each group of near copies, the one of the smallest id, with the columns of ``docs``.
+
+    Rows whose text has no near copy all stay; null ids come first in the order of ids.
+    """
+    content = addressable(docs, stored=stored)
+    points, labels = near_groups(content, doc_id=doc_id, text=text, threshold=threshold)
+    stay = points.join(labels.where("node <> label").select(F.col("node").alias("id")), "id", "left_anti")
+    return content.join(stay.select("_file", "_row"), ["_file", "_row"], "left_semi").select(*docs.columns)
