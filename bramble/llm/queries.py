@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bramble.llm import exact_dedup, mixing, packing, simhash, toxicity
+from bramble.llm import exact_dedup, mixing, packing, sharding, simhash, toxicity
 from bramble.llm.common import id_fold
 
 QUERIES: dict = {}
@@ -63,3 +63,10 @@ def op6_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, labels(spark, sf_dir))
     return toxicity.graded(docs, model).withColumn(
         "held_out", id_fold("doc_id", toxicity.FOLDS) == toxicity.HELD_OUT)
+
+
+@query()
+def op7_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_rows(documents(spark, sf_dir))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
