@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bramble.llm import exact_dedup, mixing, packing, sharding, simhash, toxicity
+from bramble.llm import exact_dedup, mixing, packing, quality, sharding, simhash, toxicity
 from bramble.llm.common import id_fold
 
 QUERIES: dict = {}
@@ -70,3 +70,9 @@ def op7_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_rows(documents(spark, sf_dir))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query()
+def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.scored(docs, quality.fit(docs, labels(spark, sf_dir)))
