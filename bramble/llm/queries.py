@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bramble.llm import exact_dedup, mixing, packing, quality, sharding, simhash, toxicity
+from bramble.llm import exact_dedup, language, mixing, packing, quality, sharding, simhash, toxicity
 from bramble.llm.common import id_fold
 
 QUERIES: dict = {}
@@ -76,3 +76,9 @@ def op7_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return quality.scored(docs, quality.fit(docs, labels(spark, sf_dir)))
+
+
+@query()
+def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.predicted(docs, language.fit(docs))
