@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bramble.llm import exact_dedup, language, mixing, packing, quality, sharding, simhash, toxicity
+from bramble.llm import (exact_dedup, language, mixing, packing, quality, rules, sharding, simhash,
+                         toxicity)
 from bramble.llm.common import id_fold
 
 QUERIES: dict = {}
@@ -82,3 +83,9 @@ def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return language.predicted(docs, language.fit(docs))
+
+
+@query()
+def op3_ngram_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return rules.judged(docs, rules.fit(docs, labels(spark, sf_dir)))
