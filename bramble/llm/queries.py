@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bramble.llm import (exact_dedup, language, mixing, packing, quality, rules, sharding, simhash,
-                         toxicity)
+from bramble.llm import (exact_dedup, language, mixing, packing, quality, repeats, rules, sharding,
+                         simhash, toxicity)
 from bramble.llm.common import id_fold
 
 QUERIES: dict = {}
@@ -89,3 +89,8 @@ def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_ngram_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return rules.judged(docs, rules.fit(docs, labels(spark, sf_dir)))
+
+
+@query()
+def op9_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(documents(spark, sf_dir), stored=True)
