@@ -32,27 +32,25 @@ def id_fold(doc_id: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % modulus
 
 
-def worker_store(name: str) -> dict:
-    """A dictionary that lives as long as the Python worker; task code is unpickled anew for each task."""
-    holder = sys.modules.setdefault("_bramble_worker", types.ModuleType("_bramble_worker"))
-    return holder.__dict__.setdefault(name, {})
+def carried(doc_id: str) -> Column:
+    """An id on its way through pandas, as text: whole numbers beside nulls would become floats there."""
+    return F.col(doc_id).cast("string").alias("doc_id")
 
 
-def join_by_weight(rows: DataFrame, table: DataFrame, key: str | list[str], weight: str, total: int) -> DataFrame:
-    """Inner join of ``rows`` with a table of one row per key and the key's row count in ``weight``.
+def worker_store(name: str) -> dict:
+    """A dictionary that lives as long as the Python worker; task code is unpickled anew for each task.
 
-    Keys with more than 1/HEAVY of all ``total`` rows number HEAVY at most: those table rows are
-    broadcast, so the rows of a hot key stay where they are. The rest meets in a shuffle in which
-    no key has more than that share. ``rows`` is read twice and should be a written table.
+    A worker keeps one such store: asking for another name drops what an earlier operator left.
     """
-    hot = table.where(F.col(weight) > total / HEAVY)
-    cold = table.where(F.col(weight) <= total / HEAVY)
-    near = rows.join(F.broadcast(hot), key)
-    far = rows.join(F.broadcast(hot.select(*([key] if isinstance(key, str) else key))), key, "left_anti").join(cold, key)
-    return near.unionByName(far)
+    holder = sys.modules.setdefault("_bramble_worker", types.ModuleType("_bramble_worker"))
+    stores = holder.__dict__.setdefault("stores", {})
+    if name not in stores:
+        stores.clear()
+        stores[name] = {}
+    return stores[name]
 
 
-def addressable(content: DataFrame, file: str = "_file", row: str = "_row", *, stored: bool = False) -> DataFrame:
+def addressable(content: DataFrame, file: str = "_bramble_file", row: str = "_bramble_row", *, stored: bool = False) -> DataFrame:
     """``content`` with the file and row number of every row.
 
     It is written once to the shared folder, unless it is ``stored``: a plain read of whole files.

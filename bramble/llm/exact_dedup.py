@@ -28,6 +28,7 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+    "spark.sql.streaming.stateStore.maintenanceInterval": "5s",  # closes the stores of a stream that has ended
 }
 
 
@@ -121,7 +122,7 @@ def keep_first(content: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     path = scratch_path(spark, "content")
     content.write.parquet(path)
     stay = exact_classes(spark, path, doc_id=doc_id, text=text).where("kept").select(
-        F.col("file").alias("_file"), F.col("row").alias("_row"))
+        F.col("file").alias("_bramble_file"), F.col("row").alias("_bramble_row"))
     held = spark.read.schema(content.schema).parquet(path)
-    located = held.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    return located.join(stay, ["_file", "_row"], "left_semi").select(*content.columns)
+    located = held.select("*", F.col("_metadata.file_path").alias("_bramble_file"), F.col("_metadata.row_index").alias("_bramble_row"))
+    return located.join(stay, ["_bramble_file", "_bramble_row"], "left_semi").select(*content.columns)

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bramble.llm.common import bounded_batches, id_fold, worker_store
+from bramble.llm.common import bounded_batches, carried, id_fold, worker_store
 
 #: trigrams are hashed to so many slots
 SLOTS = 1 << 15
@@ -177,8 +177,8 @@ def predicted(docs: DataFrame, model: LanguageModel, *, doc_id: str = "doc_id",
             yield batch[["doc_id", "held_out"]].assign(**{
                 name: [f[i] for f in found] for i, name in enumerate(("lang_pred", "score", "langs", "shares"))})
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), (id_fold(doc_id, FOLDS) == HELD_OUT).alias("held_out"),
+    return docs.select(carried(doc_id), (id_fold(doc_id, FOLDS) == HELD_OUT).alias("held_out"),
                        F.col(text).alias("_text")) \
-        .mapInPandas(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, "
-                          "langs array<string>, shares array<double>")
+        .mapInPandas(run, "doc_id string, held_out boolean, lang_pred string, score double, "
+                          "langs array<string>, shares array<double>") \
+        .withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))

@@ -118,6 +118,7 @@ def _take_in_order(rows: pd.DataFrame) -> pd.DataFrame:
 def mixed(docs: DataFrame, *, stored: bool = False, **options) -> DataFrame:
     """The rows of ``docs`` in the mix, each as often as it is taken, with the columns of ``docs``."""
     content = addressable(docs, stored=stored)
-    plan = plan_mix(content, keep=["_file", "_row"], **options).where("copies > 0").select("_file", "_row", "copies")
-    return content.join(plan, ["_file", "_row"]) \
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    place = ["_bramble_file", "_bramble_row"]
+    plan = plan_mix(content, keep=place, **options).where("copies > 0") \
+        .select(*place, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_bramble_copy"))
+    return content.join(plan, place).select(*docs.columns)

@@ -19,7 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bramble.llm.common import addressable, bounded_batches, connected_components, join_by_weight, numbered, text_of
+from bramble.llm.common import (addressable, bounded_batches, carried, connected_components, join_by_weight, numbered,
+                                text_of, worker_store)
 from bramble.llm.simhash import _keys, majority, segment_tables, shingle_hashes
 from bramble.session import materialise
 
@@ -100,18 +101,19 @@ def _forests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def proposed_links(points: DataFrame) -> DataFrame:
     """Distinct pairs ``(a, b)`` of ids that share a bucket and are close over all lanes."""
     spark = points.sparkSession
-    tables, cell = segment_tables(LANES), ["table", "key"]
-    filed = points.select("id", F.explode(_keys(tables, False)).alias("k")).select("id", "k.table", "k.key")
+    tables, cell = segment_tables(LANES), F.xxhash64("k.table", "k.key")  # equal cells are compared anyway
+    filed = points.select("id", F.explode(_keys(tables, False)).alias("k")).select("id", cell.alias("cell"))
     steps = points.select("id", F.explode(_keys(tables, True)).alias("k")).where("k.step") \
-        .select("id", "k.table", "k.key")
-    present = filed.groupBy(*cell).agg(F.count("*").alias("filed"))
-    members = materialise(filed.unionByName(steps.join(present, cell).select("id", *cell)), "members")
-    sizes = materialise(members.groupBy(*cell).agg(F.count("*").alias("size")).where("size > 1"), "buckets")
-    held = join_by_weight(members, sizes, cell, "size", members.count())
+        .select("id", cell.alias("cell"))
+    present = filed.groupBy("cell").agg(F.count("*").alias("filed"))
+    members = materialise(filed.unionByName(steps.join(present, "cell").select("id", "cell"))
+                          .withColumnRenamed("cell", "bucket"), "members")
+    sizes = materialise(members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
+    held = join_by_weight(members, sizes, "bucket", "size", members.count())
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     meets = held.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    block = F.concat_ws(":", "table", "key", F.least("own", "other"), F.greatest("own", "other"))
+    block = F.concat_ws(":", "bucket", F.least("own", "other"), F.greatest("own", "other"))
     rows = meets.select("id", block.alias("block")).join(points.select("id", "lanes"), "id")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(parts, "block").sortWithinPartitions("block", "id") \
@@ -123,7 +125,7 @@ def near_groups(content: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     """Written points and labels of an ``addressable`` content.
 
     A point is a text up to letter case and white space: ``id`` (its first row in the order of
-    ids), ``_file`` and ``_row`` of that row and ``copies``. Labels are ``(node, label)`` for the
+    ids), ``_bramble_file`` and ``_bramble_row`` of that row and ``copies``. Labels are ``(node, label)`` for the
     points with a partner of at least ``threshold`` similarity; null texts count as empty, and
     texts without words are one point.
     """
@@ -132,17 +134,19 @@ def near_groups(content: DataFrame, *, doc_id: str = "doc_id", text: str = "text
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from xxhash import xxh3_128_digest
+        worker_store("near")  # lets go of what the worker remembers for other operators
         for batch in batches:
             words = [(t if isinstance(t, str) else "").encode("utf-8", "surrogatepass").lower().split()
                      for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "_file": batch["_file"],
-                                "_row": batch["_row"], "same": [xxh3_128_digest(b" ".join(w)) for w in words],
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "_bramble_file": batch["_bramble_file"],
+                                "_bramble_row": batch["_bramble_row"], "same": [xxh3_128_digest(b" ".join(w)) for w in words],
                                 "lanes": [word_lanes(w).view(np.int64) for w in words]})
 
-    texts = content.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"), "_file", "_row")
-    rows = texts.mapInPandas(score, "doc_id long, _file string, _row long, same binary, lanes array<long>")
+    texts = content.select(carried(doc_id), text_of(text).alias("text"), "_bramble_file", "_bramble_row")
+    rows = texts.mapInPandas(score, "doc_id string, _bramble_file string, _bramble_row long, same binary, lanes array<long>")
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast(content.schema[doc_id].dataType))
     rows = numbered(rows, ["doc_id", "same"], "id")
-    first = rows.groupBy("same").agg(F.min(F.struct("id", "_file", "_row", "lanes")).alias("p"), F.count("*").alias("copies"))
+    first = rows.groupBy("same").agg(F.min(F.struct("id", "_bramble_file", "_bramble_row", "lanes")).alias("p"), F.count("*").alias("copies"))
     points = materialise(first.select("p.*", "copies"), "points")
     links = materialise(proposed_links(points), "proposed")
 
@@ -152,7 +156,7 @@ def near_groups(content: DataFrame, *, doc_id: str = "doc_id", text: str = "text
             yield batch.loc[near, ["a", "b"]]
 
     ends = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
-    shown = materialise(texts.join(points.join(ends, "id").select("id", "_file", "_row"), ["_file", "_row"])
+    shown = materialise(texts.join(points.join(ends, "id").select("id", "_bramble_file", "_bramble_row"), ["_bramble_file", "_bramble_row"])
                         .select("id", "text"), "shown")
     pairs = links.join(shown.select(F.col("id").alias("a"), F.col("text").alias("x")), "a") \
         .join(shown.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
@@ -168,4 +172,4 @@ def keep_one_per_group(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     content = addressable(docs, stored=stored)
     points, labels = near_groups(content, doc_id=doc_id, text=text, threshold=threshold)
     stay = points.join(labels.where("node <> label").select(F.col("node").alias("id")), "id", "left_anti")
-    return content.join(stay.select("_file", "_row"), ["_file", "_row"], "left_semi").select(*docs.columns)
+    return content.join(stay.select("_bramble_file", "_bramble_row"), ["_bramble_file", "_bramble_row"], "left_semi").select(*docs.columns)

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bramble.llm.common import bounded_batches, worker_store
+from bramble.llm.common import bounded_batches, carried, worker_store
 from bramble.session import materialise
 
 CAPACITY = 2048
@@ -29,11 +29,11 @@ ITEMS = 50_000
 #: partitions that meet in one per round
 FAN_IN = 8
 
-PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECE = "doc_id string, piece int, start long, length long, ids_crc32 long"
 BIN = f"fill int, final boolean, pieces array<struct<{PIECE.replace(' ', ':').replace(',:', ',')}>>"
 
 #: words that a worker remembers
-_CACHE = 800_000
+_CACHE = 600_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -141,7 +141,7 @@ def best_fit(lengths: list[int], capacity: int) -> list[int]:
 
 def _packed(items: list[tuple[int, list]], capacity: int, slack: int) -> pd.DataFrame:
     """Items ``(length, pieces)`` to rows of BIN; the order of items decides nothing but ties."""
-    items.sort(key=lambda x: (-x[0], x[1][0]))
+    items.sort(key=lambda x: (-x[0], x[1][0][0] or "", x[1][0][1:]))
     bins: dict[int, list] = {}
     for item, b in zip(items, best_fit([x[0] for x in items], capacity)):
         bins.setdefault(b, []).append(item)
@@ -176,7 +176,7 @@ def pack_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         encode, held = word_encoder(path), []
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-            ids = [None if pd.isna(i) else int(i) for i in batch["doc_id"]]
+            ids = [i if isinstance(i, str) else None for i in batch["doc_id"]]
             for i, encoded in zip(ids, encode(texts)):
                 parts = pieces_of(encoded, i, capacity)
                 held.extend((p[3], [p]) for p in parts)
@@ -195,7 +195,7 @@ def pack_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
                 held = []
         yield from _chunks(held, capacity, slack)
 
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    source = docs.select(carried(doc_id), F.col(text).alias("text"))
     level = materialise(source.mapInPandas(first, BIN), "bins")
     rounds = [level.where("final")]
     rest = level.where("not final")
@@ -216,7 +216,8 @@ def pack_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     numbered = packed.select(F.monotonically_increasing_id().alias("sequence_id"), "pieces")
     before = F.aggregate(F.slice("pieces", 1, F.col("pos")), F.lit(0).cast("long"), lambda a, p: a + p["length"])
     return numbered.select("sequence_id", "pieces", F.posexplode("pieces").alias("pos", "p")) \
-        .select("p.*", "sequence_id", before.alias("offset"))
+        .select(F.col("p.doc_id").cast(docs.schema[doc_id].dataType).alias("doc_id"), "p.piece", "p.start", "p.length",
+                "p.ids_crc32", "sequence_id", before.alias("offset"))
 
 
 def _chunks(held: list, capacity: int, slack: int) -> Iterator[pd.DataFrame]:
@@ -251,8 +252,9 @@ def token_sequences(placed: DataFrame, docs: DataFrame, *, doc_id: str = "doc_id
                 rows.extend((i, k, ids[s:s + capacity]) for k, s in enumerate(range(0, len(ids), capacity)))
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "ids"])
 
-    tokens = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")) \
-        .mapInPandas(cut, "doc_id long, piece int, ids array<int>")
+    tokens = docs.select(carried(doc_id), F.col(text).alias("text")) \
+        .mapInPandas(cut, "doc_id string, piece int, ids array<int>") \
+        .withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
     held = placed.select("doc_id", "piece", "sequence_id", "offset").join(tokens, ["doc_id", "piece"])
     return held.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts")) \
         .select("sequence_id", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))

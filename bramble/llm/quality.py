@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bramble.llm.common import bounded_batches, id_fold
+from bramble.llm.common import bounded_batches, carried, id_fold
 from bramble.session import materialise
 
 #: labelled documents of each kind that go into a dictionary, and that calibrate, at most
@@ -161,8 +161,8 @@ def differences(docs: DataFrame, good: bytes, bad: bytes, keep: list[str], text:
 
 def scored(docs: DataFrame, model: CompressionModel, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row; null and empty texts have difference 0."""
-    found = differences(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
-                        model.good, model.bad, ["doc_id"])
+    found = differences(docs.select(carried(doc_id), F.col(text).alias("text")), model.good, model.bad, ["doc_id"]) \
+        .withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
     score = 1 / (1 + F.exp(-(F.lit(model.offset) + F.lit(model.slope) * F.col("difference"))))
     return found.select("doc_id", (id_fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"), score.alias("score"),
                         (score >= 0.5).cast("int").alias("predicted"), "difference")

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bramble.llm.common import addressable, bounded_batches, join_by_weight, text_of
+from bramble.llm.common import addressable, bounded_batches, carried, join_by_weight, text_of
 from bramble.session import materialise
 
 LENGTH = 400
@@ -126,15 +126,15 @@ def _scan(content: DataFrame, doc_id: str, text: str, length: int, gram: int) ->
         for batch in batches:
             data = [_bytes_of(t) for t in batch["text"]]
             found = [anchors(d, length, gram) for d in data]
-            yield batch[["doc_id", "_file", "_row"]].assign(
+            yield batch[["doc_id", "_bramble_file", "_bramble_row"]].assign(
                 n_bytes=[len(d) for d in data], sha=[hashlib.sha256(d).hexdigest() for d in data],
                 **{name: [f[i] for f in found] for i, name in enumerate(("at", "key", "first", "last"))})
 
-    kind = content.schema[doc_id].dataType.simpleString()
-    rows = content.select(F.col(doc_id).alias("doc_id"), "_file", "_row", text_of(text).alias("text")).mapInPandas(
-        look, f"doc_id {kind}, _file string, _row long, n_bytes long, sha string, at array<long>, key array<long>, "
+    rows = content.select(carried(doc_id), "_bramble_file", "_bramble_row", text_of(text).alias("text")).mapInPandas(
+        look, "doc_id string, _bramble_file string, _bramble_row long, n_bytes long, sha string, at array<long>, key array<long>, "
               "first array<long>, last array<long>")
-    return materialise(rows.withColumn("uid", F.monotonically_increasing_id()), "scan")
+    return materialise(rows.withColumn("doc_id", F.col("doc_id").cast(content.schema[doc_id].dataType))
+                       .withColumn("uid", F.monotonically_increasing_id()), "scan")
 
 
 def _cells(texts: DataFrame, lows: DataFrame, size: int, length: int) -> DataFrame:
@@ -209,9 +209,9 @@ def without_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
             yield pd.DataFrame(rows, columns=["uid", "low"])
 
     lows = materialise(held.select("uid", "at", "first", "last").mapInPandas(grid, "uid long, low long"), "lows")
-    where = scan.select("uid", "_file", "_row").join(lows.select("uid").distinct(), "uid")
-    texts = materialise(content.select("_file", "_row", F.encode(text_of(text), "utf-8").alias("data"))
-                        .join(where, ["_file", "_row"]).select("uid", "data"), "texts")
+    where = scan.select("uid", "_bramble_file", "_bramble_row").join(lows.select("uid").distinct(), "uid")
+    texts = materialise(content.select("_bramble_file", "_bramble_row", F.encode(text_of(text), "utf-8").alias("data"))
+                        .join(where, ["_bramble_file", "_bramble_row"]).select("uid", "data"), "texts")
     flagged = repeated_cells(texts, lows, length).groupBy("uid") \
         .agg(F.collect_list(F.struct("low", "starts")).alias("cells"))
 
@@ -227,13 +227,13 @@ def without_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     shape = "uid long, removed long, spans long, rest string" + (", kept binary" if with_bytes else "")
     changed = texts.join(flagged, "uid").select("uid", "data", "cells").mapInPandas(cut, shape)
-    out = scan.select("uid", "doc_id", "n_bytes", "sha", *(["_file", "_row"] if with_bytes else [])) \
+    out = scan.select("uid", "doc_id", "n_bytes", "sha", *(["_bramble_file", "_bramble_row"] if with_bytes else [])) \
         .join(changed, "uid", "left")
     columns = ["doc_id", "n_bytes", F.coalesce("removed", F.lit(0)).cast("long").alias("n_removed"),
                F.coalesce("spans", F.lit(0)).cast("long").alias("n_spans"),
                F.coalesce("rest", "sha").alias("kept_sha256")]
     if with_bytes:
-        whole = content.select("_file", "_row", F.encode(text_of(text), "utf-8").alias("_whole"))
-        out = out.join(whole, ["_file", "_row"])
+        whole = content.select("_bramble_file", "_bramble_row", F.encode(text_of(text), "utf-8").alias("_whole"))
+        out = out.join(whole, ["_bramble_file", "_bramble_row"])
         columns.append(F.coalesce("kept", "_whole").alias("kept"))
     return out.select(*columns)

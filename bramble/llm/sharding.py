@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bramble.llm.common import bounded_batches, numbered, text_of
+from bramble.llm.common import bounded_batches, carried, numbered, text_of
 
 SHARDS = 24
 ROUNDS = 8
@@ -87,6 +87,6 @@ def shard_rows(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", s
             at = permute(batch["number"].to_numpy(), total, seed=seed)
             yield batch.assign(shard=(at % shards).astype("int32"), slot=at // shards)
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    return placed.select(F.col("doc_id"), "size", "text_crc32", "number").mapInPandas(
-        places, f"doc_id {kind}, size long, text_crc32 long, number long, shard int, slot long")
+    return placed.select(carried("doc_id"), "size", "text_crc32", "number").mapInPandas(
+        places, "doc_id string, size long, text_crc32 long, number long, shard int, slot long") \
+        .withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bramble.llm.common import bounded_batches, connected_components, join_by_weight
+from bramble.llm.common import bounded_batches, carried, connected_components, join_by_weight
 from bramble.session import materialise
 
 SEED = 42
@@ -92,10 +92,11 @@ def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             prints = [[signed(fingerprint(t if isinstance(t, str) else None, width))] for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "lanes": prints})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "lanes": prints})
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")) \
-        .mapInPandas(score, "doc_id long, lanes array<long>")
+    return docs.select(carried(doc_id), F.col(text).alias("text")) \
+        .mapInPandas(score, "doc_id string, lanes array<long>") \
+        .select(F.col("doc_id").cast(docs.schema[doc_id].dataType).alias("doc_id"), "lanes")
 
 
 def _keys(tables: list[Table], probe: bool) -> Column:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bramble.llm.common import bounded_batches, id_fold
+from bramble.llm.common import bounded_batches, carried, id_fold
 from bramble.session import materialise
 
 #: labelled documents of each kind that the fit reads at most; the whole of each text is read
@@ -171,7 +171,7 @@ def graded(docs: DataFrame, model: OrdinalModel, *, doc_id: str = "doc_id", text
     """
     bounded_batches(docs.sparkSession)
     weights = model.weights
-    columns = [F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"), *keep]
+    columns = [carried(doc_id), F.col(text).alias("_text"), *keep]
     source = docs.select(*columns)
     kept = [f for f in source.schema.fields if f.name != "_text"]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
@@ -187,7 +187,7 @@ def graded(docs: DataFrame, model: OrdinalModel, *, doc_id: str = "doc_id", text
                 grade=(np.cumsum(p, axis=1)[:, :-1] < 0.5).sum(axis=1) if len(p) else [],
                 toxic=p[:, 0] < 0.5 if len(p) else [])
 
-    return source.mapInPandas(score, schema)
+    return source.mapInPandas(score, schema).withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
