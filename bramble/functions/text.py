@@ -42,9 +42,9 @@ def ngrams(df: DataFrame, n: int = 2, words: str = "words", out: str = "ngrams")
     return NGram(n=n, inputCol=words, outputCol=out).transform(df)
 
 
-def vocabulary(df: DataFrame, words: str = "words", out: str = "counts", *, size: int = 1 << 18,
+def vocabulary(df: DataFrame, words: str = "words", out: str = "counts", *, size: int,
                min_df: float = 1.0) -> CountVectorizerModel:
-    """Term dictionary of bounded size; counting is distributed, the top terms are kept."""
+    """Dictionary of the ``size`` most frequent terms, for stages that need vectors; see ``term_weights``."""
     return CountVectorizer(inputCol=words, outputCol=out, vocabSize=size, minDF=min_df).fit(df)
 
 
@@ -61,13 +61,13 @@ def tf_idf(df: DataFrame, counts: str = "counts", out: str = "weights") -> DataF
     return IDF(inputCol=counts, outputCol=out).fit(df).transform(df)
 
 
-def term_weights(df: DataFrame, key: str, total_docs, words: str = "words") -> DataFrame:
-    """``(key, term, n, tfidf)`` for every term, without a vocabulary limit.
+def term_weights(df: DataFrame, key: str, total_docs, words: str = "words", min_docs: int = 1) -> DataFrame:
+    """``(key, term, n, tfidf)`` for every term in at least ``min_docs`` documents, however many there are.
 
     Counting is combined map-side per document; document frequencies are a second aggregation
     joined back on the term (common terms are left to the skew-join splitting).
     """
     tf = exploded(df, words, "term", key).groupBy(key, "term").agg(F.count("*").alias("n"))
-    counts = tf.groupBy("term").agg(F.count("*").alias("docs"))
+    counts = tf.groupBy("term").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     idf = F.log((total_docs + 1) / (F.col("docs") + 1))
     return tf.join(counts, "term").select(key, "term", "n", (F.col("n") * idf).alias("tfidf"))

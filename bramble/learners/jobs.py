@@ -46,7 +46,7 @@ def feature_stages(df: DataFrame, columns: Sequence[str], index: str = "strings"
         stages.append(StringIndexer(inputCols=text, outputCols=[f"{c}_index" for c in text],
                                     handleInvalid="keep"))
     inputs = [f"{c}_index" if c in text else c for c in columns]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="raw_features", handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="raw_features", handleInvalid="error"))
     stages.append(StandardScaler(inputCol="raw_features", outputCol="features"))
     return stages
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,11 +12,9 @@ from bramble.functions.columns import as_array, distance
 
 def centres_of(df: DataFrame, features: str, cluster: str) -> DataFrame:
     """Mean vector per cluster: ``(cluster, centre, n)``."""
-    slots = df.select(F.col(cluster).alias("cluster"), F.posexplode(as_array(df, features)).alias("pos", "v"))
-    means = slots.groupBy("cluster", "pos").agg(F.avg("v").alias("m"), F.count("*").alias("n"))
-    return means.groupBy("cluster").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias("centre"),
-        F.max("n").alias("n"))
+    rows = df.select(F.col(cluster).alias("cluster"), array_to_vector(as_array(df, features)).alias("v"))
+    return rows.groupBy("cluster").agg(vector_to_array(Summarizer.mean(F.col("v"))).alias("centre"),
+                                       F.count("*").alias("n"))
 
 
 def assign(df: DataFrame, centres: DataFrame, features: str = "features") -> DataFrame:

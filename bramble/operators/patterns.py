@@ -28,6 +28,20 @@ def item_key(items: str) -> Column:
     return F.array_join(F.array_sort(items), "_")
 
 
+def apply_rules(rows: DataFrame, key: str, rules: DataFrame, items: str = "items", out: str = "prediction") -> DataFrame:
+    """``(key, out)``: consequents of the rules whose antecedents a row holds and which it lacks.
+
+    Rules meet rows by item, so their number is not limited by what one machine holds.
+    """
+    named = rules.select(F.col("consequent")[0].alias("_then"), "antecedent",
+                         F.concat_ws("\x1f", F.array_sort("antecedent")).alias("_if"))
+    needs = named.select("_if", "_then", F.size("antecedent").alias("_size"), F.explode("antecedent").alias("_item"))
+    held = rows.select(key, F.explode(items).alias("_item"))
+    met = held.join(needs, "_item").groupBy(key, "_if", "_then", "_size").agg(F.count("*").alias("_n")) \
+        .where("_n = _size").select(key, F.col("_then").alias("_item")).distinct()
+    return met.join(held, [key, "_item"], "left_anti").groupBy(key).agg(F.array_sort(F.collect_list("_item")).alias(out))
+
+
 def rule_rollup(rules: DataFrame, best: int = 5) -> DataFrame:
     """For single-item antecedents the consequents of highest confidence, best first."""
     rows = rules.where(F.size("antecedent") == 1).select(

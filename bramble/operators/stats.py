@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bramble.functions.columns import with_slots
+from bramble.functions.encode import lookup
 from bramble.operators.ranking import average_ranks
 
 
@@ -30,14 +31,16 @@ def moments(df: DataFrame, features: str = "features", weight: str | None = None
 def correlations(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
     """Correlation matrix as rows ``(i, j, corr)``; its size is the square of the column count.
 
-    Rank correlation replaces every column by its average ranks first. Ranks are found on the
-    distinct values of a column and joined back, so rows are never sorted as a whole.
+    Rows with a missing value are left out. Rank correlation replaces every column by its average
+    ranks first. Ranks are found on the distinct values of a column and looked up, by broadcast where
+    the values are few, so rows are never sorted as a whole.
     """
-    rows = df.select(*columns)
+    rows = df.select(*columns).na.drop()
     if method == "spearman":
+        complete = rows
         for c in columns:
-            ranks = average_ranks(df, c, "_rank").withColumnRenamed("value", c)
-            rows = rows.join(ranks, c).withColumn(c, F.col("_rank")).drop("_rank")
+            ranks = average_ranks(complete, c, "_rank").withColumnRenamed("value", c)
+            rows = lookup(rows, ranks, c).withColumn(c, F.col("_rank")).drop("_rank")
     elif method != "pearson":
         raise ValueError(f"unknown method {method}")
     rows = assemble(rows.select(*columns), columns, "_features")

@@ -75,9 +75,8 @@ def hashed_counts(t: Tables) -> DataFrame:
 @plan("H6", oracle=_TERMS + """, d AS (SELECT term FROM t GROUP BY term HAVING count(DISTINCT doc_id) >= 2)
     SELECT doc_id, term, count(*)::DOUBLE AS n FROM t JOIN d USING (term) GROUP BY ALL""")
 def count_vector(t: Tables) -> DataFrame:
-    docs = _docs(t)
-    model = tx.vocabulary(docs, min_df=2)
-    return tx.term_rows(model.transform(docs), model, "counts", "doc_id", value="n")
+    return tx.term_weights(_docs(t), "doc_id", F.lit(0), min_docs=2) \
+        .select("doc_id", "term", F.col("n").cast("double").alias("n"))
 
 
 @plan("H6", oracle=_TERMS + """
@@ -95,11 +94,8 @@ def fixed_vocabulary(t: Tables) -> DataFrame:
     SELECT doc_id, term, {sql6('n * ln(((SELECT count(*) FROM documents) + 1) / (df + 1))')} AS tfidf
     FROM tf JOIN df USING (term)""")
 def tf_idf(t: Tables) -> DataFrame:
-    docs = _docs(t)
-    model = tx.vocabulary(docs, min_df=2)
-    weighted = tx.tf_idf(model.transform(docs))
-    return tx.term_rows(weighted, model, "weights", "doc_id", value="tfidf") \
-        .withColumn("tfidf", r6("tfidf"))
+    return tx.term_weights(_docs(t), "doc_id", t.documents.agg(F.count("*")).scalar(), min_docs=2) \
+        .select("doc_id", "term", r6("tfidf").alias("tfidf"))
 
 
 @plan("H7", oracle=_TERMS + f""", tf AS (SELECT doc_id, term, count(*) AS n FROM t GROUP BY ALL),
@@ -239,9 +235,19 @@ def vector_index(t: Tables) -> DataFrame:
     SELECT p_partkey, pos, CASE WHEN i = pos THEN 1.0 ELSE 0.0 END::DOUBLE AS value
     FROM part JOIN f USING (p_type), (SELECT unnest(range(0, 5)) AS pos)""")
 def encode_onehot(t: Tables) -> DataFrame:
+    return with_slots(_one_hot(t), "type_v", "p_partkey")
+
+
+@plan("H18", oracle=_INDEX + """
+    SELECT p_partkey, pos, CASE WHEN j = pos THEN 1.0 ELSE 0.0 END::DOUBLE AS value
+    FROM part JOIN b USING (p_brand), (SELECT unnest(range(0, (SELECT count(*) - 1 FROM b))) AS pos)""")
+def encode_onehot_brand(t: Tables) -> DataFrame:
+    return with_slots(_one_hot(t), "brand_v", "p_partkey")
+
+
+def _one_hot(t: Tables) -> DataFrame:
     rows, _ = _indexed(t)
-    model = mf.OneHotEncoder(inputCols=["type_i", "brand_i"], outputCols=["type_v", "brand_v"]).fit(rows)
-    return with_slots(model.transform(rows), "type_v", "p_partkey")
+    return mf.OneHotEncoder(inputCols=["type_i", "brand_i"], outputCols=["type_v", "brand_v"]).fit(rows).transform(rows)
 
 
 @plan("H19", oracle="""
@@ -258,7 +264,7 @@ def encode_onehot_full(t: Tables) -> DataFrame:
 def _quad(t: Tables) -> DataFrame:
     rows = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_tax",
                              F.col("l_linenumber").cast("double").alias("line"))
-    return stats.assemble(spread(rows, "l_orderkey", "l_partkey"), ["l_quantity", "l_discount", "l_tax", "line"])
+    return stats.assemble(rows, ["l_quantity", "l_discount", "l_tax", "line"])
 
 
 _QUAD = """WITH q AS (SELECT l_orderkey, l_partkey, l_quantity AS a, l_discount AS b, l_tax AS c,

@@ -39,6 +39,14 @@ def _model(t: Tables):
     return pt.mine(_bought(t), min_support=_SUPPORT, min_confidence=_CONFIDENCE)
 
 
+@plan("L5")
+def seq_patterns_long(t: Tables) -> DataFrame:
+    """Frequent sequences of the full length of five."""
+    found = pt.frequent_sequences(pt.sequences(t.events, "user_id", "ts", "event_type"), min_support=0.6, max_length=5)
+    steps = F.transform("sequence", lambda s: F.array_join(F.array_sort(s), ","))
+    return found.select(F.array_join(steps, ";").alias("pattern"), "freq")
+
+
 @plan("L1", oracle=_SETS + "SELECT items, freq FROM f")
 def itemsets(t: Tables) -> DataFrame:
     return _model(t).freqItemsets.select(pt.item_key("items").alias("items"), "freq")
@@ -60,7 +68,7 @@ def rules(t: Tables) -> DataFrame:
 def rule_apply(t: Tables) -> DataFrame:
     rows = _bought(t)
     model = pt.mine(rows, min_support=_SUPPORT, min_confidence=_CONFIDENCE)
-    return model.transform(rows).where(F.size("prediction") > 0) \
+    return pt.apply_rules(rows, "l_orderkey", model.associationRules) \
         .select("l_orderkey", pt.item_key("prediction").alias("suggested"))
 
 

@@ -12,6 +12,7 @@ from bramble.functions.columns import big, r6
 from bramble.operators import sampling
 from bramble.operators.neighbours import sample_sizes
 from bramble.operators.ranking import number_rows
+from bramble.session import materialise
 from bramble.plans.registry import Tables, plan
 from bramble.plans.registry import r6 as sql6
 
@@ -213,8 +214,11 @@ def sample_many_sizes(t: Tables) -> DataFrame:
     SELECT o_orderpriority, count(*) AS n, min(o_orderkey) AS first_key FROM orders GROUP BY 1""")
 def cached_counts(t: Tables) -> DataFrame:
     rows = t.orders.select("o_orderpriority", "o_orderkey").persist(StorageLevel.MEMORY_AND_DISK)
-    return rows.coalesce(8).groupBy("o_orderpriority") \
-        .agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_key"))
+    counts = rows.groupBy("o_orderpriority").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_key")) \
+        .coalesce(1)   # one row per priority
+    found = materialise(counts, "counts")
+    rows.unpersist()
+    return found
 
 
 @plan("F5 B24", oracle="""
