@@ -19,34 +19,27 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k:
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
 
 
-def _boundaries(df: DataFrame, by: str, buckets: int) -> list[float]:
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(by, shares, 10_000).alias("c")).first().c
-    return sorted(set(cuts or []))
+#: items whose norms differ by less than two to this power are searched together
+NORM_BAND = 8
+#: distinct rows that one bucket of a running total holds, if the session's partitions are fewer
+BUCKET_ROWS = 1_000_000
 
 
 def running_totals(df: DataFrame, by: str, sums: Sequence[str], *, descending: bool = False,
                    buckets: int | None = None) -> DataFrame:
     """Add ``cum_<name>`` for each column of ``sums``, accumulated in the order of ``by``.
 
-    Rows must be unique in ``by`` (aggregate first). The range is cut into buckets at approximate
-    quantiles; each bucket is accumulated on its own and shifted by the totals of the buckets
-    before it, so no task sorts the whole table. The input is written once, as it is read for the
-    boundaries, the bucket totals and the sums.
+    Rows must be unique in ``by`` (aggregate first). They are dealt out by ranges of ``by``; each
+    range is accumulated on its own and shifted by the totals of the ranges before it, so no task
+    sorts the whole table. The number of ranges follows the row count.
     """
     df = materialise(df, "totals")
     if buckets is None:
-        buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cuts = _boundaries(df, by, min(buckets, 2000))
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(2, parts, -(-df.count() // BUCKET_ROWS))
     order = F.col(by).desc() if descending else F.col(by).asc()
-    if cuts:
-        edges = F.lit(cuts)
-        place = F.size(F.filter(edges, lambda e: e < F.col(by)))
-    else:
-        place = F.lit(0)
-    placed = df.withColumn("_bucket", place)
-    turn = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
-    before = Window.partitionBy(F.lit(0)).orderBy(turn).rowsBetween(Window.unboundedPreceding, -1)
+    placed = materialise(df.repartitionByRange(buckets, order).withColumn("_bucket", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = placed.groupBy("_bucket").agg(*[F.sum(s).alias(s) for s in sums])
     shifts = totals.select("_bucket", *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"_b_{s}")
                                         for s in sums])   # one row per bucket
@@ -87,16 +80,26 @@ def top_scores(users: DataFrame, items: DataFrame, n: int, *, user_id: str, item
 
     Items get one more slot ``sqrt(M^2 - |y|^2)`` with M the largest item norm and users a zero
     there. Distances then order items exactly as dot products do, so the neighbour join applies
-    and users are not paired with all items.
+    and users are not paired with all items. As that slot would drown the scores of items far
+    shorter than M, items are searched in bands of similar norm (a few in practice, as many as a
+    double has exponents at most), and the bands' best are ranked by the exact score.
     """
     y = items.select(F.col(item_id).alias("item"), as_array(items, item_factors).alias("y"))
     y = y.withColumn("n2", dot("y", "y"))
-    top = y.agg(F.max("n2").alias("m")).first().m or 0.0
-    slot = F.sqrt(F.greatest(F.lit(top) - F.col("n2"), F.lit(0.0)))
-    base = y.select("item", "y", F.concat("y", F.array(slot)).alias("features"))
+    band = F.coalesce(F.floor(F.log2("n2") / (2 * NORM_BAND)), F.lit(-10_000))
+    y = materialise(y.withColumn("band", F.when(F.col("n2") > 0, band).otherwise(-10_000)), "items")
+    bands = y.groupBy("band").agg(F.max("n2").alias("top")).orderBy(F.desc("band")).collect()
     x = users.select(F.col(user_id).alias("user"), as_array(users, user_factors).alias("x"))
     query = x.select("user", F.concat("x", F.array(F.lit(0.0))).alias("features"))
-    near = nb.knn_join(base, query, n, base_id="item", query_id="user", aux=("y",),
-                       num_pivots=num_pivots)
-    return near.select(F.col("qid").alias("user"), F.col("nid").alias("item"), "rank", "y") \
-        .join(x, "user").select("user", "item", "rank", dot("x", "y").alias("score"))
+    best = None
+    for held in bands:
+        slot = F.sqrt(F.greatest(F.lit(held["top"]) - F.col("n2"), F.lit(0.0)))
+        base = y.where(F.col("band") == held["band"]).select("item", "y", F.concat("y", F.array(slot)).alias("features"))
+        near = nb.knn_join(base, query, n, base_id="item", query_id="user", aux=("y",), num_pivots=num_pivots) \
+            .select(F.col("qid").alias("user"), F.col("nid").alias("item"), "y")
+        best = near if best is None else best.unionByName(near)
+    if best is None:
+        return x.select("user", F.lit(None).cast(items.schema[item_id].dataType).alias("item"),
+                        F.lit(0).alias("rank"), F.lit(0.0).alias("score")).limit(0)
+    scored = best.join(x, "user").select("user", "item", dot("x", "y").alias("score"))
+    return top_per_key(scored, ["user"], [F.desc("score"), F.asc("item")], n).select("user", "item", "rank", "score")

@@ -107,3 +107,19 @@ def test_label_check(spark):
     with pytest.raises(ValueError):
         stats.class_count(spark.createDataFrame([(0.0,), (1.5,)], "label double"))
     assert stats.class_count(spark.createDataFrame([(0.0,), (2.0,)], "label double")) == 3
+
+
+def test_top_scores_beside_one_huge_item(spark):
+    import numpy as np
+    from bramble.operators.ranking import top_scores
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(size=(40, 6)), rng.normal(size=(60, 6))
+    y[7] *= 1e7
+    y[8] *= 0
+    users = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "u long, features array<double>")
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(y)], "i long, features array<double>")
+    got = {}
+    for r in top_scores(users, items, 5, user_id="u", item_id="i").collect():
+        got.setdefault(r.user, {})[r["rank"]] = r.item
+    want = np.argsort(-(x @ y.T), axis=1, kind="stable")[:, :5]
+    assert all([got[i][k] for k in range(1, 6)] == want[i].tolist() for i in range(40))
