@@ -65,8 +65,8 @@ def plan_mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sou
     """``doc_id, size, source_size, target, copies, taken`` for every row, and the columns in ``keep``.
 
     Null texts have size 0 and take no words, a null source is a source, repeated rows are sampled
-    one by one. The words taken from a source are its target less what no remaining document of the
-    last stretch of the order fits into.
+    one by one. The words taken from a source differ from its target by less than half of the smallest
+    document left in the last stretch of the order.
     """
     key = F.when(F.col(source).isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), F.col(source)))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), key.alias("key"),
@@ -106,12 +106,20 @@ def plan_mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sou
 
 
 def _take_in_order(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of the stretch in which a source's words run out, take each document that still fits."""
+    """Of the stretch in which a source's words run out, take each document that still fits.
+
+    One more closes the gap if it overshoots by less than what is missing.
+    """
     rows = rows.sort_values(["order", "number"])
+    sizes = rows["size"].tolist()
     room, taken = float(rows["room"].iloc[0]), []
-    for size in rows["size"]:
+    for size in sizes:
         taken.append(0 < size <= room)
         room -= size if taken[-1] else 0
+    over, last = min(((size - room, k) for k, size in enumerate(sizes) if size > 0 and not taken[k]),
+                     default=(room, None))
+    if last is not None and over < room:
+        taken[last] = True
     return pd.DataFrame({"number": rows["number"], "taken_too": taken})
 
 
