@@ -251,7 +251,7 @@ def test_mix_reaches_targets_and_reruns_agree(spark):
     assert len(set(size.values())) == len(size)
     taken, aim = got.groupby("source_size")["taken"].sum(), got.groupby("source_size")["target"].first()
     for s in order:
-        assert abs(aim[size[s]] - target[s]) < 1e-6 and abs(taken[size[s]] - target[s]) <= 0.02 * target[s]
+        assert abs(aim[size[s]] - target[s]) < 1e-6 and abs(taken[size[s]] - target[s]) <= 15
     again = mixing.plan_mix(df.repartition(9)).toPandas()
     key = ["doc_id", "size", "taken"]
     assert Counter(map(tuple, got[key].values.tolist())) == Counter(map(tuple, again[key].values.tolist()))
@@ -358,13 +358,16 @@ def test_rules_against_brute_force(spark, docs):
 
 
 def test_ratio_against_brute_force(spark):
-    good = [(i, prose(i, 70)) for i in range(40)]
-    junk = [(i, " ".join("$$$" + w.upper() for w in prose(i, 70).split())) for i in range(40, 60)]
+    def plain(i):
+        return re.sub(r"\d", "", prose(i, 90, ("the ", "of ", "river ", "stone ", "green ", "walks ")).replace("  ", " "))
+    good = [(i, plain(i)) for i in range(60)]
+    junk = [(i, " ".join("$$$" + w.upper() for w in plain(i).split())) for i in range(60, 80)]
     d = spark.createDataFrame(good + junk, "doc_id long, text string")
-    labels = spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(45)], "doc_id long, quality int, toxic int")
     model = rules.fit(d, labels)
     got = {r["doc_id"]: r for r in rules.judged(d, model).collect()}
-    assert all(got[i]["kept"] for i, _ in good) and not any(got[i]["kept"] for i, _ in junk)
+    assert all(got[i]["ratio"] >= model.threshold for i, _ in good)
+    assert not any(got[i]["ratio"] >= model.threshold or got[i]["kept"] for i, _ in junk)
     again = {r["doc_id"]: r["ratio"] for r in rules.judged(d.repartition(7), rules.fit(d.repartition(5), labels)).collect()}
     assert all(abs(again[i] - r["ratio"]) < 1e-12 for i, r in got.items())
 
