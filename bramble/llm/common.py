@@ -15,6 +15,8 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 #: a key with more than 1/HEAVY of the rows is joined by broadcast; there are at most HEAVY of them
 HEAVY = 1000
+#: columns that say where a row is stored
+PLACE = ("_bramble_file", "_bramble_row")
 
 
 def bounded_batches(spark: SparkSession, rows: int = 1000, size: str = "16m") -> None:
@@ -59,18 +61,19 @@ def join_by_weight(rows: DataFrame, table: DataFrame, key: str | list[str], weig
     """
     hot = table.where(F.col(weight) > total / HEAVY)
     cold = table.where(F.col(weight) <= total / HEAVY)
-    near = rows.join(F.broadcast(hot), key)
-    far = rows.join(F.broadcast(hot.select(*([key] if isinstance(key, str) else key))), key, "left_anti").join(cold, key)
+    keys = [key] if isinstance(key, str) else key
+    near = rows.join(F.broadcast(hot), keys)
+    far = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
     return near.unionByName(far)
 
 
-def addressable(content: DataFrame, file: str = "_bramble_file", row: str = "_bramble_row", *, stored: bool = False) -> DataFrame:
-    """``content`` with the file and row number of every row.
+def addressable(content: DataFrame, *, stored: bool = False) -> DataFrame:
+    """``content`` with the file and row number of every row in the columns PLACE.
 
     It is written once to the shared folder, unless it is ``stored``: a plain read of whole files.
     """
     held = content if stored else materialise(content, "content")
-    return held.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+    return held.select("*", F.col("_metadata.file_path").alias(PLACE[0]), F.col("_metadata.row_index").alias(PLACE[1]))
 
 
 def numbered(rows: DataFrame, order: Sequence[str], out: str = "number") -> DataFrame:

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bramble.llm.common import SPACE, join_by_weight, text_of
+from bramble.llm.common import PLACE, SPACE, addressable, join_by_weight, text_of
 from bramble.session import materialise, scratch_path
 
 #: copies compared with one replica of their kept text
@@ -122,7 +122,6 @@ def keep_first(content: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     path = scratch_path(spark, "content")
     content.write.parquet(path)
     stay = exact_classes(spark, path, doc_id=doc_id, text=text).where("kept").select(
-        F.col("file").alias("_bramble_file"), F.col("row").alias("_bramble_row"))
-    held = spark.read.schema(content.schema).parquet(path)
-    located = held.select("*", F.col("_metadata.file_path").alias("_bramble_file"), F.col("_metadata.row_index").alias("_bramble_row"))
-    return located.join(stay, ["_bramble_file", "_bramble_row"], "left_semi").select(*content.columns)
+        F.col("file").alias(PLACE[0]), F.col("row").alias(PLACE[1]))
+    held = addressable(spark.read.schema(content.schema).parquet(path), stored=True)
+    return held.join(stay, list(PLACE), "left_semi").select(*content.columns)

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bramble.llm.common import SPACE, addressable, join_by_weight, numbered, text_of
+from bramble.llm.common import PLACE, SPACE, addressable, join_by_weight, numbered, text_of
 from bramble.session import materialise
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -43,7 +43,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, cap: in
     ranked = numbered(sizes.withColumn("_null", F.col("source").isNull().cast("int")), ["_null", "source"], "place")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
                           (F.pmod("place", F.lit(len(weights))) + 1).cast("int"))
-    ranked = materialise(ranked.withColumn("weight", weight).withColumn("most", F.col("words") * float(cap)), "sources")
+    ranked = ranked.withColumn("weight", weight).withColumn("most", F.col("words") * float(cap))
+    ranked = materialise(ranked, "sources")
     total, mass = ranked.agg(F.sum("words"), F.sum("weight")).first()
     price, capped = (float(total) / mass if mass else 0.0), -1
     while True:
@@ -126,7 +127,6 @@ def _take_in_order(rows: pd.DataFrame) -> pd.DataFrame:
 def mixed(docs: DataFrame, *, stored: bool = False, **options) -> DataFrame:
     """The rows of ``docs`` in the mix, each as often as it is taken, with the columns of ``docs``."""
     content = addressable(docs, stored=stored)
-    place = ["_bramble_file", "_bramble_row"]
-    plan = plan_mix(content, keep=place, **options).where("copies > 0") \
-        .select(*place, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_bramble_copy"))
-    return content.join(plan, place).select(*docs.columns)
+    plan = plan_mix(content, keep=PLACE, **options).where("copies > 0") \
+        .select(*PLACE, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_bramble_copy"))
+    return content.join(plan, list(PLACE)).select(*docs.columns)

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bramble.llm.common import (addressable, bounded_batches, carried, connected_components, join_by_weight, numbered,
+from bramble.llm.common import (PLACE, addressable, bounded_batches, carried, connected_components, join_by_weight, numbered,
                                 text_of, worker_store)
 from bramble.llm.simhash import _keys, majority, segment_tables, shingle_hashes
 from bramble.session import materialise
@@ -54,7 +54,8 @@ def similarity(a: str | None, b: str | None, width: int = SHINGLE) -> float:
     sets = []
     for text in (a, b):
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        sets.append(np.unique(np.concatenate(list(shingle_hashes(words, width)))) if words else np.array([], np.uint64))
+        hashes = list(shingle_hashes(words, width)) if words else [np.array([], np.uint64)]
+        sets.append(np.unique(np.concatenate(hashes)))
     union = len(np.union1d(*sets))
     return len(np.intersect1d(*sets, assume_unique=True)) / union if union else 1.0
 
@@ -125,7 +126,7 @@ def near_groups(content: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     """Written points and labels of an ``addressable`` content.
 
     A point is a text up to letter case and white space: ``id`` (its first row in the order of
-    ids), ``_bramble_file`` and ``_bramble_row`` of that row and ``copies``. Labels are ``(node, label)`` for the
+    ids), that row's PLACE and ``copies``. Labels are ``(node, label)`` for the
     points with a partner of at least ``threshold`` similarity; null texts count as empty, and
     texts without words are one point.
     """
@@ -138,15 +139,14 @@ def near_groups(content: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         for batch in batches:
             words = [(t if isinstance(t, str) else "").encode("utf-8", "surrogatepass").lower().split()
                      for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "_bramble_file": batch["_bramble_file"],
-                                "_bramble_row": batch["_bramble_row"], "same": [xxh3_128_digest(b" ".join(w)) for w in words],
-                                "lanes": [word_lanes(w).view(np.int64) for w in words]})
+            yield batch[["doc_id", *PLACE]].assign(same=[xxh3_128_digest(b" ".join(w)) for w in words],
+                                                   lanes=[word_lanes(w).view(np.int64) for w in words])
 
-    texts = content.select(carried(doc_id), text_of(text).alias("text"), "_bramble_file", "_bramble_row")
-    rows = texts.mapInPandas(score, "doc_id string, _bramble_file string, _bramble_row long, same binary, lanes array<long>")
+    texts = content.select(carried(doc_id), text_of(text).alias("text"), *PLACE)
+    rows = texts.mapInPandas(score, f"doc_id string, {PLACE[0]} string, {PLACE[1]} long, same binary, lanes array<long>")
     rows = rows.withColumn("doc_id", F.col("doc_id").cast(content.schema[doc_id].dataType))
     rows = numbered(rows, ["doc_id", "same"], "id")
-    first = rows.groupBy("same").agg(F.min(F.struct("id", "_bramble_file", "_bramble_row", "lanes")).alias("p"), F.count("*").alias("copies"))
+    first = rows.groupBy("same").agg(F.min(F.struct("id", *PLACE, "lanes")).alias("p"), F.count("*").alias("copies"))
     points = materialise(first.select("p.*", "copies"), "points")
     links = materialise(proposed_links(points), "proposed")
 
@@ -156,8 +156,8 @@ def near_groups(content: DataFrame, *, doc_id: str = "doc_id", text: str = "text
             yield batch.loc[near, ["a", "b"]]
 
     ends = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
-    shown = materialise(texts.join(points.join(ends, "id").select("id", "_bramble_file", "_bramble_row"), ["_bramble_file", "_bramble_row"])
-                        .select("id", "text"), "shown")
+    chosen = points.join(ends, "id").select("id", *PLACE)
+    shown = materialise(texts.join(chosen, list(PLACE)).select("id", "text"), "shown")
     pairs = links.join(shown.select(F.col("id").alias("a"), F.col("text").alias("x")), "a") \
         .join(shown.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
     return points, connected_components(pairs.mapInPandas(alike, "a long, b long"))
@@ -172,4 +172,4 @@ def keep_one_per_group(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     content = addressable(docs, stored=stored)
     points, labels = near_groups(content, doc_id=doc_id, text=text, threshold=threshold)
     stay = points.join(labels.where("node <> label").select(F.col("node").alias("id")), "id", "left_anti")
-    return content.join(stay.select("_bramble_file", "_bramble_row"), ["_bramble_file", "_bramble_row"], "left_semi").select(*docs.columns)
+    return content.join(stay.select(*PLACE), list(PLACE), "left_semi").select(*docs.columns)

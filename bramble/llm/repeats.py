@@ -25,16 +25,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bramble.llm.common import addressable, bounded_batches, carried, join_by_weight, text_of
+from bramble.llm.common import PLACE, addressable, bounded_batches, carried, join_by_weight, text_of
 from bramble.session import materialise
 
 LENGTH = 400
 GRAM = 128
 #: starts per cell in the rounds of refinement; each divides the one before, the last is 1
 CELLS = (64, 8, 1)
-#: bytes of a text that are hashed at a time; positions in such a part fit into PLACE bits
+#: bytes of a text that are hashed at a time; positions in such a part fit into SPOT
 PART = 1 << 22
-PLACE = np.uint64((1 << 23) - 1)
+SPOT = np.uint64((1 << 23) - 1)
 _STEP = 0x9E3779B97F4A7C15 | 1
 
 
@@ -75,8 +75,8 @@ def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nda
         up, down = _powers(n)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[part] * up, dtype=np.uint64)])
         keys = _mix((sums[gram:] - sums[:-gram]) * down[:n - gram + 1])
-        placed = (keys & ~PLACE) | np.arange(len(keys), dtype=np.uint64)
-        where = (_sliding_min(placed, length - gram + 1) & PLACE).astype(np.int64)
+        placed = (keys & ~SPOT) | np.arange(len(keys), dtype=np.uint64)
+        where = (_sliding_min(placed, length - gram + 1) & SPOT).astype(np.int64)
         turn = np.flatnonzero(np.diff(where)) + 1
         first = np.concatenate([[0], turn])
         last = np.concatenate([turn, [len(where)]]) - 1
@@ -126,13 +126,13 @@ def _scan(content: DataFrame, doc_id: str, text: str, length: int, gram: int) ->
         for batch in batches:
             data = [_bytes_of(t) for t in batch["text"]]
             found = [anchors(d, length, gram) for d in data]
-            yield batch[["doc_id", "_bramble_file", "_bramble_row"]].assign(
+            yield batch[["doc_id", *PLACE]].assign(
                 n_bytes=[len(d) for d in data], sha=[hashlib.sha256(d).hexdigest() for d in data],
                 **{name: [f[i] for f in found] for i, name in enumerate(("at", "key", "first", "last"))})
 
-    rows = content.select(carried(doc_id), "_bramble_file", "_bramble_row", text_of(text).alias("text")).mapInPandas(
-        look, "doc_id string, _bramble_file string, _bramble_row long, n_bytes long, sha string, at array<long>, key array<long>, "
-              "first array<long>, last array<long>")
+    rows = content.select(carried(doc_id), *PLACE, text_of(text).alias("text")).mapInPandas(
+        look, f"doc_id string, {PLACE[0]} string, {PLACE[1]} long, n_bytes long, sha string, at array<long>, "
+              "key array<long>, first array<long>, last array<long>")
     return materialise(rows.withColumn("doc_id", F.col("doc_id").cast(content.schema[doc_id].dataType))
                        .withColumn("uid", F.monotonically_increasing_id()), "scan")
 
@@ -204,14 +204,14 @@ def without_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     def grid(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(u, lo) for u, a, f, e in zip(batch["uid"].tolist(), batch["at"].tolist(), batch["first"].tolist(),
-                                                  batch["last"].tolist()) for lo in cells_of(a, f, e, CELLS[0])]
+            columns = zip(*(batch[c].tolist() for c in ("uid", "at", "first", "last")))
+            rows = [(u, lo) for u, a, f, e in columns for lo in cells_of(a, f, e, CELLS[0])]
             yield pd.DataFrame(rows, columns=["uid", "low"])
 
     lows = materialise(held.select("uid", "at", "first", "last").mapInPandas(grid, "uid long, low long"), "lows")
-    where = scan.select("uid", "_bramble_file", "_bramble_row").join(lows.select("uid").distinct(), "uid")
-    texts = materialise(content.select("_bramble_file", "_bramble_row", F.encode(text_of(text), "utf-8").alias("data"))
-                        .join(where, ["_bramble_file", "_bramble_row"]).select("uid", "data"), "texts")
+    where = scan.select("uid", *PLACE).join(lows.select("uid").distinct(), "uid")
+    texts = materialise(content.select(*PLACE, F.encode(text_of(text), "utf-8").alias("data"))
+                        .join(where, list(PLACE)).select("uid", "data"), "texts")
     flagged = repeated_cells(texts, lows, length).groupBy("uid") \
         .agg(F.collect_list(F.struct("low", "starts")).alias("cells"))
 
@@ -227,13 +227,13 @@ def without_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     shape = "uid long, removed long, spans long, rest string" + (", kept binary" if with_bytes else "")
     changed = texts.join(flagged, "uid").select("uid", "data", "cells").mapInPandas(cut, shape)
-    out = scan.select("uid", "doc_id", "n_bytes", "sha", *(["_bramble_file", "_bramble_row"] if with_bytes else [])) \
+    out = scan.select("uid", "doc_id", "n_bytes", "sha", *(PLACE if with_bytes else [])) \
         .join(changed, "uid", "left")
     columns = ["doc_id", "n_bytes", F.coalesce("removed", F.lit(0)).cast("long").alias("n_removed"),
                F.coalesce("spans", F.lit(0)).cast("long").alias("n_spans"),
                F.coalesce("rest", "sha").alias("kept_sha256")]
     if with_bytes:
-        whole = content.select("_bramble_file", "_bramble_row", F.encode(text_of(text), "utf-8").alias("_whole"))
-        out = out.join(whole, ["_bramble_file", "_bramble_row"])
+        whole = content.select(*PLACE, F.encode(text_of(text), "utf-8").alias("_whole"))
+        out = out.join(whole, list(PLACE))
         columns.append(F.coalesce("kept", "_whole").alias("kept"))
     return out.select(*columns)
