@@ -22,7 +22,7 @@ from bramble.session import materialise
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_COPIES = 3
 #: documents of a source that one task orders row by row
-BUCKET = 20_000
+BUCKET = 4_000
 
 
 def words_in(text: str) -> Column:
