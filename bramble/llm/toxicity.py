@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bramble.llm.common import bounded_batches, carried, id_fold
+from bramble.llm.common import bounded_batches, carried, id_fold, worker_store
 from bramble.session import materialise
 
 #: labelled documents of each kind that the fit reads at most; the whole of each text is read
@@ -198,6 +198,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id",
 
     def passes(batches):
         import pyarrow as pa
+        worker_store("toxicity")  # lets go of what the worker remembers for other operators
         memo: dict[str, tuple] = {}
         for batch in batches:
             calm = [model.score(known_features(words_of(t), weights, memo))[0] >= 0.5
