@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bramble.llm.common import PLACE, addressable, bounded_batches, carried, join_by_weight, text_of
+from bramble.llm.common import PLACE, addressable, bounded_batches, carried, join_by_weight, text_of, worker_store
 from bramble.session import materialise
 
 LENGTH = 400
@@ -39,10 +39,14 @@ _STEP = 0x9E3779B97F4A7C15 | 1
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2^64 and of its inverse."""
-    up, down = np.full(n, _STEP, np.uint64), np.full(n, pow(_STEP, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+    """Powers of an odd number modulo 2^64 and of its inverse; the worker keeps the longest so far."""
+    kept = worker_store("powers")
+    if len(kept.get("up", ())) < n:
+        size = max(n, 1 << 17)
+        up, down = np.full(size, _STEP, np.uint64), np.full(size, pow(_STEP, -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        kept["up"], kept["down"] = np.multiply.accumulate(up), np.multiply.accumulate(down)
+    return kept["up"][:n], kept["down"][:n]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -141,13 +145,25 @@ def _cells(texts: DataFrame, lows: DataFrame, size: int, length: int) -> DataFra
     """``uid, low, core, hull`` of the cells ``(uid, low)``."""
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out: tuple[list, ...] = ([], [], [], [])
+
+        def rows() -> pd.DataFrame:
+            made = pd.DataFrame(dict(zip(("uid", "low", "core", "hull"), out)))
+            for column in out:
+                column.clear()
+            return made
+
         for batch in batches:
             for uid, data, held in zip(batch["uid"], batch["data"], batch["lows"]):
                 mine = sorted(set(held.tolist()))
                 for lo in range(0, len(mine), 20_000):
                     some = mine[lo:lo + 20_000]
-                    cores, hulls = digests(data, some, size, length)
-                    yield pd.DataFrame({"uid": uid, "low": some, "core": cores, "hull": hulls})
+                    for column, values in zip(out, ([uid] * len(some), some, *digests(data, some, size, length))):
+                        column.extend(values)
+                    if len(out[0]) >= 20_000:
+                        yield rows()
+        if out[0]:
+            yield rows()
 
     per_text = lows.groupBy("uid").agg(F.collect_list("low").alias("lows"))
     return materialise(texts.join(per_text, "uid").select("uid", "data", "lows").mapInPandas(
