@@ -8,6 +8,11 @@ the exact similarity of the five-word shingles of the whole texts.
 
 A bucket hands on a minimum spanning forest of its members by complete distance, not its pairs;
 large buckets are cut into blocks that are compared block with block.
+
+The index misses copies, above all those with one long edit, and a forest can pass over the pair that
+holds a group together. What it leaves apart is therefore joined exactly: two texts of the threshold
+share one of the first shingles of either in any common order. Every such pair of different groups is
+decided on the texts, unless other pairs have joined the groups before.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bramble.llm.common import (PLACE, addressable, bounded_batches, carried, connected_components, join_by_weight, numbered,
@@ -30,6 +35,11 @@ FAR = 48
 SHINGLE, SIMILARITY = 5, 0.8
 #: members of a bucket that are compared as one block
 BLOCK = 1024
+#: texts whose shingles are counted to tell common shingles, and shingles told; they set the order of the
+#: prefix join and hence its cost, not its result
+SAMPLED, COMMON = 20_000, 200_000
+#: partners tried per text in the first round of the prefix join; each round tries STEP times as many
+TRIES, STEP = 4, 16
 
 
 def _spread(hashes: np.ndarray, lanes: int) -> np.ndarray:
@@ -49,13 +59,15 @@ def word_lanes(words: list[bytes], lanes: int = LANES) -> np.ndarray:
     return majority(_spread(block, lanes) for block in shingle_hashes(distinct, 1))
 
 
+def shingle_set(text: str | None, width: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of the word shingles."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return np.unique(np.concatenate(list(shingle_hashes(words, width)))) if words else np.array([], np.uint64)
+
+
 def similarity(a: str | None, b: str | None, width: int = SHINGLE) -> float:
     """Jaccard similarity of the sets of word shingles; two texts without words are equal."""
-    sets = []
-    for text in (a, b):
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        hashes = list(shingle_hashes(words, width)) if words else [np.array([], np.uint64)]
-        sets.append(np.unique(np.concatenate(hashes)))
+    sets = [shingle_set(text, width) for text in (a, b)]
     union = len(np.union1d(*sets))
     return len(np.intersect1d(*sets, assume_unique=True)) / union if union else 1.0
 
@@ -121,13 +133,163 @@ def proposed_links(points: DataFrame) -> DataFrame:
         .mapInPandas(_forests, "a long, b long").distinct()
 
 
+def common_shingles(texts: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the shingles that are common in a sample of the texts, and about how many texts have each."""
+    step = max(1, total // SAMPLED)
+
+    def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for text in batch["text"]:
+                yield pd.DataFrame({"h": shingle_set(text).view(np.int64)})
+
+    sample = texts.where(F.pmod(F.xxhash64(*PLACE), F.lit(step)) == 0).select("text")
+    found = sample.mapInPandas(shingles, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 2") \
+        .orderBy(F.desc("n"), "h").limit(COMMON).toPandas()
+    hashes, counts = found["h"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64) * step
+    order = np.argsort(hashes)
+    return hashes[order], counts[order]
+
+
+def prefix(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles of a set, rare ones first, one of which any set of the threshold has among its own first; their counts.
+
+    A similarity of ``threshold`` takes ``threshold * size`` shared shingles of a set, so not all of the
+    first ``size - ceil(threshold * size) + 1`` can be missing in the other one.
+    """
+    size = len(shingles)
+    keep = min(size, size - int(np.ceil(threshold * size - 1e-9)) + 1)
+    counts = np.zeros(size, np.int64)
+    if len(common[0]):
+        at = np.minimum(np.searchsorted(common[0], shingles), len(common[0]) - 1)
+        counts = np.where(common[0][at] == shingles, common[1][at], 0)
+    order = np.argsort(counts, kind="stable")[:keep]
+    return shingles[order], counts[order]
+
+
+def _meetings(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
+    """Pairs of a shingle's members in different groups that can still reach the threshold; rows come sorted by ``h, block``."""
+
+    def pairs(rows: dict[str, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> Iterator[pd.DataFrame]:
+        mixed = np.minimum.reduceat(rows["label"], starts) != np.maximum.reduceat(rows["label"], starts)
+        lengths = np.where(mixed, ends - starts, 0)
+        rest = np.repeat(ends, ends - starts) - np.arange(len(rows["h"])) - 1
+        rest[~np.repeat(mixed, ends - starts)] = 0
+        once = rows["block"] >> 31 == rows["block"] & ((1 << 31) - 1)  # mates of one block meet only there
+        at, sizes, places = np.arange(len(rest)), rows["size"], rows["pos"]
+        for d in range(1, int(lengths.max(initial=0))):
+            at = at[rest[at] >= d]
+            i, j = at, at + d
+            bound = 1 + np.minimum(sizes[i] - places[i], sizes[j] - places[j])
+            fits = (rows["label"][i] != rows["label"][j]) & ((rows["own"][i] != rows["own"][j]) | once[i]) \
+                & (bound >= (sizes[i] + sizes[j]) * (threshold / (1 + threshold)) - 1e-6) \
+                & (np.minimum(sizes[i], sizes[j]) >= np.maximum(sizes[i], sizes[j]) * threshold - 1e-6)
+            if fits.any():
+                a, b = rows["id"][i[fits]], rows["id"][j[fits]]
+                yield pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+
+    left = None
+    for batch in batches:
+        rows = {c: batch[c].to_numpy() for c in batch.columns}
+        if left is not None:
+            rows = {c: np.concatenate([left[c], v]) for c, v in rows.items()}
+        if not len(rows["h"]):
+            continue
+        new = np.flatnonzero((np.diff(rows["h"]) != 0) | (np.diff(rows["block"]) != 0)) + 1
+        if len(new):  # the last run can go on in the next batch
+            yield from pairs({c: v[:new[-1]] for c, v in rows.items()}, np.r_[0, new[:-1]], new)
+            rows = {c: v[new[-1]:] for c, v in rows.items()}
+        left = rows
+    if left is not None:
+        yield from pairs(left, np.array([0]), np.array([len(left["h"])]))
+
+
+def missing_links(points: DataFrame, texts: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b, seen)``: every pair of points in different groups that can reach the threshold, by an exact prefix join.
+
+    ``seen`` counts the shingles at which the pair met. Pairs of one group are not formed, and a
+    common shingle's members are cut into blocks that meet block by block.
+    """
+    spark = points.sparkSession
+    common = common_shingles(texts, points.count())
+
+    def first_shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingle_set(t) for t in batch["text"]]
+            firsts = [prefix(s, common, threshold) for s in sets]
+            yield batch[list(PLACE)].assign(size=[len(s) for s in sets], hs=[h.view(np.int64) for h, _ in firsts],
+                                            blocks=[n // BLOCK + 1 for _, n in firsts])
+
+    held = texts.select("text", *PLACE).mapInPandas(
+        first_shingles, f"{PLACE[0]} string, {PLACE[1]} long, size long, hs array<long>, blocks array<long>")
+    known = points.select("id", *PLACE).join(labels.withColumnRenamed("node", "id"), "id", "left")
+    rows = known.join(held, list(PLACE)).select(
+        "id", F.coalesce("label", "id").alias("label"), "size", F.posexplode(F.arrays_zip("hs", "blocks")).alias("pos", "e"))
+    rows = rows.select("id", "label", "size", (F.col("pos") + 1).cast("long").alias("pos"), F.col("e.hs").alias("h"),
+                       F.col("e.blocks").alias("blocks"), F.pmod(F.xxhash64("id"), F.col("e.blocks")).alias("own"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    block = F.shiftleft(F.least("own", "other"), 31) + F.greatest("own", "other")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.select("h", block.alias("block"), "id", "label", "size", "pos", "own")
+    return rows.repartition(parts, "h", "block").sortWithinPartitions("h", "block") \
+        .mapInPandas(lambda batches: _meetings(batches, threshold), "a long, b long") \
+        .groupBy("a", "b").agg(F.count("*").alias("seen"))
+
+
+def confirmed(links: DataFrame, points: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Those of the pairs ``(a, b)`` whose texts have the threshold."""
+
+    def alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            near = [similarity(x, y) >= threshold for x, y in zip(batch["x"], batch["y"])]
+            yield batch.loc[near, ["a", "b"]]
+
+    ends = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
+    chosen = points.join(ends, "id").select("id", *PLACE)
+    shown = materialise(texts.join(chosen, list(PLACE)).select("id", "text"), "shown")
+    pairs = links.join(shown.select(F.col("id").alias("a"), F.col("text").alias("x")), "a") \
+        .join(shown.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
+    return pairs.mapInPandas(alike, "a long, b long")
+
+
+def _grouped(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs with the labels ``la`` and ``lb`` of their ends."""
+    left, right = (labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")) for c in "ab")
+    return pairs.join(left, "a", "left").join(right, "b", "left") \
+        .withColumns({"la": F.coalesce("la", "a"), "lb": F.coalesce("lb", "b")})
+
+
+def joined_groups(labels: DataFrame, pairs: DataFrame, points: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Labels after all confirmed ``pairs``: each is decided, or its ends have come into one group before.
+
+    A round decides the pairs that met most often of every text that is still apart from some
+    partner, joins the groups, and drops the pairs inside a group.
+    """
+    open_, tries = materialise(pairs.select("a", "b", "seen"), "open"), TRIES
+    while not open_.isEmpty():
+        places = {f"at_{c}": F.row_number().over(Window.partitionBy(c).orderBy(F.desc("seen"), other))
+                  for c, other in (("a", "b"), ("b", "a"))}
+        ranked = materialise(open_.withColumns(places), "ranked")
+        now = (F.col("at_a") <= tries) | (F.col("at_b") <= tries)
+        new = materialise(confirmed(ranked.where(now).select("a", "b"), points, texts, threshold), "confirmed")
+        if not new.isEmpty():
+            # the smallest id of a group stays its label, so a group is a node under its label
+            merged = connected_components(_grouped(new, labels).select(F.col("la").alias("a"), F.col("lb").alias("b")))
+            nodes = labels.unionByName(merged.join(labels, "node", "left_anti").select("node", F.col("node").alias("label")))
+            roots = merged.select(F.col("node").alias("label"), F.col("label").alias("root"))
+            labels = materialise(nodes.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label")),
+                                 "labels")
+        open_ = materialise(_grouped(ranked.where(~now), labels).where("la <> lb").select("a", "b", "seen"), "open")
+        tries *= STEP
+    return labels
+
+
 def near_groups(content: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
                 threshold: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Written points and labels of an ``addressable`` content.
 
     A point is a text up to letter case and white space: ``id`` (its first row in the order of
     ids), that row's PLACE and ``copies``. Labels are ``(node, label)`` for the
-    points with a partner of at least ``threshold`` similarity; null texts count as empty, and
+    points with a partner of at least ``threshold`` similarity, none of which is missed; null texts count as empty, and
     texts without words are one point.
     """
     spark = content.sparkSession
@@ -149,18 +311,9 @@ def near_groups(content: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     first = rows.groupBy("same").agg(F.min(F.struct("id", *PLACE, "lanes")).alias("p"), F.count("*").alias("copies"))
     points = materialise(first.select("p.*", "copies"), "points")
     links = materialise(proposed_links(points), "proposed")
-
-    def alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            near = [similarity(x, y) >= threshold for x, y in zip(batch["x"], batch["y"])]
-            yield batch.loc[near, ["a", "b"]]
-
-    ends = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
-    chosen = points.join(ends, "id").select("id", *PLACE)
-    shown = materialise(texts.join(chosen, list(PLACE)).select("id", "text"), "shown")
-    pairs = links.join(shown.select(F.col("id").alias("a"), F.col("text").alias("x")), "a") \
-        .join(shown.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
-    return points, connected_components(pairs.mapInPandas(alike, "a long, b long"))
+    labels = connected_components(confirmed(links, points, texts, threshold))
+    pairs = missing_links(points, texts, labels, threshold)
+    return points, joined_groups(labels, pairs, points, texts, threshold)
 
 
 def keep_one_per_group(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",

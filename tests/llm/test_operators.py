@@ -164,6 +164,38 @@ def test_near_copies_keep_one_and_lose_no_other(spark):
     assert kept == {f[0] for f in families} | {rows[-2][0]}
 
 
+def shingles_of(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def kept_by_brute_force(texts, threshold=0.8):
+    sets, root = [shingles_of(t) for t in texts], list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            both = len(sets[a] & sets[b])
+            if root[a] != root[b] and both >= threshold * (len(sets[a]) + len(sets[b]) - both) - 1e-9:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    return {i for i, r in enumerate(root) if r == i}
+
+
+@pytest.mark.parametrize("size", [10, 150])
+def test_near_copies_of_one_base_are_one_group(spark, size):
+    """Copies of 0.8 to the base and less to each other: only the base holds them together."""
+    rng = np.random.default_rng(size)
+    base = [f"w{k}" for k in rng.integers(0, 10 ** 6, 289)]
+    texts = [" ".join(base)]
+    while len(texts) < size:
+        copy = list(base)
+        for at in rng.choice(289, 6, replace=False):
+            copy[at] = f"edit{rng.integers(0, 10 ** 9)}"
+        if near_groups.similarity(" ".join(copy), texts[0]) >= 0.8:
+            texts.append(" ".join(copy))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"] for r in near_groups.keep_one_per_group(df).collect()} == {0}
+
+
 def test_spanning_forest_of_a_bucket():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2 ** 63, (3, 4)).astype(np.uint64)
