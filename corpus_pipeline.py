@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bramble.llm import exact_dedup, mixing, near_groups, packing, toxicity
+from bramble.llm import exact_dedup, mixing, packing, simhash, toxicity
 from bramble.session import materialise
 
 #: learned and seeded stages have no SQL counterpart; tests compare them with brute force
@@ -27,8 +27,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: one document of each group of near copies stays."""
-    return near_groups.keep_one_per_group(docs, stored=True)
+    """Operator 8: of fingerprints linked by two differing bits or fewer, one document stays."""
+    return simhash.keep_one_per_component(docs, stored=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
