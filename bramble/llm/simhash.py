@@ -16,7 +16,7 @@ Matches are compared over the complete fingerprint.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,13 +24,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bramble.llm.common import bounded_batches, carried, connected_components, join_by_weight
+from bramble.llm.common import PLACE, addressable, bounded_batches, carried, connected_components, join_by_weight
 from bramble.session import materialise
 
 SEED = 42
 #: shingles hashed and counted at a time, so that a long text needs no more memory than a short one
 BLOCK = 1 << 16
 FULL = (1 << 64) - 1
+#: places of dropped rows up to which they are broadcast (about 20 MB); more are joined by a shuffle
+FEW = 200_000
 
 
 @dataclass(frozen=True)
@@ -85,18 +87,20 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int(majority(shingle_hashes(words, width))[0]) if words else 0
 
 
-def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
-    """``doc_id, lanes``: one lane per row of ``docs``; null texts have no words."""
+def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 3,
+                 carry: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, lanes`` and the columns of ``carry``: one lane per row of ``docs``; null texts have no words."""
     bounded_batches(docs.sparkSession)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            prints = [[signed(fingerprint(t if isinstance(t, str) else None, width))] for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "lanes": prints})
+            prints = [[signed(fingerprint(t if isinstance(t, str) else None, width))] for t in batch["_text"]]
+            yield batch[["doc_id", *carry]].assign(lanes=prints)
 
-    return docs.select(carried(doc_id), F.col(text).alias("text")) \
-        .mapInPandas(score, "doc_id string, lanes array<long>") \
-        .select(F.col("doc_id").cast(docs.schema[doc_id].dataType).alias("doc_id"), "lanes")
+    kept = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry) if carry else ""
+    return docs.select(carried(doc_id), F.col(text).alias("_text"), *carry) \
+        .mapInPandas(score, f"doc_id string{kept}, lanes array<long>") \
+        .withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
 
 
 def _keys(tables: list[Table], probe: bool) -> Column:
@@ -143,6 +147,19 @@ def links_within_two(points: DataFrame) -> DataFrame:
         .select("a", "b")
 
 
+def _labelled(docs: DataFrame, doc_id: str, text: str, width: int, carry: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, fp, label, component_id`` and the columns of ``carry``; rows of one component have one label."""
+    rows = materialise(fingerprints(docs, doc_id=doc_id, text=text, width=width, carry=carry)
+                       .select("doc_id", F.col("lanes")[0].alias("fp"), *carry), "prints")
+    points = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies")),
+                         "points")
+    label = connected_components(links_within_two(points)).withColumnRenamed("node", "fp")
+    labelled = points.join(label, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    lowest = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    table = materialise(labelled.join(lowest, "label").select("fp", "copies", "label", "component_id"), "components")
+    return join_by_weight(rows, table, "fp", "copies", rows.count())
+
+
 def simhash_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row of ``docs``.
 
@@ -150,13 +167,21 @@ def simhash_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     fingerprint zero like any other); a component has the smallest non-null id in it, null if it has
     none. Repeated rows give repeated rows; other columns are ignored.
     """
-    rows = materialise(fingerprints(docs, doc_id=doc_id, text=text, width=width)
-                       .select("doc_id", F.col("lanes")[0].alias("fp")), "prints")
-    points = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies")),
-                         "points")
-    label = connected_components(links_within_two(points)).withColumnRenamed("node", "fp")
-    labelled = points.join(label, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    lowest = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    table = materialise(labelled.join(lowest, "label").select("fp", "copies", "component_id"), "components")
-    return join_by_weight(rows, table, "fp", "copies", rows.count()).select(
+    return _labelled(docs, doc_id, text, width).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one_per_component(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 3,
+                           stored: bool = False) -> DataFrame:
+    """One row of each component of ``simhash_components``, with the columns of ``docs``.
+
+    The row of the smallest id stays, a null id coming last; of rows with equal ids it is the one
+    stored first. Texts without words, null ones included, have fingerprint zero and hence one row.
+    """
+    content = addressable(docs, stored=stored)
+    rows = materialise(_labelled(content, doc_id, text, width, PLACE), "labelled")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("first"), *PLACE)
+    stay = rows.groupBy("label").agg(F.min(order).alias("stay")).select("stay.*").select(*PLACE)
+    gone = materialise(rows.select(*PLACE).join(stay, list(PLACE), "left_anti"), "gone")
+    few = gone.count() <= FEW
+    return content.join(F.broadcast(gone) if few else gone, list(PLACE), "left_anti").select(*docs.columns)

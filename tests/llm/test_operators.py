@@ -11,7 +11,7 @@ import pandas as pd
 import pytest
 
 import corpus_pipeline
-from bramble.llm import (exact_dedup, language, mixing, near_groups, packing, quality, queries, repeats, rules, sharding,
+from bramble.llm import (exact_dedup, language, mixing, packing, quality, queries, repeats, rules, sharding,
                          simhash, toxicity)
 from bramble.llm.common import connected_components, numbered
 from bramble.session import scratch_path
@@ -145,80 +145,21 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert got == {**{i: 0 for i in range(41)}, **{k: 100 for k in range(100, 140)}}
 
 
-def test_near_copies_keep_one_and_lose_no_other(spark):
-    rng = np.random.default_rng(9)
-    rows, families = [], []
-    for f in range(12):
-        words = prose(100 + f, 300).split()
-        family = []
-        for c in range(1 if f % 3 == 0 else 6):
-            own = list(words)
-            for at in rng.choice(300, c and 3, replace=False):
-                own[at] = f"edit{rng.integers(0, 10 ** 6)}"
-            family.append(len(rows))
-            rows.append((len(rows), " ".join(own), "z"))
-        families.append(family)
-    rows += [(len(rows), None, "z"), (len(rows) + 1, " ", "z")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, _x string")
-    kept = {r["doc_id"] for r in near_groups.keep_one_per_group(df).collect()}
-    assert kept == {f[0] for f in families} | {rows[-2][0]}
-
-
-def shingles_of(text):
-    words = (text or "").encode().lower().split()
-    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-def kept_by_brute_force(texts, threshold=0.8):
-    sets, root = [shingles_of(t) for t in texts], list(range(len(texts)))
-    for b in range(len(texts)):
-        for a in range(b):
-            both = len(sets[a] & sets[b])
-            if root[a] != root[b] and both >= threshold * (len(sets[a]) + len(sets[b]) - both) - 1e-9:
-                low, high = sorted((root[a], root[b]))
-                root = [low if r == high else r for r in root]
-    return {i for i, r in enumerate(root) if r == i}
-
-
-@pytest.mark.parametrize("size", [10, 150])
-def test_near_copies_of_one_base_are_one_group(spark, size):
-    """Copies of 0.8 to the base and less to each other: only the base holds them together."""
-    rng = np.random.default_rng(size)
-    base = [f"w{k}" for k in rng.integers(0, 10 ** 6, 289)]
-    texts = [" ".join(base)]
-    while len(texts) < size:
-        copy = list(base)
-        for at in rng.choice(289, 6, replace=False):
-            copy[at] = f"edit{rng.integers(0, 10 ** 9)}"
-        if near_groups.similarity(" ".join(copy), texts[0]) >= 0.8:
-            texts.append(" ".join(copy))
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert {r["doc_id"] for r in near_groups.keep_one_per_group(df).collect()} == {0}
-
-
-@pytest.mark.parametrize("kind", ["truncated", "appended", "replaced"])
-def test_copies_with_one_long_edit_are_found(spark, kind):
-    """One contiguous edit of a tenth to a fifth changes twice the words that scattered edits do."""
-    texts = []
-    for n in range(60):
-        rng = np.random.default_rng(n)
-        base, other = ([f"w{k}" for k in rng.integers(0, 10 ** 6, 300)] for _ in range(2))
-        cut = 244 + n % 30
-        texts += [base, {"truncated": base[:cut], "appended": base + other[:314 - cut],
-                         "replaced": base[:100] + other[:28] + base[128:]}[kind]]
-    texts = [" ".join(words) for words in texts]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    kept = {r["doc_id"] for r in near_groups.keep_one_per_group(df).collect()}
-    assert kept == kept_by_brute_force(texts) == set(range(0, 120, 2))
-
-
-def test_spanning_forest_of_a_bucket():
-    rng = np.random.default_rng(1)
-    base = rng.integers(0, 2 ** 63, (3, 4)).astype(np.uint64)
-    members = np.repeat(base, 5, axis=0)
-    members[:, 0] ^= np.tile(np.array([0, 1, 2, 4, 8], np.uint64), 3)
-    edges = near_groups.spanning_forest(members)
-    assert len(edges) == 12 and all(a // 5 == b // 5 for a, b in edges)
+def test_one_row_of_each_component_stays(spark, docs):
+    """Against brute force, with null and repeated ids and extra columns; the smallest id stays."""
+    prints = [brute_fingerprint(r[1]) for r in ROWS]
+    label = list(range(len(ROWS)))
+    for _ in ROWS:
+        for i in range(len(ROWS)):
+            for j in range(len(ROWS)):
+                if bin(prints[i] ^ prints[j]).count("1") <= 2:
+                    label[i] = label[j] = min(label[i], label[j])
+    members = defaultdict(list)
+    for i, r in zip(label, ROWS):
+        members[i].append((r[0] is None, r[0] or 0, r))
+    want = Counter(min(m, key=lambda x: x[:2])[2] for m in members.values())
+    kept = simhash.keep_one_per_component(docs)
+    assert kept.columns == docs.columns and rows_of(kept) == want
 
 
 # packing
@@ -500,7 +441,7 @@ def test_empty_tables(spark, none):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert not exact_dedup.keep_first(none).count()
     assert not simhash.simhash_components(none).count()
-    assert not near_groups.keep_one_per_group(none).count()
+    assert not simhash.keep_one_per_component(none).count()
     assert not packing.pack_documents(none).count()
     assert not mixing.plan_mix(none).count()
     assert not toxicity.graded(none, toxicity.fit(none, labels)).count()
