@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bramble.llm import (exact_dedup, language, mixing, packing, quality, repeats, rules, sharding,
+from bramble.llm import (exact_dedup, language, mixing, packing, periodic, quality, repeats, rules, sharding,
                          simhash, toxicity)
 from bramble.llm.common import id_fold
 
@@ -94,3 +94,8 @@ def op3_ngram_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(documents(spark, sf_dir), stored=True)
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_report(documents(spark, sf_dir), change=periodic.planted_tail)
