@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bramble.llm import (exact_dedup, language, mixing, packing, periodic, quality, repeats, rules, sharding,
+from bramble.llm import (divergence, exact_dedup, language, mixing, packing, periodic, quality, repeats, rules, sharding,
                          simhash, toxicity)
 from bramble.llm.common import id_fold
 
@@ -99,3 +99,34 @@ def op9_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.run_report(documents(spark, sf_dir), change=periodic.planted_tail)
+
+
+@query(r"""
+    WITH d AS (SELECT row_number() OVER () AS uid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+               FROM documents),
+    t AS (SELECT uid, lang, source,
+                 unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+    kept AS (SELECT lang, term, count(*) AS lang_n FROM t GROUP BY ALL HAVING count(DISTINCT uid) >= 30),
+    langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY ALL),
+    groups AS (SELECT DISTINCT lang, source FROM d),
+    held AS (SELECT t.lang, t.source, t.term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+    totals AS (SELECT lang, source, sum(n) AS total FROM held GROUP BY ALL),
+    cells AS (SELECT g.lang, g.source, k.term, coalesce(h.n, 0) AS n,
+                     1 + 1000000000::HUGEINT * (coalesce(h.n, 0) + 5) // (coalesce(s.total, 0) + 5 * l.v)::HUGEINT AS p,
+                     1 + 1000000000::HUGEINT * (k.lang_n + 5) // (l.lang_total + 5 * l.v)::HUGEINT AS q
+              FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN totals s USING (lang, source)
+              LEFT JOIN held h ON h.lang = g.lang AND h.source = g.source AND h.term = k.term),
+    diffs AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+              FROM cells a JOIN cells b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    parts AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+              FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+              LEFT JOIN diffs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+              UNION ALL
+              SELECT lang, source, 'term', term, p - q FROM cells WHERE n > 0 AND p > q),
+    ranked AS (SELECT lang, source, part, item, value::BIGINT AS value,
+                      row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+               FROM parts)
+    SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50""")
+def op13_count_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
