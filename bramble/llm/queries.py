@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bramble.llm import (divergence, exact_dedup, language, mixing, packing, periodic, quality, repeats, rules, sharding,
-                         simhash, toxicity)
+from bramble.llm import (divergence, exact_dedup, language, minhash, mixing, packing, periodic, quality, repeats, rules,
+                         sharding, simhash, toxicity)
 from bramble.llm.common import id_fold
 
 QUERIES: dict = {}
@@ -130,3 +130,8 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50""")
 def op13_count_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(documents(spark, sf_dir))
+
+
+@query()
+def op11_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_components(documents(spark, sf_dir), stored=True)
