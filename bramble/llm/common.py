@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Sequence
@@ -42,12 +45,17 @@ def carried(doc_id: str) -> Column:
 def worker_store(name: str) -> dict:
     """A dictionary that lives as long as the Python worker; task code is unpickled anew for each task.
 
-    A worker keeps one such store: asking for another name drops what an earlier operator left.
+    A worker keeps one such store: asking for another name drops what an earlier operator left and
+    returns the memory to the system, which the executor's next stage may need.
     """
     holder = sys.modules.setdefault("_bramble_worker", types.ModuleType("_bramble_worker"))
     stores = holder.__dict__.setdefault("stores", {})
     if name not in stores:
-        stores.clear()
+        if stores:
+            stores.clear()
+            gc.collect()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)
         stores[name] = {}
     return stores[name]
 
