@@ -93,7 +93,8 @@ def op3_ngram_ratio_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.without_repeats(documents(spark, sf_dir), stored=True)
+    cut = repeats.without_repeats(documents(spark, sf_dir), stored=True)
+    return cut.withColumn("removed", F.col("n_removed") > 0)
 
 
 @query()
