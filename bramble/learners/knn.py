@@ -54,8 +54,8 @@ class NeighbourParams(HasFeaturesCol, HasSeed, HasInputCols):
         return self._set(**kwargs)
 
     def _num_pivots(self) -> int | None:
-        """Explicit tree sizes fix the pivot count, otherwise it follows the row count."""
-        if not (self.isSet(self.topTreeSize) or self.isSet(self.topTreeLeafSize)):
+        """Tree sizes fix the pivot count; the exact search follows the row count unless they are set."""
+        if self.getOrDefault(self.exact) and not (self.isSet(self.topTreeSize) or self.isSet(self.topTreeLeafSize)):
             return None
         return max(1, self.getOrDefault(self.topTreeSize) // self.getOrDefault(self.topTreeLeafSize))
 
@@ -88,9 +88,8 @@ class _NeighbourEstimator(Estimator, NeighbourParams, DefaultParamsWritable, Def
     def _index(self, df: DataFrame, aux) -> tuple[nb.NeighbourIndex, float]:
         self._check()
         rows, key = self._with_id(df)
-        k = self.getOrDefault(self.k)
         index = nb.build_index(rows, id_col=key, features=self.getFeaturesCol(), aux=aux,
-                               copies=k + 1, num_pivots=self._num_pivots(), seed=self.getSeed(),
+                               num_pivots=self._num_pivots(), seed=self.getSeed(),
                                block_rows=self.getOrDefault(self.blockRows))
         buffer = self.getOrDefault(self.bufferSize)
         if not self.getOrDefault(self.exact) and buffer < 0:
@@ -141,13 +140,9 @@ class _ModelWriter(MLWriter):
         self.model = model
 
     def saveImpl(self, path: str) -> None:
-        index = self.model._index
-        extra = {"aux": list(index.aux), "copies": index.copies, "numClasses": self.model.numClasses}
-        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession, extraMetadata=extra)
-        index.cells.write.parquet(f"{path}/cells")
-        rows = [(i, [float(v) for v in p]) for i, p in enumerate(index.pivots)]
-        self.sparkSession.createDataFrame(rows, "cell int, vec array<double>") \
-            .write.parquet(f"{path}/pivots")
+        stored = nb.save_index(self.model._index, path)
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession,
+                                         extraMetadata={"index": stored, "numClasses": self.model.numClasses})
 
 
 class _ModelReader(MLReader):
@@ -157,11 +152,7 @@ class _ModelReader(MLReader):
 
     def load(self, path: str):
         meta = DefaultParamsReader.loadMetadata(path, self.sparkSession)
-        pivots = self.sparkSession.read.parquet(f"{path}/pivots").orderBy("cell").collect()
-        index = nb.index_from_cells(self.sparkSession.read.parquet(f"{path}/cells"),
-                                    np.array([p.vec for p in pivots], dtype=float),
-                                    meta["aux"], meta["copies"])
-        model = self.cls(index, meta["numClasses"])
+        model = self.cls(nb.load_index(self.sparkSession, path, meta["index"]), meta["numClasses"])
         model._resetUid(meta["uid"])
         DefaultParamsReader.getAndSetParams(model, meta)
         return model
@@ -260,7 +251,7 @@ class KNNRegressionModel(_NeighbourModel, VoteParams):
     def predict(self, vector) -> float | None:
         """Unweighted mean over the neighbours of one vector, searched on the cluster."""
         point = [float(v) for v in vector]
-        query = self._index.cells.sparkSession.createDataFrame([(0, point)], "qid bigint, vec array<double>")
+        query = self._index.vectors.sparkSession.createDataFrame([(0, point)], "qid bigint, vec array<double>")
         limit = self.getOrDefault(self.maxDistance)
         near = nb.search(self._index, query, k=self.getOrDefault(self.k), query_id="qid", features="vec",
                          max_distance=None if limit == float("inf") else limit)

@@ -1,15 +1,17 @@
 """Exact and approximate nearest-neighbour joins over vector columns.
 
-Base rows are assigned to the cell of their nearest pivot. Queries first search their home cell,
-which bounds the distance of the k-th neighbour, and are then sent only to the cells that the
-triangle inequality cannot exclude (the published two-phase MapReduce kNN-join scheme). Crowded
-cells are cut into blocks on both sides, so no task ever holds more than one block of each, and of
-identical vectors only the ``k + 1`` smallest ids travel: no other copy can reach a result.
+Distinct base vectors are assigned to the cell of their nearest pivot, and crowded cells are split
+once more by pivots of their own. Queries first search their home leaf, which bounds the distance of
+the k-th neighbour, and are then sent only to the cells, and in them to the leaves, that the triangle
+inequality cannot exclude (the published two-phase MapReduce kNN-join scheme). Leaves are cut into
+blocks, and so are the queries of a leaf where they are many. A vector stands for all its copies; ids
+and other columns are looked up for the vectors found.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -24,7 +26,12 @@ from bramble.functions.columns import as_array
 from bramble.session import materialise
 
 BLOCK_ROWS = 4096
-MAX_PIVOTS = 4096
+#: pivots of the first level, and of a crowded cell
+MAX_PIVOTS, MAX_SUBS = 4096, 1024
+#: narrow rows up to which a table is broadcast
+BROADCAST_ROWS = 100_000
+#: blocks of queries in one leaf from which both sides are cut
+QUERY_BLOCKS = 4
 _CHUNK_CELLS = 4_000_000
 _SLACK = 1e-6
 
@@ -54,10 +61,10 @@ def _ids(column) -> np.ndarray:
 
 
 def _block_pairs(base: pa.Table, query: pa.Table, *, k: int | None, limit: float,
-                 strict: bool, skip_same_id: bool, skip_zero: bool):
+                 strict: bool, skip_zero: bool):
     """Candidate ``(query row, base row, distance)`` of one block pair, local top-k if k is given."""
     x, y = _matrix(query["vec"]), _matrix(base["vec"])
-    qid, nid = _ids(query["qid"]), _ids(base["nid"])
+    nid = _ids(base["nid"])
     bound = np.minimum(_ids(query["bound"]).astype(float), limit)
     tie = np.unique(nid, return_inverse=True)[1]
     scale = float((y * y).sum(1).max())
@@ -66,8 +73,6 @@ def _block_pairs(base: pa.Table, query: pa.Table, *, k: int | None, limit: float
         xs = x[part]
         approx = _squared(xs, y)
         slack = 1e-9 * ((xs * xs).sum(1) + scale) + 1e-18
-        if skip_same_id:
-            approx[qid[part][:, None] == nid[None, :]] = np.inf
         if skip_zero:
             approx[approx <= slack[:, None]] = np.where(
                 _exact_zero(xs, y, approx, slack), np.inf, approx)[approx <= slack[:, None]]
@@ -112,8 +117,8 @@ def _nearest_pivot(pivots: np.ndarray):
     return assign
 
 
-def _reachable(pivots: np.ndarray, radius: np.ndarray, filled: np.ndarray, skip_home: bool):
-    """Cells that may hold a row within ``bound`` of the query."""
+def _reachable(pivots: np.ndarray, radius: np.ndarray, filled: np.ndarray, skip_home: np.ndarray):
+    """Cells that may hold a row within ``bound`` of the query, but for home cells in ``skip_home``."""
     between = np.sqrt(_squared(pivots, pivots))
 
     @F.pandas_udf("array<int>")
@@ -130,8 +135,8 @@ def _reachable(pivots: np.ndarray, radius: np.ndarray, filled: np.ndarray, skip_
             with np.errstate(divide="ignore", invalid="ignore"):
                 plane = (d2 - own) / (2.0 * between[hp])
             ok = ball & ~(plane > reach) & filled[None, :]
-            if skip_home:
-                ok[np.arange(len(d2)), hp] = False
+            mine = np.flatnonzero(skip_home[hp])
+            ok[mine, hp[mine]] = False
             out.extend(np.nonzero(row)[0].astype(np.int32) for row in ok)
         return pd.Series(out, dtype=object)
 
@@ -156,132 +161,232 @@ def _margin(pivots: np.ndarray, filled: np.ndarray, tau: float):
 
 # --- index ------------------------------------------------------------------------------------
 
+def digest(vec: str) -> Column:
+    """128-bit digest of a vector as text; equal vectors share it."""
+    return F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(s), F.col(vec))), 16, "0") for s in (0, 1)])
+
+
 @dataclass
 class NeighbourIndex:
-    """Base rows with their cell, plus at most ``MAX_PIVOTS`` pivots and per-cell statistics."""
+    """A pivot tree of depth two over distinct vectors, and the ids of each.
+
+    Up to ``MAX_PIVOTS`` pivots of the first level are held by the driver. Cells with more than two
+    blocks of vectors are split by up to ``MAX_SUBS`` pivots of their own, which stay in a table.
+    Leaf numbers are ``cell * MAX_SUBS + sub``; a cell that is not split is its leaf 0.
+    """
 
-    cells: DataFrame            # nid, vec, cell, aux columns
-    pivots: np.ndarray
-    rows: np.ndarray            # rows per cell
+    vectors: DataFrame          # vid, nid (smallest id), copies, vec, leaf, block
+    members: DataFrame          # vid, nid, aux columns: every base row
+    pivots: np.ndarray          # first level; empty for a single cell
+    rows: np.ndarray            # distinct vectors per cell
     radius: np.ndarray          # largest pivot distance per cell
+    split: np.ndarray           # whether the cell has pivots of its own
+    leaves: DataFrame | None    # cell, sub, pivot, radius of the split cells
+    sizes: DataFrame            # leaf, blocks
     aux: tuple[str, ...]
-    copies: int | None          # copies kept of identical vectors; None keeps all
+    copied: bool                # whether any vector has more than one id
 
     @property
     def single(self) -> bool:
         return len(self.pivots) <= 1
 
 
-def distinct_copies(rows: DataFrame, copies: int) -> DataFrame:
-    """The ``copies`` smallest ids of every identical vector (a limit Spark applies map-side)."""
-    by_vec = Window.partitionBy("vec").orderBy("nid")
-    return rows.withColumn("_copy", F.row_number().over(by_vec)) \
-        .where(F.col("_copy") <= copies).drop("_copy")
+def _few(table: DataFrame) -> DataFrame:
+    """A hint to broadcast a written table of narrow rows, if it is small."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
-def build_index(base: DataFrame, *, id_col: str, features: str = "features",
-                aux: Sequence[str] = (), copies: int | None = None,
-                num_pivots: int | None = None, seed: int = 0,
-                pivots: np.ndarray | None = None, block_rows: int = BLOCK_ROWS) -> NeighbourIndex:
-    """Assign base rows to pivot cells. Rows with a null vector are rejected."""
+def _by_hash(rows: DataFrame, seed: int, count: int) -> DataFrame:
+    # a hash order is a uniform sample that stays the same when a task is retried
+    return rows.orderBy(F.xxhash64(F.lit(seed), "vid"), "vid").limit(count)
+
+
+def build_index(base: DataFrame, *, id_col: str, features: str = "features", aux: Sequence[str] = (),
+                num_pivots: int | None = None, seed: int = 0, pivots: np.ndarray | None = None,
+                block_rows: int = BLOCK_ROWS) -> NeighbourIndex:
+    """Assign the distinct base vectors to the leaves of the pivot tree. Null vectors are left out."""
     rows = base.select(F.col(id_col).alias("nid"), as_array(base, features).alias("vec"), *aux) \
-        .where(F.col("vec").isNotNull())
-    total = base.count()
+        .where(F.col("vec").isNotNull()).withColumn("vid", digest("vec"))
+    distinct = materialise(rows.groupBy("vid").agg(
+        F.min("nid").alias("nid"), F.count("*").alias("copies"), F.first("vec").alias("vec")), "distinct")
+    total, copied = distinct.agg(F.count("*"), F.max("copies")).first()
     if num_pivots is None:
         num_pivots = total // block_rows
-    if pivots is None and num_pivots > 1:
-        want = min(MAX_PIVOTS, num_pivots)
-        # a hash order is a uniform sample that stays the same when a task is retried
-        sample = rows.select("vec", F.xxhash64(F.lit(seed), "nid").alias("_h")) \
-            .orderBy("_h").limit(2 * want).select("vec").collect()
-        distinct = dict.fromkeys(tuple(r.vec) for r in sample)
-        pivots = np.array(list(distinct)[:want], dtype=float)
-    single = pivots is None or len(pivots) <= 1
-    if single and total <= block_rows:      # one block holds everything, copies included
-        return NeighbourIndex(rows.withColumn("cell", F.lit(0)), np.empty((0, 0)), np.array([total]),
-                              np.array([np.inf]), tuple(aux), None)
-    if copies is not None:
-        rows = distinct_copies(rows, copies)
-    if single:
-        return index_from_cells(rows.withColumn("cell", F.lit(0)), np.empty((0, 0)), aux, copies)
-    placed = rows.withColumn("_a", _nearest_pivot(pivots)("vec")) \
-        .select("*", "_a.cell", "_a.gap").drop("_a")
-    cells = materialise(placed, "cells")
-    return index_from_cells(cells, pivots, aux, copies)
-
-
-def index_from_cells(cells: DataFrame, pivots: np.ndarray, aux: Sequence[str],
-                     copies: int | None) -> NeighbourIndex:
-    """Per-cell statistics of an assigned base table (one row per pivot reaches the driver)."""
-    rows = np.zeros(max(1, len(pivots)), dtype=np.int64)
-    radius = np.zeros(max(1, len(pivots)))
-    if len(pivots) <= 1:
-        rows[0], radius[0] = cells.count(), np.inf
+    if pivots is None:
+        chosen = _by_hash(distinct, seed, min(MAX_PIVOTS, num_pivots)).collect() if num_pivots > 1 else []
+        pivots = np.array([r.vec for r in chosen], dtype=float) if len(chosen) > 1 else np.empty((0, 0))
+    if len(pivots):
+        placed = distinct.withColumn("_a", _nearest_pivot(pivots)("vec")).select("*", "_a.cell", "_a.gap").drop("_a")
+        cells = materialise(placed, "cells")
     else:
-        stats = cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("r")).collect()
-        for s in stats:
-            rows[s.cell], radius[s.cell] = s.n, s.r
-    return NeighbourIndex(cells, pivots, rows, radius, tuple(aux), copies)
+        cells = distinct.withColumn("cell", F.lit(0)).withColumn("gap", F.lit(float("inf")))
+    counted, radius = np.zeros(max(1, len(pivots)), np.int64), np.zeros(max(1, len(pivots)))
+    stats = cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("r")).collect() if len(pivots) else []
+    for s in stats:
+        counted[s.cell], radius[s.cell] = s.n, s.r
+    if not stats:
+        counted[0], radius[0] = total, np.inf
+    split = (counted > 2 * block_rows) if len(pivots) else np.zeros(1, bool)
+    whole = cells.withColumn("leaf", F.col("cell").cast("bigint") * MAX_SUBS)
+    known = [(int(c) * MAX_SUBS, max(1, math.ceil(n / block_rows))) for c, n in enumerate(counted) if not split[c]]
+    sizes = base.sparkSession.createDataFrame(known, "leaf bigint, blocks int")
+    leaves = None
+    if split.any():
+        inner, leaves, inner_sizes = _split_cells(cells, counted, split, seed, block_rows)
+        cut = base.sparkSession.createDataFrame([(int(c),) for c in np.flatnonzero(split)], "cell int")
+        whole = whole.join(F.broadcast(cut), "cell", "left_anti").drop("cell", "gap").unionByName(inner)
+        sizes = materialise(sizes.unionByName(inner_sizes), "sizes")
+    block = F.pmod(F.xxhash64("vid"), F.col("blocks")).cast("int").alias("block")
+    vectors = whole.join(_few(sizes), "leaf").select("vid", "nid", "copies", "vec", "leaf", block)
+    if leaves is not None:
+        vectors = materialise(vectors, "leaves")
+    return NeighbourIndex(vectors, rows.select("vid", "nid", *aux), pivots, counted, radius, split, leaves, sizes,
+                          tuple(aux), (copied or 0) > 1)
+
+
+def _split_cells(cells: DataFrame, counted: np.ndarray, split: np.ndarray, seed: int, block_rows: int):
+    """Second level: leaves of the crowded cells, their pivots and their numbers of blocks.
+
+    A cell's rows are dealt to blocks that each meet all of the cell's pivots, so no task holds a cell.
+    """
+    spark = cells.sparkSession
+    crowded = [(int(c), min(MAX_SUBS, math.ceil(counted[c] / block_rows)), math.ceil(counted[c] / block_rows))
+               for c in np.flatnonzero(split)]
+    table = F.broadcast(spark.createDataFrame(crowded, "cell int, want int, parts int"))  # MAX_PIVOTS rows at most
+    inside = cells.join(table, "cell")
+    order = Window.partitionBy("cell").orderBy(F.xxhash64(F.lit(seed + 1), "vid"), "vid")
+    pivots = inside.withColumn("sub", F.row_number().over(order) - 1).where(F.col("sub") < MAX_SUBS) \
+        .where(F.col("sub") < F.col("want")).select("cell", "sub", F.col("vec").alias("pivot"), "parts")
+    pivots = materialise(pivots, "pivots")
+
+    def assign(rows: pa.Table, tops: pa.Table) -> pa.Table:
+        if not rows.num_rows or not tops.num_rows:
+            return pa.table({**{c: rows[c] for c in ("vid", "nid", "copies", "vec")}, "cell": rows["cell"],
+                             "sub": pa.array([], pa.int32()), "gap": pa.array([], pa.float64())})
+        x, p, subs = _matrix(rows["vec"]), _matrix(tops["pivot"]), _ids(tops["sub"])
+        order = np.argsort(subs)
+        p, sub, gap = p[order], np.empty(len(x), np.int32), np.empty(len(x))
+        for part in _chunks(len(x), len(p)):
+            d2 = _squared(x[part], p)
+            at = d2.argmin(1)
+            sub[part], gap[part] = subs[order][at], np.sqrt(d2[np.arange(len(at)), at])
+        return pa.table({**{c: rows[c] for c in ("vid", "nid", "copies", "vec")}, "cell": rows["cell"],
+                         "sub": pa.array(sub, pa.int32()), "gap": pa.array(gap, pa.float64())})
+
+    shape = T.StructType([*(cells.schema[c] for c in ("vid", "nid", "copies", "vec", "cell")),
+                          T.StructField("sub", T.IntegerType()), T.StructField("gap", T.DoubleType())])
+    dealt = inside.withColumn("part", F.pmod(F.xxhash64("vid"), F.col("parts")).cast("int")) \
+        .select("vid", "nid", "copies", "vec", "cell", "part")
+    met = pivots.select("cell", "sub", "pivot", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    placed = materialise(dealt.groupBy("cell", "part").cogroup(met.groupBy("cell", "part"))
+                         .applyInArrow(assign, schema=shape), "assigned")
+    stats = materialise(placed.groupBy("cell", "sub").agg(F.count("*").alias("n"), F.max("gap").alias("radius")), "stats")
+    leaf = (F.col("cell").cast("bigint") * MAX_SUBS + F.col("sub")).alias("leaf")
+    leaves = materialise(pivots.drop("parts").join(stats, ["cell", "sub"]).select("cell", "sub", "pivot", "radius"), "subs")
+    sizes = stats.select(leaf, F.ceil(F.col("n") / block_rows).cast("int").alias("blocks"))
+    return placed.select("vid", "nid", "copies", "vec", leaf), leaves, sizes
+
+
+# --- routing ----------------------------------------------------------------------------------
+
+def _descend(index: NeighbourIndex, routed: DataFrame, choose, block_rows: int) -> DataFrame:
+    """Queries ``(qid, vec, bound, cell)`` to their leaves: ``qid, vec, bound, leaf``.
+
+    ``choose(points, bounds, pivots, radii)`` tells which leaves of a split cell each query visits.
+    The queries of a cell are dealt to parts, each of which meets the cell's pivots.
+    """
+    columns = ["qid", "vec", "bound"]
+    direct = routed.withColumn("leaf", F.col("cell").cast("bigint") * MAX_SUBS)
+    if index.leaves is None:
+        return direct.select(*columns, "leaf")
+    spark = routed.sparkSession
+    crowded = F.broadcast(spark.createDataFrame([(int(c),) for c in np.flatnonzero(index.split)], "cell int"))
+    inside = routed.join(crowded, "cell")
+    per_cell = [(r["cell"], math.ceil(r["count"] / block_rows)) for r in inside.groupBy("cell").count().collect()]
+    parts = F.broadcast(spark.createDataFrame(per_cell, "cell int, parts int"))
+
+    def visit(rows: pa.Table, tops: pa.Table) -> pa.Table:
+        at, to = np.empty(0, int), np.empty(0, np.int64)
+        if rows.num_rows and tops.num_rows:
+            x, p = _matrix(rows["vec"]), _matrix(tops["pivot"])
+            reach, radii = _ids(rows["bound"]).astype(float), _ids(tops["radius"]).astype(float)
+            found = [choose(x[part], reach[part], p, radii) for part in _chunks(len(x), len(p))]
+            at, picked = np.nonzero(np.concatenate(found))
+            to = _ids(tops["cell"]).astype(np.int64)[picked] * MAX_SUBS + _ids(tops["sub"])[picked]
+        some = rows.select(columns).take(pa.array(at, pa.int64()))
+        return some.append_column("leaf", pa.array(to, pa.int64()))
+
+    shape = T.StructType([*(routed.schema[c] for c in columns), T.StructField("leaf", T.LongType())])
+    dealt = inside.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("qid"), F.col("parts")).cast("int"))
+    met = index.leaves.join(parts, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    deep = dealt.select("cell", "part", *columns).groupBy("cell", "part") \
+        .cogroup(met.select("cell", "sub", "pivot", "radius", "part").groupBy("cell", "part")) \
+        .applyInArrow(visit, schema=shape)
+    return direct.join(crowded, "cell", "left_anti").select(*columns, "leaf").unionByName(deep)
+
+
+def _home_leaf(x, bound, pivots, radii):
+    d2 = _squared(x, pivots)
+    return np.arange(len(pivots))[None, :] == d2.argmin(1)[:, None]
+
+
+def _leaves_in_reach(x, bound, pivots, radii):
+    """Leaves whose ball and whose side of the bisector the query's ball touches."""
+    d2 = _squared(x, pivots)
+    between = np.sqrt(_squared(pivots, pivots))
+    near = d2.argmin(1)
+    reach = (bound * (1 + 1e-9) + _SLACK)[:, None]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        plane = (d2 - d2[np.arange(len(x)), near][:, None]) / (2.0 * between[near])
+    return (np.sqrt(d2) - radii[None, :] <= reach) & ~(plane > reach)
+
+
+def _leaves_within(tau: float):
+    def choose(x, bound, pivots, radii):
+        d = np.sqrt(_squared(x, pivots))
+        return d - d.min(1)[:, None] <= tau
+
+    return choose
 
 
 # --- search -----------------------------------------------------------------------------------
 
-def _with_splits(df: DataFrame, rows: np.ndarray, queries: np.ndarray, block_rows: int) -> DataFrame:
-    """Add the number of blocks of the row's cell on each side (``nb``, ``nq``).
+def _scan(index: NeighbourIndex, routed: DataFrame, *, k: int | None, limit: float, strict: bool = False,
+          skip_zero: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Compare routed queries ``(qid, vec, bound, leaf)`` with the vectors of their leaf: ``qid, vid, nid, copies, dist``.
 
-    The table joined for it has one row per pivot, hence is safe to broadcast.
+    Queries go to the blocks of their leaf, so a stored index that is bucketed by leaf and block stays
+    where it is. Only leaves with many queries are shuffled on both sides, in blocks of queries too.
     """
-    if len(rows) == 1:
-        return df.withColumn("nb", F.lit(max(1, math.ceil(rows[0] / block_rows)))) \
-            .withColumn("nq", F.lit(max(1, math.ceil(queries[0] / block_rows))))
-    wanted = [(int(c), max(1, math.ceil(rows[c] / block_rows)),
-               max(1, math.ceil(queries[c] / block_rows)))
-              for c in range(len(rows)) if rows[c] and queries[c]]
-    table = df.sparkSession.createDataFrame(wanted, "cell int, nb int, nq int")
-    return df.join(F.broadcast(table), "cell")
-
-
-def _scan(index: NeighbourIndex, routed: DataFrame, per_cell: np.ndarray, *, k: int | None,
-          limit: float, strict: bool = False, skip_same_id: bool = False,
-          skip_zero: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Compare routed queries ``(qid, vec, bound, cell)`` with the base rows of their cell."""
-    sizes = (index.rows, per_cell, block_rows)
-    base = _with_splits(index.cells.select("nid", "vec", "cell", *index.aux), *sizes) \
-        .withColumn("bs", F.pmod(F.xxhash64("nid"), F.col("nb"))) \
-        .withColumn("qs", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                               F.col("nq").cast("bigint") - 1))) \
-        .drop("nb", "nq")
-    query = _with_splits(routed, *sizes) \
-        .withColumn("qs", F.pmod(F.xxhash64("qid"), F.col("nq"))) \
-        .withColumn("bs", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                               F.col("nb").cast("bigint") - 1))) \
-        .drop("nb", "nq")
     out = T.StructType([T.StructField("qid", routed.schema["qid"].dataType),
-                        T.StructField("nid", index.cells.schema["nid"].dataType),
-                        T.StructField("dist", T.DoubleType()),
-                        *(index.cells.schema[a] for a in index.aux)])
-    aux = index.aux
+                        *(index.vectors.schema[c] for c in ("vid", "nid", "copies")),
+                        T.StructField("dist", T.DoubleType())])
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows == 0 or right.num_rows == 0:
             qi, bi, dist = np.empty(0, int), np.empty(0, int), np.empty(0)
         else:
-            qi, bi, dist = _block_pairs(left, right, k=k, limit=limit, strict=strict,
-                                        skip_same_id=skip_same_id, skip_zero=skip_zero)
+            qi, bi, dist = _block_pairs(left, right, k=k, limit=limit, strict=strict, skip_zero=skip_zero)
         picked = left.take(pa.array(bi, type=pa.int64()))
         return pa.table({"qid": right["qid"].take(pa.array(qi, type=pa.int64())),
-                         "nid": picked["nid"], "dist": pa.array(dist, type=pa.float64()),
-                         **{a: picked[a] for a in aux}})
-
-    keys = ["cell", "bs", "qs"]
-    return base.groupBy(*keys).cogroup(query.groupBy(*keys)).applyInArrow(compare, schema=out)
-
-
-def _counts(df: DataFrame, cell: Column, size: int) -> np.ndarray:
-    out = np.zeros(max(1, size), dtype=np.int64)
-    for r in df.select(cell.alias("cell")).groupBy("cell").count().collect():
-        out[r["cell"]] = r["count"]
-    return out
+                         **{c: picked[c] for c in ("vid", "nid", "copies")}, "dist": pa.array(dist, type=pa.float64())})
+
+    def meet(base: DataFrame, query: DataFrame, keys: list[str]) -> DataFrame:
+        return base.groupBy(*keys).cogroup(query.groupBy(*keys)).applyInArrow(compare, schema=out)
+
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    base = index.vectors.select("vid", "nid", "copies", "vec", "leaf", "block")
+    sizes = _few(index.sizes)
+    counts = routed.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > QUERY_BLOCKS * block_rows)
+    busy = materialise(counts.select("leaf", F.ceil(F.col("n") / block_rows).cast("int").alias("parts")), "busy")
+    sent = routed.join(sizes, "leaf").select("leaf", every, "qid", "vec", "bound")
+    if busy.isEmpty():
+        return meet(base, sent, ["leaf", "block"])
+    some = _few(busy)
+    calm = meet(base, sent.join(some, "leaf", "left_anti"), ["leaf", "block"])
+    part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    dealt = sent.join(some, "leaf").withColumn("part", F.pmod(F.xxhash64("qid"), F.col("parts")).cast("int")).drop("parts")
+    return calm.unionByName(meet(base.join(some, "leaf").select(*base.columns, part), dealt, ["leaf", "block", "part"]))
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -289,54 +394,67 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _expanded(index: NeighbourIndex, near: DataFrame, k: int, exclude_self: bool) -> DataFrame:
+    """Of the nearest distinct vectors the k nearest base rows; only the first ids of a vector can be among them."""
+    ids = index.members
+    if index.copied:
+        first = Window.partitionBy("vid").orderBy("nid")  # Spark applies the limit before the shuffle as well
+        ids = ids.withColumn("_copy", F.row_number().over(first)).where(F.col("_copy") <= k + 1).drop("_copy")
+    rows = near.select("qid", "vid", "dist").join(ids, "vid") if index.copied or index.aux \
+        else near.select("qid", "nid", "dist")
+    if exclude_self:
+        rows = rows.where(F.col("nid") != F.col("qid"))
+    return _best(rows, k).select("qid", "rank", "nid", "dist", *index.aux)
+
+
 def search(index: NeighbourIndex, queries: DataFrame, *, k: int, query_id: str,
            features: str = "features", max_distance: float | None = None,
            exclude_self: bool = False, exclude_identical: bool = False,
            tau: float | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Rows ``(qid, rank, nid, dist, aux...)``: the k nearest base rows, ties by id.
 
-    ``exclude_self`` skips a base row with the query's own id, ``exclude_identical`` every base
-    row at distance zero. ``tau`` switches to approximate routing. Queries without any neighbour
-    (or with a null vector) yield no row; join back on the id to keep them.
+    Any k can be asked of an index. ``exclude_self`` skips a base row with the query's own id,
+    ``exclude_identical`` every base row at distance zero. ``tau`` switches to approximate routing.
+    Queries without any neighbour (or with a null vector) yield no row; join back on the id to keep them.
     """
-    if index.copies is not None and index.copies < k + int(exclude_self) and not exclude_identical:
-        raise ValueError("the index keeps too few copies of identical vectors for this k")
     limit = float("inf") if max_distance is None else float(max_distance)
-    options = dict(k=k, limit=limit, skip_same_id=exclude_self, skip_zero=exclude_identical,
-                   block_rows=block_rows)
+    wanted = k + int(exclude_self)   # the query's own vector may hold its own id alone
+    options = dict(k=wanted, limit=limit, skip_zero=exclude_identical, block_rows=block_rows)
     q = queries.select(F.col(query_id).alias("qid"), as_array(queries, features).alias("vec")) \
         .where(F.col("vec").isNotNull())
     unbounded = F.lit(float("inf"))
 
     if index.single:
-        routed = q.withColumn("bound", unbounded).withColumn("cell", F.lit(0))
-        found = _scan(index, routed, np.array([queries.count()]), **options)
-        return _best(found, k).select("qid", "rank", "nid", "dist", *index.aux)
+        routed = q.withColumn("bound", unbounded).withColumn("leaf", F.lit(0).cast("bigint"))
+        return _expanded(index, _best(_scan(index, routed, **options), wanted), k, exclude_self)
 
     filled = index.rows > 0
     if tau is not None:
-        routes = materialise(q.withColumn("cells", _margin(index.pivots, filled, tau)("vec")),
-                             "routes")
-        per_cell = _counts(routes, F.explode("cells"), len(index.pivots))
-        routed = routes.withColumn("cell", F.explode("cells")).drop("cells") \
+        routed = q.withColumn("cell", F.explode(_margin(index.pivots, filled, tau)("vec"))) \
             .withColumn("bound", unbounded)
-        return _best(_scan(index, routed, per_cell, **options), k) \
-            .select("qid", "rank", "nid", "dist", *index.aux)
-
-    homed = materialise(q.withColumn("cell", _nearest_pivot(index.pivots)("vec")["cell"]), "homed")
-    per_cell = _counts(homed, F.col("cell"), len(index.pivots))
-    at_home = _scan(index, homed.withColumn("bound", unbounded), per_cell, **options)
-    near = materialise(_best(at_home, k).drop("rank"), "near")
+        routed = materialise(_descend(index, routed, _leaves_within(tau), block_rows), "routes")
+        return _expanded(index, _best(_scan(index, routed, **options), wanted), k, exclude_self)
+
+    homed = materialise(q.withColumn("cell", _nearest_pivot(index.pivots)("vec")["cell"])
+                        .withColumn("bound", unbounded), "homed")
+    at_home = _descend(index, homed, _home_leaf, block_rows)
+    at_home = at_home if index.leaves is None else materialise(at_home, "home")
+    near = materialise(_best(_scan(index, at_home, **options), wanted).drop("rank"), "near")
     bounds = near.groupBy("qid").agg(F.count("*").alias("_n"), F.max("dist").alias("_d")) \
-        .select("qid", F.when(F.col("_n") >= k, F.col("_d")).alias("_bound"))
-    routes = homed.join(bounds, "qid", "left") \
+        .select("qid", F.when(F.col("_n") >= wanted, F.col("_d")).alias("_bound"))
+    route = _reachable(index.pivots, index.radius, filled, ~index.split)
+    reach = homed.drop("bound").join(bounds, "qid", "left") \
         .withColumn("bound", F.least(F.coalesce("_bound", unbounded), F.lit(limit))).drop("_bound") \
-        .withColumn("cells", _reachable(index.pivots, index.radius, filled, True)("vec", "cell", "bound"))
-    routes = materialise(routes, "routes")
-    per_cell = _counts(routes, F.explode("cells"), len(index.pivots))
-    routed = routes.select("qid", "vec", "bound", F.explode("cells").alias("cell"))
-    away = _scan(index, routed, per_cell, **options)
-    return _best(near.unionByName(away), k).select("qid", "rank", "nid", "dist", *index.aux)
+        .withColumn("cell", F.explode(route("vec", "cell", "bound")))
+    routes = _descend(index, reach if index.leaves is None else materialise(reach, "reach"), _leaves_in_reach, block_rows)
+    if index.leaves is not None:
+        routes = routes.join(at_home.select("qid", "leaf"), ["qid", "leaf"], "left_anti")
+    away = _scan(index, materialise(routes, "routes"), **options)
+    return _expanded(index, _best(near.unionByName(away), wanted), k, exclude_self)
+
+
+#: pivots of approximate routing if their number is not given, at any size of the table
+APPROXIMATE_PIVOTS = 100
 
 
 def knn_join(base: DataFrame, queries: DataFrame, k: int, *, base_id: str, query_id: str,
@@ -346,9 +464,10 @@ def knn_join(base: DataFrame, queries: DataFrame, k: int, *, base_id: str, query
              num_pivots: int | None = None, tau: float | None = None, seed: int = 0,
              block_rows: int = BLOCK_ROWS) -> DataFrame:
     """For every query row its k nearest base rows by Euclidean distance."""
-    copies = 1 if exclude_identical else k + int(exclude_self)
-    index = build_index(base, id_col=base_id, features=features, aux=aux, copies=copies,
-                        num_pivots=num_pivots, seed=seed, block_rows=block_rows)
+    if tau is not None and num_pivots is None:
+        num_pivots = APPROXIMATE_PIVOTS
+    index = build_index(base, id_col=base_id, features=features, aux=aux, num_pivots=num_pivots, seed=seed,
+                        block_rows=block_rows)
     return search(index, queries, k=k, query_id=query_id, features=query_features or features,
                   max_distance=max_distance, exclude_self=exclude_self,
                   exclude_identical=exclude_identical, tau=tau, block_rows=block_rows)
@@ -357,8 +476,8 @@ def knn_join(base: DataFrame, queries: DataFrame, k: int, *, base_id: str, query
 def distinct_vectors(df: DataFrame, id_col: str, features: str) -> DataFrame:
     """One row per distinct vector: smallest id and number of copies."""
     return df.select(F.col(id_col).alias("_id"), as_array(df, features).alias("vec")) \
-        .where(F.col("vec").isNotNull()) \
-        .groupBy("vec").agg(F.min("_id").alias("nid"), F.count("*").alias("copies"))
+        .where(F.col("vec").isNotNull()).groupBy(digest("vec").alias("vid")) \
+        .agg(F.first("vec").alias("vec"), F.min("_id").alias("nid"), F.count("*").alias("copies")).drop("vid")
 
 
 def range_join(a: DataFrame, b: DataFrame, threshold: float, *, a_id: str, b_id: str,
@@ -369,30 +488,70 @@ def range_join(a: DataFrame, b: DataFrame, threshold: float, *, a_id: str, b_id:
     Identical vectors are represented by their smallest id and a copy count, so a group of copies
     contributes one row per partner instead of all its pairs.
     """
-    left, right = distinct_vectors(a, a_id, features), distinct_vectors(b, b_id, features)
-    if num_pivots is None:
-        num_pivots = a.count() // block_rows
-    index = build_index(left, id_col="nid", features="vec", aux=("copies",),
-                        num_pivots=num_pivots, seed=seed, block_rows=block_rows)
-    q = right.select(F.col("nid").alias("qid"), "vec", F.col("copies").alias("q_copies"),
-                     F.lit(float(threshold)).alias("bound"))
+    index = build_index(a, id_col=a_id, features=features, num_pivots=num_pivots, seed=seed, block_rows=block_rows)
+    q = distinct_vectors(b, b_id, features).select(
+        F.col("nid").alias("qid"), "vec", F.col("copies").alias("q_copies"), F.lit(float(threshold)).alias("bound"))
+    q = materialise(q, "queries")
     if index.single:
-        per_cell = np.array([b.count()])
-        routed = q.withColumn("cell", F.lit(0))
+        routed = q.withColumn("leaf", F.lit(0).cast("bigint"))
     else:
-        routes = q.withColumn("home", _nearest_pivot(index.pivots)("vec")["cell"]) \
-            .withColumn("cells", _reachable(index.pivots, index.radius, index.rows > 0, False)(
-                "vec", "home", "bound"))
-        routes = materialise(routes, "routes")
-        per_cell = _counts(routes, F.explode("cells"), len(index.pivots))
-        routed = routes.withColumn("cell", F.explode("cells")).drop("cells", "home")
-    pairs = _scan(index, routed.drop("q_copies"), per_cell, k=None, limit=float(threshold),
-                  strict=True, block_rows=block_rows)
+        route = _reachable(index.pivots, index.radius, index.rows > 0, np.zeros(len(index.pivots), bool))
+        reach = q.withColumn("home", _nearest_pivot(index.pivots)("vec")["cell"]) \
+            .withColumn("cell", F.explode(route("vec", "home", "bound")))
+        reach = reach if index.leaves is None else materialise(reach, "reach")
+        routed = materialise(_descend(index, reach, _leaves_in_reach, block_rows), "routes")
+    pairs = _scan(index, routed.select("qid", "vec", "bound", "leaf"), k=None, limit=float(threshold), strict=True,
+                  block_rows=block_rows)
     return pairs.join(q.select("qid", "q_copies"), "qid") \
         .select(F.col("nid").alias("a_id"), F.col("qid").alias("b_id"), "dist",
                 F.col("copies").alias("a_copies"), F.col("q_copies").alias("b_copies"))
 
 
+# --- stored index -----------------------------------------------------------------------------
+
+def _bucketed(spark, path: str, parts: int) -> DataFrame:
+    """The vectors at ``path`` as a table bucketed by leaf and block, under a name of this session only."""
+    name = f"bramble_index_{uuid.uuid4().hex}"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY (leaf, block) INTO {parts} BUCKETS "
+              f"LOCATION '{path}'")
+    return spark.table(name)
+
+
+def save_index(index: NeighbourIndex, path: str) -> dict:
+    """Write the index below ``path``; what the reader needs beside the tables is returned.
+
+    The vectors are bucketed by leaf and block, the keys of the search, so scoring jobs read them
+    without a shuffle.
+    """
+    spark = index.vectors.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"bramble_index_{uuid.uuid4().hex}"
+    # one task per bucket, so that a bucket is one file
+    index.vectors.repartition(parts, "leaf", "block").write.bucketBy(parts, "leaf", "block").format("parquet") \
+        .option("path", f"{path}/vectors").saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    index.members.write.parquet(f"{path}/members")
+    index.sizes.write.parquet(f"{path}/sizes")
+    cells = [(i, [float(v) for v in p], int(n), float(r), bool(s)) for i, (p, n, r, s) in enumerate(
+        zip(index.pivots if len(index.pivots) else [[]], index.rows, index.radius, index.split))]
+    spark.createDataFrame(cells, "cell int, vec array<double>, rows bigint, radius double, split boolean") \
+        .write.parquet(f"{path}/pivots")
+    if index.leaves is not None:
+        index.leaves.write.parquet(f"{path}/leaves")
+    return {"aux": list(index.aux), "copied": index.copied, "buckets": parts, "deep": index.leaves is not None}
+
+
+def load_index(spark, path: str, meta: dict) -> NeighbourIndex:
+    cells = spark.read.parquet(f"{path}/pivots").orderBy("cell").collect()
+    pivots = np.array([c.vec for c in cells], dtype=float) if len(cells) > 1 else np.empty((0, 0))
+    return NeighbourIndex(
+        _bucketed(spark, f"{path}/vectors", meta["buckets"]), spark.read.parquet(f"{path}/members"), pivots,
+        np.array([c.rows for c in cells]), np.array([c.radius for c in cells]), np.array([c.split for c in cells]),
+        spark.read.parquet(f"{path}/leaves") if meta["deep"] else None, spark.read.parquet(f"{path}/sizes"),
+        tuple(meta["aux"]), meta["copied"])
+
+
 # --- routing margin ---------------------------------------------------------------------------
 
 def sample_sizes(df: DataFrame, id_col: str, sizes: Sequence[int], total: int,

@@ -5,7 +5,8 @@ import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from bramble.learners import jobs
 from bramble.learners.knn import (KNN, KNNClassificationModel, KNNClassifier, KNNModel, KNNRegression,
                                   KNNRegressionModel)
 from bramble.learners.registry import grid, learner
+from bramble.operators import neighbours as nb
 from bramble.plans.registry import PLANS
 from bramble.sources import delimited
 
@@ -97,9 +99,37 @@ def test_parameter_checks(points):
     for bad in ({"k": 0}, {"bufferSize": -2.0}, {"bufferSizeSampleSizes": [5]}):
         with pytest.raises(ValueError):
             KNN(idCol="id", **bad).fit(points)
-    model = KNNClassifier(k=3, idCol="id", blockRows=50).fit(points)
-    with pytest.raises(ValueError):
-        model.setParams(k=50).transform(points)
+
+
+def test_k_can_be_raised_after_the_fit(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(10_000, 3)).round(1)      # many copies
+    rows = spark.createDataFrame([(i, Vectors.dense(p)) for i, p in enumerate(x)], ["id", "features"])
+    model = KNN(k=3, idCol="id", distanceCol="d").fit(rows)
+    out = model.setParams(k=9).transform(rows.where("id < 30")).collect()
+    for r in out:
+        dist = np.sqrt(((x - x[r.id]) ** 2).sum(1))
+        want = sorted((d, i) for i, d in enumerate(dist))[:9]
+        assert [n["id"] for n in r.neighbors] == [i for _, i in want]
+
+
+def test_stored_index_is_scored_without_a_shuffle_of_its_vectors(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(300, 3)), 1e-3 * rng.normal(size=(700, 3))])
+    rows = spark.createDataFrame([(i, Vectors.dense(p)) for i, p in enumerate(x)], ["id", "features"])
+    model = KNN(k=3, idCol="id", topTreeSize=60, topTreeLeafSize=10, blockRows=40, distanceCol="d").fit(rows)
+    path = str(tmp_path / "stored")
+    model.write().overwrite().save(path)
+    again = KNNModel.load(path)
+    assert again._index.leaves is not None
+    few = rows.where("id % 10 = 0")
+    order = [r.neighbors for r in model.transform(few).orderBy("id").collect()]
+    assert [r.neighbors for r in again.transform(few).orderBy("id").collect()] == order
+    routed = few.select(F.col("id").alias("qid"), vector_to_array("features").alias("vec"),
+                        F.lit(1.0).alias("bound"), F.lit(0).cast("bigint").alias("leaf"))
+    plan = nb._scan(again._index, routed, k=3, limit=1.0)._jdf.queryExecution().executedPlan().toString()
+    sides = plan[plan.index("FlatMapCoGroupsInArrow"):]
+    assert sides.count("Exchange hashpartitioning(leaf") == 1 and "Bucketed: true" in sides
 
 
 def test_csv_jobs(spark, points, tmp_path):

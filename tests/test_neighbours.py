@@ -87,6 +87,61 @@ def test_exclude_identical(spark):
     assert len(got) == 45
 
 
+def clustered(seed, n, d=3):
+    """Nearly all points in a few tight clusters of near copies, some far away, some identical."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(4, d))[rng.integers(0, 4, n)] + 1e-3 * rng.normal(size=(n, d))
+    x[:n // 10] = rng.normal(size=(n // 10, d))
+    x[-n // 6:] = x[n // 2]
+    return x
+
+
+def test_crowded_cells_get_pivots_of_their_own(spark):
+    x = clustered(11, 600)
+    df = frame(spark, x)
+    index = nb.build_index(df, id_col="id", num_pivots=3, block_rows=20)
+    assert index.split.any() and index.leaves.groupBy("cell").count().agg(F.max("count")).first()[0] > 4
+    assert index.vectors.count() == len(np.unique(x, axis=0))       # one row per distinct vector
+    assert index.members.count() == 600
+    blocks = index.vectors.groupBy("leaf", "block").count().agg(F.max("count")).first()[0]
+    assert blocks <= 60
+    far = nb._descend(index, frame(spark, x[:50]).select(
+        F.col("id").alias("qid"), F.col("features").alias("vec"), F.lit(1e-4).alias("bound"),
+        F.explode(F.array([F.lit(c) for c in range(3)])).alias("cell")), nb._leaves_in_reach, 20)
+    leaves = index.sizes.count()
+    assert far.count() < 50 * leaves / 3                            # the bound prunes inside cells too
+    for extra in ({}, {"exclude_self": True}, {"max_distance": 1e-3}):
+        got = nb.search(index, df, k=4, query_id="id", block_rows=20, **extra)
+        want = brute(x, x, 4, extra.get("exclude_self", False), extra.get("max_distance", np.inf))
+        assert {(r.qid, r.rank, r.nid) for r in got.collect()} == want
+
+
+def test_leaves_with_many_queries_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(nb, "QUERY_BLOCKS", 1)
+    x, q = clustered(12, 300), clustered(12, 400)
+    got = nb.knn_join(frame(spark, x), frame(spark, q), 3, base_id="id", query_id="id", num_pivots=4, block_rows=16)
+    assert {(r.qid, r.rank, r.nid) for r in got.collect()} == brute(x, q, 3)
+
+
+def test_margin_acts_alike_at_every_size(spark):
+    found = []
+    for n in (600, 900):    # fewer and more than two blocks
+        x = np.random.default_rng(13).normal(size=(n, 3))
+        got = nb.knn_join(frame(spark, x), frame(spark, x[:200]), 3, base_id="id", query_id="id", tau=0.0, block_rows=400)
+        hits = {(r.qid, r.nid) for r in got.collect()} & {(q, i) for q, _, i in brute(x, x[:200], 3)}
+        found.append(len(hits) / 600)
+    assert all(0.2 < share < 0.9 for share in found)
+
+
+def test_null_vectors_strings_and_extra_columns_in_a_deep_index(spark):
+    x = clustered(14, 200)
+    rows = [(f"r{i:03d}", None if i % 20 == 0 else [float(v) for v in p], i, "leaf") for i, p in enumerate(x)]
+    df = spark.createDataFrame(rows, "id string, features array<double>, block int, leaf string")
+    got = nb.knn_join(df, df, 2, base_id="id", query_id="id", aux=("block",), num_pivots=2, block_rows=10, exclude_self=True)
+    assert got.count() == 190 * 2 and got.where("qid = nid").count() == 0
+    assert got.where("block <> cast(substring(nid, 2) as int)").count() == 0
+
+
 def test_range_join(spark):
     x = skewed(np.random.default_rng(6), 60)
     got = nb.range_join(frame(spark, x), frame(spark, x), 0.8, a_id="id", b_id="id", num_pivots=6, block_rows=9)
