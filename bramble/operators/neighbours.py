@@ -480,6 +480,14 @@ def distinct_vectors(df: DataFrame, id_col: str, features: str) -> DataFrame:
         .agg(F.first("vec").alias("vec"), F.min("_id").alias("nid"), F.count("*").alias("copies")).drop("vid")
 
 
+def distinct_ids(df: DataFrame, id_col: str, features: str) -> DataFrame:
+    """``id, nid``: every row with the smallest id that has its vector, to expand a result to single rows."""
+    rows = df.select(F.col(id_col).alias("id"), as_array(df, features).alias("vec")).where(F.col("vec").isNotNull()) \
+        .select("id", digest("vec").alias("vid"))
+    first = rows.groupBy("vid").agg(F.min("id").alias("nid"))
+    return rows.join(first, "vid").select("id", "nid")
+
+
 def range_join(a: DataFrame, b: DataFrame, threshold: float, *, a_id: str, b_id: str,
                features: str = "features", num_pivots: int | None = None, seed: int = 0,
                block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -11,7 +11,7 @@ from bramble.functions import text
 from bramble.functions.columns import as_vector, big, distance, dot, r6
 from bramble.learners.knn import KNNClassifier, KNNRegression
 from bramble.operators import neighbours as nb
-from bramble.operators import ranking, setjoin
+from bramble.operators import classjoin, ranking, setjoin
 from bramble.plans.aggregation import ratings
 from bramble.plans.registry import Tables, plan
 from bramble.plans.registry import r6 as sql6
@@ -178,6 +178,33 @@ def lsh_jaccard_join(t: Tables) -> DataFrame:
         .withColumn("distance", r6("distance"))
 
 
+@plan("C7", oracle="""
+    WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)
+    SELECT a.vec_id, count(b.vec_id) - 1 AS links FROM e a JOIN e b ON list_distance(a.v, b.v) < 1.15 GROUP BY a.vec_id""")
+def euclid_class_links(t: Tables) -> DataFrame:
+    """Number of partners of every row, from classes of near copies and pairs of classes."""
+    found = classjoin.euclid_classes(t.embeddings, "vec_id", "embedding", 1.15).links()
+    rows = nb.distinct_ids(t.embeddings, "vec_id", "embedding")
+    return rows.join(found.select(F.col("id").alias("nid"), "links"), "nid").select(F.col("id").alias("vec_id"), "links")
+
+
+@plan("C8", oracle=r"""
+    WITH w AS (SELECT doc_id, string_split_regex(lower(text), '[ \t\n\x0B\f\r]') AS w FROM documents),
+    g AS (SELECT doc_id, list_sort(list_distinct(list_transform(list_zip(w[:-2], w[2:]),
+              lambda x: x[1] || ' ' || x[2]))) AS g FROM w WHERE len(w) > 1),
+    s AS (SELECT min(doc_id) AS id, count(*) AS n, g, len(g) AS size FROM g GROUP BY g),
+    p AS (SELECT id, n, size, unnest(g) AS item FROM s),
+    c AS (SELECT a.id AS a_id, b.id AS b_id, count(*) AS overlap, any_value(a.size) AS sa, any_value(b.size) AS sb,
+                 any_value(b.n) AS b_n
+          FROM p a JOIN p b ON a.item = b.item AND a.id <> b.id GROUP BY ALL),
+    l AS (SELECT a_id AS id, sum(b_n) AS more FROM c WHERE 1 - overlap / (sa + sb - overlap) < 0.6 GROUP BY a_id)
+    SELECT id AS doc_id, n AS copies, (n - 1 + coalesce(more, 0))::BIGINT AS links FROM s LEFT JOIN l USING (id)""")
+def jaccard_class_links(t: Tables) -> DataFrame:
+    """Number of partners of every distinct set of word pairs."""
+    found = classjoin.jaccard_classes(_shingles(t), "doc_id", "ngrams", 0.6).links()
+    return found.select(F.col("id").alias("doc_id"), "copies", "links")
+
+
 def _projection_lsh(t: Tables):
     rows = nb.distinct_vectors(t.embeddings, "vec_id", "embedding") \
         .select(F.col("nid").alias("id"), as_vector("vec").alias("features"))
