@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,19 +31,11 @@ def first_containing(text: Column, needles: Sequence[str], otherwise: str) -> Co
     return out.otherwise(F.lit(otherwise))
 
 
-def dictionary(df: DataFrame, column: str, index: str = "index",
-               max_values: int = 100_000) -> DataFrame:
-    """Distinct values numbered from 0 in alphabetical order.
-
-    Numbering needs one ordered pass, so the value count is checked first; columns with more
-    values than that are keys rather than categories and should stay unindexed.
-    """
+def dictionary(df: DataFrame, column: str, index: str = "index") -> DataFrame:
+    """Distinct values numbered from 0 in alphabetical order, range by range, however many there are."""
+    from bramble.operators.ranking import number_rows
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
-    found = values.limit(max_values + 1).count()
-    if found > max_values:
-        raise ValueError(f"{column} has more than {max_values} distinct values")
-    order = Window.partitionBy(F.lit(0)).orderBy(column)
-    return values.withColumn(index, (F.row_number().over(order) - 1).cast("bigint"))
+    return number_rows(values, column, index)
 
 
 def lookup(df: DataFrame, table: DataFrame, on: str | Sequence[str], *, how: str = "inner",

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, IDF, NGram, StopWordsRemover, Tokenizer
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import (CountVectorizer, CountVectorizerModel, IDF, NGram, StopWordsRemover, Tokenizer,
+                                Word2Vec)
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bramble.functions.columns import exploded, sparse_entries
+from bramble.functions.columns import as_array, dot, exploded, sparse_entries
 
 
 # The default English list of Spark's StopWordsRemover, in its order.
@@ -71,3 +72,27 @@ def term_weights(df: DataFrame, key: str, total_docs, words: str = "words", min_
     counts = tf.groupBy("term").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     idf = F.log((total_docs + 1) / (F.col("docs") + 1))
     return tf.join(counts, "term").select(key, "term", "n", (F.col("n") * idf).alias("tfidf"))
+
+
+def word_vector_stage(df: DataFrame, words: str = "words", out: str = "vector", *, size: int, min_count: int = 1,
+                      **params) -> Word2Vec:
+    """A Word2Vec stage that trains in as many partitions as the session shuffles, over every word."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return Word2Vec(inputCol=words, outputCol=out, vectorSize=size, minCount=min_count, numPartitions=parts, **params)
+
+
+def synonyms(vectors: DataFrame, queries: DataFrame, n: int, *, word: str = "word", vector: str = "vector") -> DataFrame:
+    """``query, word, rank, similarity``: the n words of largest cosine to each query word, itself left out.
+
+    Unit vectors' cosines order as their distances do, so the neighbour join searches the word table.
+    Words of length zero have no direction and are left out; ties go to the first word.
+    """
+    from bramble.operators.ranking import top_scores
+    rows = vectors.select(F.col(word).alias("word"), as_array(vectors, vector).alias("v"))
+    length = F.sqrt(dot("v", "v"))
+    units = rows.where(length > 0).select("word", F.transform("v", lambda x: x / length).alias("features"))
+    asked = units.join(queries.select(F.col(word).alias("word")).distinct(), "word", "left_semi")
+    near = top_scores(asked, units, n + 1, user_id="word", item_id="word").where("user <> item")
+    order = Window.partitionBy("user").orderBy(F.desc("score"), "item")
+    return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n) \
+        .select(F.col("user").alias("query"), F.col("item").alias("word"), "rank", F.col("score").alias("similarity"))

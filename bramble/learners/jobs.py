@@ -4,25 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import (ClusteringEvaluator, Evaluator, MulticlassClassificationEvaluator,
                                    RegressionEvaluator)
 from pyspark.ml.feature import (HashingTF, IDF, IndexToString, StandardScaler, StringIndexer, Tokenizer,
-                                VectorAssembler, Word2Vec)
-from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
+                                VectorAssembler)
+from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from bramble.functions.text import word_vector_stage
+from bramble.learners.indexing import TableIndexer
 from bramble.learners.registry import grid as make_grid
 from bramble.learners.registry import learner as make_learner
-from bramble.operators.sampling import split_by_key
+from bramble.operators.sampling import split_by_key, unit_hash
 from bramble.session import materialise
 from bramble.sources.delimited import read_csv, write_csv
 
-MAX_CATEGORIES = 100_000
+#: values of a column that Spark's indexer holds on the driver; wider columns get a table, with the same numbers
+DRIVER_CATEGORIES = 100_000
 
 
 @dataclass(frozen=True)
@@ -36,14 +41,12 @@ class TrainReport:
 def feature_stages(df: DataFrame, columns: Sequence[str], index: str = "strings") -> list:
     """Index, assemble and standardise. ``index="all"`` also treats numbers as categories."""
     text = [c for c in columns if index == "all" or isinstance(df.schema[c].dataType, StringType)]
-    if text:
-        sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in text]).first().asDict()
-        wide = [c for c, n in sizes.items() if n > MAX_CATEGORIES]
-        if wide:
-            raise ValueError(f"columns with too many values to index: {wide}")
-    stages = []
-    if text:
-        stages.append(StringIndexer(inputCols=text, outputCols=[f"{c}_index" for c in text],
+    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in text]).first().asDict() if text else {}
+    wide = [c for c in text if sizes[c] > DRIVER_CATEGORIES]
+    stages = [TableIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep") for c in wide]
+    narrow = [c for c in text if c not in wide]
+    if narrow:
+        stages.append(StringIndexer(inputCols=narrow, outputCols=[f"{c}_index" for c in narrow],
                                     handleInvalid="keep"))
     inputs = [f"{c}_index" if c in text else c for c in columns]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="raw_features", handleInvalid="error"))
@@ -59,6 +62,58 @@ def evaluator_for(kind: str, label: str) -> Evaluator:
     return ClusteringEvaluator(featuresCol="features")
 
 
+def prepared_folds(df: DataFrame, preparation: Sequence, key: str | None, folds: int, seed: int = 0,
+                   keep: Sequence[str] = ()) -> list[tuple[DataFrame, DataFrame]]:
+    """Written train and validation tables of every fold.
+
+    The preparation is fitted on each fold's training rows only and applied once; every setting of
+    a learner then reads the same two tables. With a key the fold follows its hash.
+    """
+    unit = unit_hash(key, seed=seed) if key else F.rand(seed)
+    # drawn once, so that a row keeps its fold in every reading
+    dealt = materialise(df.withColumn("_fold", F.least(F.floor(unit * folds), F.lit(folds - 1)).cast("int")), "folds")
+    out = []
+    for fold in range(folds):
+        train, rest = dealt.where(F.col("_fold") != fold), dealt.where(F.col("_fold") == fold)
+        ready = Pipeline(stages=list(preparation)).fit(train)
+        columns = list(keep) or ready.transform(rest).drop("_fold").columns
+        out.append(tuple(materialise(ready.transform(part).select(*columns), "fold") for part in (train, rest)))
+    return out
+
+
+def cross_validate(folds: Sequence[tuple[DataFrame, DataFrame]], stage, settings: Sequence[Mapping], judge: Evaluator,
+                   parallelism: int = 2) -> list[float]:
+    """Mean measure of every setting over prepared folds; settings are fitted side by side."""
+    def run(setting: Mapping) -> float:
+        values = [judge.evaluate(stage.fit(train, dict(setting)).transform(rest)) for train, rest in folds]
+        return sum(values) / len(values)
+
+    with ThreadPool(parallelism) as pool:
+        return pool.map(inheritable_thread_target(run), list(settings))
+
+
+def search_text_settings(df: DataFrame, key: str, hashing: Mapping[str, Sequence[Any]], fitting: Mapping[str, Sequence[Any]], *,
+                         label: str = "label", text: str = "text", folds: int = 3, metric: str = "accuracy", max_iter: int = 20,
+                         seed: int = 0, parallelism: int = 2) -> list[tuple[dict[str, Any], float]]:
+    """Every setting of the text pipeline with its mean measure over the folds.
+
+    Texts are tokenised once, hashed and weighted once per fold and hashing setting; the learner's
+    settings share those tables.
+    """
+    words = materialise(Tokenizer(inputCol=text, outputCol="words").transform(df).select(key, "words", label), "words")
+    tf = HashingTF(inputCol="words", outputCol="tf")
+    stage = make_learner("classification", "logistic", labelCol=label, maxIter=max_iter)
+    settings, out = make_grid(stage, fitting), []
+    judge = MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
+    for chosen in make_grid(tf, hashing):
+        tables = prepared_folds(words, [tf.copy(chosen), IDF(inputCol="tf", outputCol="features")], key, folds, seed,
+                                keep=("features", label))
+        for setting, value in zip(settings, cross_validate(tables, stage, settings, judge, parallelism)):
+            named = {p.name: v for p, v in (*chosen.items(), *setting.items())}
+            out.append((named, float(value)))
+    return out
+
+
 def fit_table(df: DataFrame, *, kind: str, learner: str, label: str | None = None,
               features: Sequence[str] | None = None, settings: Mapping[str, Sequence[Any]] | None = None,
               params: Mapping[str, Any] | None = None, folds: int = 3, parallelism: int = 2,
@@ -88,6 +143,7 @@ def fit_table(df: DataFrame, *, kind: str, learner: str, label: str | None = Non
     elif kind == "regression":
         options["labelCol"] = label
     options["featuresCol"] = "features"
+    before = list(stages)
     model_stage = make_learner(kind, learner, **options)
     stages.append(model_stage)
     if kind == "classification":
@@ -98,12 +154,12 @@ def fit_table(df: DataFrame, *, kind: str, learner: str, label: str | None = Non
     fit_rows = materialise(fit_rows, "train")      # every fold and setting reads it again
     values: tuple[float, ...] = ()
     if settings:
-        search = CrossValidator(estimator=pipeline, estimatorParamMaps=make_grid(model_stage, settings),
-                                evaluator=judge, numFolds=folds, parallelism=parallelism, seed=seed)
-        tuned = search.fit(fit_rows)
-        best, values = tuned.bestModel, tuple(tuned.avgMetrics)
-    else:
-        best = pipeline.fit(fit_rows)
+        options = make_grid(model_stage, settings)
+        tables = prepared_folds(fit_rows, before, key, folds, seed)
+        values = tuple(cross_validate(tables, model_stage, options, judge, parallelism))
+        best_at = (max if judge.isLargerBetter() else min)(range(len(values)), key=values.__getitem__)
+        pipeline = pipeline.copy(options[best_at])
+    best = pipeline.fit(fit_rows)
     name = judge.getMetricName()
     return TrainReport(best, name, judge.evaluate(best.transform(held_out)), values)
 
@@ -145,7 +201,7 @@ def word_vector_classifier(df: DataFrame, *, label: str, text: str = "text", siz
     labels = StringIndexer(inputCol=label, outputCol="label_index").fit(df)
     return Pipeline(stages=[
         labels, Tokenizer(inputCol=text, outputCol="words"),
-        Word2Vec(vectorSize=size, minCount=1, seed=seed, inputCol="words", outputCol="features"),
+        word_vector_stage(df, "words", "features", size=size, seed=seed),
         make_learner("classification", "perceptron", labelCol="label_index", blockSize=block,
                      layers=[size, *hidden, max(2, len(labels.labels))], maxIter=max_iter, seed=seed),
         IndexToString(inputCol="prediction", outputCol="predicted_label", labels=labels.labels)])

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bramble.operators.ranking import top_per_key
+from bramble.session import materialise
 
 
 def baskets(df: DataFrame, key: str, item: str, items: str = "items") -> DataFrame:
@@ -28,18 +29,36 @@ def item_key(items: str) -> Column:
     return F.array_join(F.array_sort(items), "_")
 
 
+#: rules that are broadcast; rows that one key of a frequent item may have
+FEW_RULES, HOT_ROWS = 100_000, 4096
+
+
 def apply_rules(rows: DataFrame, key: str, rules: DataFrame, items: str = "items", out: str = "prediction") -> DataFrame:
     """``(key, out)``: consequents of the rules whose antecedents a row holds and which it lacks.
 
-    Rules meet rows by item, so their number is not limited by what one machine holds.
+    A rule meets the rows of its rarest antecedent item only, and the row's own items decide the
+    rest. A few rules are broadcast; many meet the rows in a shuffle, in which a frequent item's
+    rows are dealt to several keys and its rules are repeated for each.
     """
-    named = rules.select(F.col("consequent")[0].alias("_then"), "antecedent",
-                         F.concat_ws("\x1f", F.array_sort("antecedent")).alias("_if"))
-    needs = named.select("_if", "_then", F.size("antecedent").alias("_size"), F.explode("antecedent").alias("_item"))
-    held = rows.select(key, F.explode(items).alias("_item"))
-    met = held.join(needs, "_item").groupBy(key, "_if", "_then", "_size").agg(F.count("*").alias("_n")) \
-        .where("_n = _size").select(key, F.col("_then").alias("_item")).distinct()
-    return met.join(held, [key, "_item"], "left_anti").groupBy(key).agg(F.array_sort(F.collect_list("_item")).alias(out))
+    named = rules.select(F.col("consequent")[0].alias("_then"), F.array_distinct("antecedent").alias("_if"))
+    held = rows.select(key, F.array_distinct(items).alias("_has")).withColumn("_item", F.explode("_has"))
+    counts = materialise(held.groupBy("_item").agg(F.count("*").alias("_rows")), "items")
+    each = named.withColumn("_item", F.explode("_if")).join(counts, "_item", "left")   # an item no row has is the rarest
+    rarest = each.groupBy("_then", "_if").agg(F.min(F.struct(F.coalesce("_rows", F.lit(0)).alias("_rows"), "_item")).alias("_r"))
+    needs = materialise(rarest.select("_then", "_if", "_r._item", "_r._rows").where("_rows > 0"), "rules")
+    fits = (F.size(F.array_except("_if", "_has")) == 0) & ~F.array_contains("_has", F.col("_then"))
+    if needs.count() <= FEW_RULES:
+        met = held.join(F.broadcast(needs.drop("_rows")), "_item")
+    else:
+        keys = F.ceil(F.col("_rows") / HOT_ROWS).cast("int")
+        spread = needs.withColumn("_salt", F.explode(F.sequence(F.lit(0), keys - 1))).drop("_rows")
+        frequent = counts.where(F.col("_rows") > HOT_ROWS)
+        dealt = held.join(frequent.withColumnRenamed("_rows", "_n") if frequent.count() > FEW_RULES
+                          else F.broadcast(frequent.withColumnRenamed("_rows", "_n")), "_item", "left")
+        salt = F.pmod(F.xxhash64(key), F.ceil(F.coalesce("_n", F.lit(1)) / HOT_ROWS)).cast("int")
+        met = dealt.withColumn("_salt", salt).join(spread, ["_item", "_salt"])
+    return met.where(fits).select(key, "_then").distinct().groupBy(key) \
+        .agg(F.array_sort(F.collect_list("_then")).alias(out))
 
 
 def rule_rollup(rules: DataFrame, best: int = 5) -> DataFrame:

@@ -50,11 +50,22 @@ def running_totals(df: DataFrame, by: str, sums: Sequence[str], *, descending: b
 
 
 def number_rows(df: DataFrame, key: str, out: str = "row_no") -> DataFrame:
-    """Consecutive numbers from 0 in the order of a unique numeric key."""
+    """Consecutive numbers from 0 in the order of a unique key."""
     counted = running_totals(df.withColumn("_one", F.lit(1)), key, ["_one"])
     return counted.withColumn(out, (F.col("cum__one") - 1).cast("bigint")).drop("_one", "cum__one")
 
 
+def number_values(counts: DataFrame, value: str, out: str = "index", *, by_count: bool = False) -> DataFrame:
+    """Numbers from 0 for the rows of ``value, n``: in the order of the values, or of falling counts, ties by value.
+
+    Rows are unique in ``value``. They are dealt out by ranges of that order and numbered range by range.
+    """
+    if not by_count:
+        return number_rows(counts, value, out)
+    order = F.struct((-F.col("n")).alias("rare"), F.col(value).alias("value"))
+    return number_rows(counts.withColumn("_order", order), "_order", out).drop("_order")
+
+
 def average_ranks(df: DataFrame, column: str, out: str = "rank") -> DataFrame:
     """``(value, rank)``: the mean position of every distinct value, ties sharing one rank."""
     counts = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bramble.functions.columns import as_vector, big, r6, with_slots
-from bramble.operators import clusters, metrics, stats
+from bramble.operators import clusters, likelihood, metrics, stats
 from bramble.plans.registry import Tables, plan
 from bramble.plans.registry import r6 as sql6
 
@@ -257,3 +257,55 @@ def mixture_moments(t: Tables) -> DataFrame:
         total += w * np.array([1.0, m[0], m[1], s[0, 0], s[0, 1], s[1, 1]])
     df = _rows(t, [tuple(float(v) for v in total)], "weight double, m0 double, m1 double, s00 double, s01 double, s11 double")
     return df.select(*[F.round(n, 3).alias(n) for n in df.columns])
+
+
+# --- objectives of given models ---------------------------------------------------------------
+
+@plan("N9 I3", oracle="""
+    WITH m AS (SELECT o_totalprice > 250000 AS y, -3.0 + 0.01 * (o_totalprice / 1000)
+                      + 0.5 * (o_orderstatus = 'F')::INT AS m FROM orders)
+    SELECT count(*) AS n, round(avg(ln(1 + exp(CASE WHEN y THEN -m ELSE m END))), 6) AS objective FROM m""")
+def logistic_objective(t: Tables) -> DataFrame:
+    """Objective of a logistic model with given coefficients."""
+    rows = t.orders.select((F.col("o_totalprice") / 1000).alias("price"),
+                           (F.col("o_orderstatus") == "F").cast("double").alias("final"),
+                           (F.col("o_totalprice") > 250000).cast("double").alias("label"))
+    return likelihood.logistic_objective(rows, ["price", "final"], [0.01, 0.5], -3.0) \
+        .select("n", r6("objective").alias("objective"))
+
+
+@plan("N9 J1", oracle="""
+    SELECT count(*) AS n, round(avg((l_extendedprice / 1000 - (2 * l_quantity - 10 * l_discount + 1)) ** 2) / 2, 4) AS objective
+    FROM lineitem""")
+def linear_objective(t: Tables) -> DataFrame:
+    """Objective of a linear model with given coefficients."""
+    rows = t.lineitem.withColumn("label", F.col("l_extendedprice") / 1000)
+    return likelihood.squared_objective(rows, ["l_quantity", "l_discount"], [2.0, -10.0], 1.0) \
+        .select("n", F.round("objective", 4).alias("objective"))
+
+
+@plan("J10", oracle="""
+    WITH r AS (SELECT o_totalprice / 1000 AS time, (o_orderstatus = 'F')::INT AS seen, (o_orderpriority = '1-URGENT')::INT AS x
+               FROM orders WHERE o_totalprice > 0),
+    g AS (SELECT seen, (ln(time) - (5.0 - 0.2 * x)) / 0.8 AS gap FROM r)
+    SELECT count(*) AS n, round(sum(seen * (gap - ln(0.8)) - exp(gap)), 3) AS log_likelihood FROM g""")
+def survival_likelihood(t: Tables) -> DataFrame:
+    """Log-likelihood of a failure-time model with given coefficients; orders not final are censored."""
+    return likelihood.survival_likelihood(_lifetimes(t), ["urgent"], [-0.2], 5.0, 0.8) \
+        .select("n", F.round("log_likelihood", 3).alias("log_likelihood"))
+
+
+@plan("J10", oracle="""
+    SELECT o_orderkey, round(exp(5.0 - 0.2 * (o_orderpriority = '1-URGENT')::INT + 0.8 * ln(-ln(0.7))), 6) AS q30,
+           round(exp(5.0 - 0.2 * (o_orderpriority = '1-URGENT')::INT + 0.8 * ln(-ln(0.4))), 6) AS q60
+    FROM orders WHERE o_totalprice > 0""")
+def survival_quantiles(t: Tables) -> DataFrame:
+    """Quantiles 0.3 and 0.6 of the same model for every row."""
+    shares = likelihood.survival_quantiles(["urgent"], [-0.2], 5.0, 0.8, [0.3, 0.6])
+    return _lifetimes(t).select("o_orderkey", *[r6(q).alias(n) for q, n in zip(shares, ("q30", "q60"))])
+
+
+def _lifetimes(t: Tables) -> DataFrame:
+    return t.orders.where("o_totalprice > 0").select(
+        "o_orderkey", (F.col("o_totalprice") / 1000).alias("label"), (F.col("o_orderstatus") == "F").cast("double").alias("censor"),
+        (F.col("o_orderpriority") == "1-URGENT").cast("double").alias("urgent"))

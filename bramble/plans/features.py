@@ -17,7 +17,7 @@ from bramble.operators import ranking, stats
 from bramble.plans.aggregation import chi_rows
 from bramble.plans.registry import Tables, plan
 from bramble.plans.registry import r6 as sql6
-from bramble.session import spread
+from bramble.session import materialise, spread
 
 # --- text -------------------------------------------------------------------------------------
 
@@ -109,21 +109,32 @@ def term_weights(t: Tables) -> DataFrame:
 
 @plan("H8 H9")
 def word_vectors(t: Tables) -> DataFrame:
-    """Nearest words of the most frequent term in a trained embedding."""
-    docs = tx.without_stop_words(_docs(t))
-    model = mf.Word2Vec(vectorSize=16, minCount=5, maxIter=1, seed=11, numPartitions=8,
-                        inputCol="filtered", outputCol="v").fit(docs)
+    """Nearest words of the most frequent term in an embedding trained on every word."""
+    docs = materialise(tx.without_stop_words(_docs(t)).select("filtered"), "words")
+    model = tx.word_vector_stage(docs, "filtered", "v", size=16, maxIter=1, seed=11).fit(docs)
     common = docs.select(F.explode("filtered").alias("word")).groupBy("word").count() \
-        .orderBy(F.desc("count"), "word").first().word
-    return model.findSynonyms(common, 10)
+        .orderBy(F.desc("count"), "word").limit(1)
+    return tx.synonyms(materialise(model.getVectors(), "vectors"), common, 10)
+
+
+@plan("H9", oracle=f"""
+    WITH e AS (SELECT vec_id AS word, label, embedding::DOUBLE[] AS v FROM embeddings),
+    s AS (SELECT q.word AS query, e.word, list_cosine_similarity(q.v, e.v) AS similarity FROM e q JOIN e ON q.word <> e.word
+          WHERE q.word IN (SELECT min(word) FROM e GROUP BY label)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY similarity DESC, word) AS rank FROM s)
+    SELECT query, word, rank, {sql6('similarity')} AS similarity FROM r WHERE rank <= 10""")
+def synonyms_of_given(t: Tables) -> DataFrame:
+    """Rows of largest cosine to the first row of each label, from given vectors."""
+    first = t.embeddings.groupBy("label").agg(F.min("vec_id").alias("vec_id"))
+    return tx.synonyms(t.embeddings, first, 10, word="vec_id", vector="embedding").select(
+        "query", "word", big("rank").alias("rank"), r6("similarity").alias("similarity"))
 
 
 @plan("H8")
 def document_vectors(t: Tables) -> DataFrame:
     """Mean word vector per document."""
     docs = tx.without_stop_words(_docs(t))
-    model = mf.Word2Vec(vectorSize=8, minCount=1, maxIter=1, seed=11, numPartitions=8,
-                        inputCol="filtered", outputCol="v").fit(docs)
+    model = tx.word_vector_stage(docs, "filtered", "v", size=8, maxIter=1, seed=11).fit(docs)
     return with_slots(model.transform(docs), "v", "doc_id")
 
 

@@ -281,6 +281,44 @@ def top_n_one(t: Tables) -> DataFrame:
     return _top(t, t.embeddings.where(F.col("vec_id") == first))
 
 
+_ITEM_SCORES = """WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+    s AS (SELECT a.vec_id AS user, b.vec_id AS item, b.label, list_dot_product(a.v, b.v) AS score FROM e a, e b
+          WHERE a.vec_id % 3 > 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, user) AS rank FROM s)
+"""
+
+
+def _top_users(t: Tables, items: DataFrame) -> DataFrame:
+    """The users (two thirds of the rows) of largest score for each item."""
+    users = t.embeddings.where("vec_id % 3 > 0")
+    found = ranking.top_scores(items, users, K, user_id="vec_id", item_id="vec_id",
+                               user_factors="embedding", item_factors="embedding")
+    return found.select(F.col("user").alias("item"), F.col("item").alias("user"), big("rank").alias("rank"),
+                        r6("score").alias("score"))
+
+
+@plan("F2 M6", oracle=_ITEM_SCORES + f"""
+    SELECT item, user, rank, {sql6('score')} AS score FROM r WHERE rank <= 5""")
+def top_users_per_item(t: Tables) -> DataFrame:
+    return _top_users(t, t.embeddings)
+
+
+@plan("F3 M6", oracle=_ITEM_SCORES + f"""
+    SELECT item, user, rank, {sql6('score')} AS score FROM r WHERE rank <= 5
+    AND item IN (SELECT max(vec_id) FROM e GROUP BY label)""")
+def top_users_subset(t: Tables) -> DataFrame:
+    last = t.embeddings.groupBy("label").agg(F.max("vec_id").alias("vec_id")).select("vec_id")
+    return _top_users(t, t.embeddings.join(last, "vec_id", "left_semi"))
+
+
+@plan("F4 M6", oracle=_ITEM_SCORES + f"""
+    SELECT item, user, rank, {sql6('score')} AS score FROM r WHERE rank <= 5
+    AND item = (SELECT max(vec_id) FROM e)""")
+def top_users_one(t: Tables) -> DataFrame:
+    last = t.embeddings.agg(F.max("vec_id")).scalar()
+    return _top_users(t, t.embeddings.where(F.col("vec_id") == last))
+
+
 @plan("M3 M4", oracle=f"""
     WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
     p AS (SELECT DISTINCT o_custkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey)

@@ -18,14 +18,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bramble.functions import text as tx
-from bramble.functions.columns import as_vector, big, r6, with_slots
+from bramble.functions.columns import as_vector, big, exploded, r6, with_slots
 from bramble.learners import jobs
 from bramble.learners.knn import KNN, KNNClassificationModel, KNNClassifier, KNNModel
 from bramble.learners.registry import grid, learner
 from bramble.operators import neighbours as nb
-from bramble.operators import ranking, sampling, stats
+from bramble.operators import factors, ranking, sampling, stats
+from bramble.operators import topics as tp
 from bramble.operators.metrics import regression_errors
-from bramble.plans.aggregation import ratings
+from bramble.plans.aggregation import RATINGS_SQL, ratings
 from bramble.plans.registry import Tables, plan
 from bramble.plans.registry import r6 as sql6
 from bramble.session import materialise, scratch_path, spread
@@ -221,20 +222,61 @@ def gaussian_mixture(t: Tables) -> DataFrame:
         .select("l_orderkey", "l_partkey", "prediction", F.array_max(vector_to_array("probability")).alias("probability"))
 
 
+def _topic_model(t: Tables):
+    docs = tx.without_stop_words(tx.tokens(spread(t.documents.select("doc_id", "text"), "doc_id")))
+    docs = materialise(docs.select("doc_id", "filtered"), "words")
+    rows, stage = tp.hashed_counts(docs, "filtered")
+    rows = materialise(rows.select("doc_id", "features"), "counts")
+    return learner("clustering", "lda", k=5, maxIter=5, seed=1).fit(rows), rows, docs, stage
+
+
 @plan("K4 N15")
 def topics(t: Tables) -> DataFrame:
-    """Top terms per topic with the model's likelihood and perplexity."""
-    docs = tx.without_stop_words(tx.tokens(spread(t.documents.select("doc_id", "text"), "doc_id")))
-    vocab = tx.vocabulary(docs, "filtered", "features", size=5000, min_df=3)
-    rows = vocab.transform(docs).select("doc_id", "features")
-    model = learner("clustering", "lda", k=5, maxIter=5, seed=1).fit(rows)
-    terms = F.lit(vocab.vocabulary)
-    return model.describeTopics(8).select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "e")) \
-        .select("topic", "rank", F.get(terms, F.col("e.termIndices")).alias("term"), F.col("e.termWeights").alias("weight")) \
+    """Top terms per topic, over all terms, with the model's likelihood and perplexity."""
+    model, rows, docs, stage = _topic_model(t)
+    return tp.named_topics(model, tp.slot_names(docs, "filtered", stage), 8) \
         .withColumn("log_likelihood", F.lit(float(model.logLikelihood(rows)))) \
         .withColumn("log_perplexity", F.lit(float(model.logPerplexity(rows))))
 
 
+@plan("K4")
+def topic_mixtures(t: Tables) -> DataFrame:
+    """Share of every topic in every document."""
+    model, rows, _, _ = _topic_model(t)
+    return tp.mixtures(model, rows, "doc_id")
+
+
+@plan("K4", oracle="SELECT doc_id, 5::BIGINT AS topics, 1.0::DOUBLE AS total FROM documents")
+def topic_mixture_totals(t: Tables) -> DataFrame:
+    """The mixtures have all topics and sum to one, for documents without any term too."""
+    model, rows, _, _ = _topic_model(t)
+    return tp.mixtures(model, rows, "doc_id").groupBy("doc_id").agg(
+        F.count("*").alias("topics"), r6(F.sum("share")).alias("total"))
+
+
+@plan("N15 K4", oracle=r"""
+    WITH t AS (SELECT doc_id, lang, unnest(string_split_regex(lower(text), '[ \t\n\x0B\f\r]')) AS term FROM documents),
+    c AS (SELECT doc_id, lang, term, count(*) AS n FROM t GROUP BY ALL),
+    w AS (SELECT lang AS topic, term, sum(n) AS n FROM c GROUP BY ALL),
+    p AS (SELECT topic, term, n / sum(n) OVER (PARTITION BY topic) AS weight FROM w),
+    m AS (SELECT doc_id, term, any_value(n) AS n, sum(weight * CASE WHEN topic = lang THEN 0.7 ELSE 0.1 END) AS p
+          FROM c JOIN p USING (term) GROUP BY ALL)
+    SELECT sum(n)::BIGINT AS tokens, round(exp(-sum(n * ln(p)) / sum(n)), 4) AS perplexity FROM m""")
+def given_topics_perplexity(t: Tables) -> DataFrame:
+    """Perplexity of a given model: languages as topics, their word shares as weights, set mixtures."""
+    docs = materialise(tx.tokens(spread(t.documents.select("doc_id", "lang", "text"), "doc_id")), "words")
+    counts = materialise(exploded(docs, "words", "term", "doc_id", "lang").groupBy("doc_id", "lang", "term")
+                         .agg(F.count("*").alias("n")), "counts")
+    sums = counts.groupBy(F.col("lang").alias("topic"), "term").agg(F.sum("n").alias("n"))
+    totals = sums.groupBy("topic").agg(F.sum("n").alias("total"))
+    weights = sums.join(totals, "topic").select("topic", "term", (F.col("n") / F.col("total")).alias("weight"))
+    every = totals.agg(F.collect_list("topic")).scalar()     # one entry per language
+    shares = t.documents.withColumn("topic", F.explode(every)).select(
+        "doc_id", "topic", F.when(F.col("topic") == F.col("lang"), 0.7).otherwise(0.1).alias("share"))
+    found = tp.perplexity(tp.word_likelihood(counts.drop("lang"), shares, weights, "doc_id"))
+    return found.select("tokens", F.round("perplexity", 4).alias("perplexity"))
+
+
 @plan("K5")
 def power_iteration(t: Tables) -> DataFrame:
     """Clusters of the five-neighbour similarity graph of all embeddings."""
@@ -285,6 +327,38 @@ def als_top_items(t: Tables) -> DataFrame:
     return ranking.top_scores(model.userFactors, model.itemFactors, 5, user_id="id", item_id="id")
 
 
+@plan("F2 M6")
+def als_top_users(t: Tables) -> DataFrame:
+    """Five best users for every item, by the same join with the sides exchanged."""
+    stage, rows = _als(t)
+    model = stage.fit(rows)
+    return ranking.top_scores(model.itemFactors, model.userFactors, 5, user_id="id", item_id="id") \
+        .select(F.col("user").alias("item"), F.col("item").alias("user"), "rank", "score")
+
+
+@plan("M1 M5")
+def als_long_ids(t: Tables) -> DataFrame:
+    """Factor tables for ids beyond 32 bits."""
+    big_ids = ratings(t).withColumn("user", F.col("user") + F.lit(2 ** 40)).withColumn("item", F.concat(F.lit("part-"), F.col("item")))
+    users, items = factors.factorise(big_ids, rank=4, maxIter=3, regParam=0.1, seed=1)
+    side = lambda df, name: df.select(F.lit(name).alias("side"), F.col(name).cast("string").alias("id"),
+                                      F.posexplode("features").alias("pos", "value"))
+    return side(users, "user").unionByName(side(items, "item"))
+
+
+@plan("M1 M5", oracle=f"""
+    WITH {RATINGS_SQL}, y AS (SELECT vec_id AS i, embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE AS b FROM embeddings),
+    s AS (SELECT u, count(*) AS n, sum(a * a) + 0.1 * count(*) AS aa, sum(a * b) AS ab, sum(b * b) + 0.1 * count(*) AS bb,
+                 sum(rating * a) AS ra, sum(rating * b) AS rb FROM r JOIN y USING (i) GROUP BY u)
+    SELECT u AS user, round((ra * bb - rb * ab) / (aa * bb - ab * ab), 4) + 0.0 AS x0,
+           round((rb * aa - ra * ab) / (aa * bb - ab * ab), 4) + 0.0 AS x1 FROM s""")
+def als_half_step(t: Tables) -> DataFrame:
+    """User factors that solve the normal equations for given item factors of rank two."""
+    items = t.embeddings.select(F.col("vec_id").alias("item"), F.slice(F.col("embedding").cast("array<double>"), 1, 2).alias("features"))
+    found = factors.half_step(ratings(t), items, 0.1)
+    return found.select("user", *[(F.round(F.col("features")[k], 4) + F.lit(0.0)).alias(f"x{k}") for k in (0, 1)])
+
+
 @plan("O6 F1")
 def als_sweep(t: Tables) -> DataFrame:
     """Rank and iteration sweep; the setting of least held-out RMSE."""
@@ -324,18 +398,20 @@ def knn_cross_validation(t: Tables) -> DataFrame:
     return t.spark.createDataFrame(values, "k bigint, accuracy double").select("k", r6("accuracy").alias("accuracy"))
 
 
-@plan("O3", oracle="""
-    SELECT hashing::BIGINT AS hashing, reg, intercept FROM (SELECT unnest([10, 100, 1000]) AS hashing),
-    (SELECT unnest([0.01, 0.1])::DOUBLE AS reg), (SELECT unnest([true, false]) AS intercept), (SELECT count(*) FROM documents)""")
-def parameter_grid(t: Tables) -> DataFrame:
-    """The settings searched over the text pipeline, one row each, all applied to the documents."""
-    pipe = jobs.tf_idf_classifier()
-    tf, lr = pipe.getStages()[1], pipe.getStages()[3]
-    maps = [{**a, **b} for a in grid(tf, {"numFeatures": (10, 100, 1000)})
-            for b in grid(lr, {"regParam": (0.01, 0.1), "fitIntercept": (True, False)})]
-    rows = [(m[tf.numFeatures], m[lr.regParam], m[lr.fitIntercept]) for m in maps]
-    settings = t.spark.createDataFrame(rows, "hashing bigint, reg double, intercept boolean")
-    return settings.where(t.documents.agg(F.count("*") > 0).scalar())
+@plan("O3 O4 O10", oracle="""
+    SELECT hashing::BIGINT AS hashing, reg::DOUBLE AS reg, intercept, 1.0::DOUBLE AS accuracy
+    FROM (SELECT unnest([64, 256, 1024]) AS hashing), (SELECT unnest([0.01, 0.1]) AS reg),
+    (SELECT unnest([true, false]) AS intercept), (SELECT count(*) FROM documents)""")
+def text_cross_validation(t: Tables) -> DataFrame:
+    """Cross-validated text pipeline: mean accuracy of twelve settings on a label that one word of three marks."""
+    mark = F.when(F.pmod("doc_id", F.lit(2)) == 0, "even").otherwise("odd")
+    rows = t.documents.select("doc_id", F.concat_ws(" ", mark, "lang", "source").alias("text"),
+                              F.pmod("doc_id", F.lit(2)).cast("double").alias("label"))
+    found = jobs.search_text_settings(rows, "doc_id", {"numFeatures": (64, 256, 1024)},
+                                      {"regParam": (0.01, 0.1), "fitIntercept": (True, False)}, folds=3)
+    table = [(s["numFeatures"], s["regParam"], s["fitIntercept"], value) for s, value in found]
+    return t.spark.createDataFrame(table, "hashing bigint, reg double, intercept boolean, accuracy double") \
+        .withColumn("accuracy", r6("accuracy"))
 
 
 def _labelled(t: Tables) -> DataFrame:
