@@ -60,21 +60,24 @@ class TableIndexerModel(Model, _TableParams, MLWritable, MLReadable):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         out, mode = self.getOutputCol(), self.getOrDefault(self.handleInvalid)
         total, known = self.table.agg(F.sum("n"), F.count("*")).first()
-        named = self.table.select(F.col("value").alias("_value"), F.col("n").alias("_n"), F.col("index").cast("double").alias(out))
-        hot = F.col("_n") > (total or 0) / HOT
-        rows = dataset.withColumn("_value", F.col(self.getInputCol()).cast("string"))
+        named = self.table.select(F.col("value").alias("_table_value"), F.col("n").alias("_table_n"),
+                                  F.col("index").cast("double").alias(out))
+        hot = F.col("_table_n") > (total or 0) / HOT
+        rows = dataset.withColumn("_table_value", F.col(self.getInputCol()).cast("string"))
         # hot values find their index where the row is; the others meet in a shuffle without a large key
-        near = rows.join(F.broadcast(named.where(hot).drop("_n")), "_value", "left")
-        placed = near.withColumn("_far", F.when(F.col(out).isNull(), F.col("_value"))).withColumnRenamed(out, "_near")
-        found = placed.join(named.where(~hot).select(F.col("_value").alias("_far"), F.col(out).alias("_cold")), "_far", "left") \
-            .withColumn(out, F.coalesce("_near", "_cold"))
+        near = rows.join(F.broadcast(named.where(hot).drop("_table_n")), "_table_value", "left")
+        far = F.when(F.col(out).isNull(), F.col("_table_value"))
+        placed = near.withColumn("_table_far", far).withColumnRenamed(out, "_table_near")
+        rare = named.where(~hot).select(F.col("_table_value").alias("_table_far"), F.col(out).alias("_table_cold"))
+        found = placed.join(rare, "_table_far", "left") \
+            .withColumn(out, F.coalesce("_table_near", "_table_cold"))
         if mode == "skip":
             found = found.where(F.col(out).isNotNull())
         elif mode == "keep":
             found = found.withColumn(out, F.coalesce(out, F.lit(float(known))))
         else:
             unknown = F.raise_error(F.concat(F.lit(f"value without an index in {self.getInputCol()}: "),
-                                             F.coalesce("_value", F.lit("null"))))
+                                             F.coalesce("_table_value", F.lit("null"))))
             found = found.withColumn(out, F.when(F.col(out).isNotNull(), F.col(out)).otherwise(unknown.cast("double")))
         return found.select(*dataset.columns, out)
 

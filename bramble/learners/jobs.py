@@ -89,7 +89,7 @@ def cross_validate(folds: Sequence[tuple[DataFrame, DataFrame]], stage, settings
         return sum(values) / len(values)
 
     with ThreadPool(parallelism) as pool:
-        return pool.map(inheritable_thread_target(run), list(settings))
+        return pool.map(inheritable_thread_target(folds[0][0].sparkSession)(run), list(settings))
 
 
 def search_text_settings(df: DataFrame, key: str, hashing: Mapping[str, Sequence[Any]], fitting: Mapping[str, Sequence[Any]], *,
