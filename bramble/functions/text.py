@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bramble.functions.columns import as_array, dot, exploded, sparse_entries
+from bramble.session import materialise
 
 
 # The default English list of Spark's StopWordsRemover, in its order.
@@ -69,6 +70,7 @@ def term_weights(df: DataFrame, key: str, total_docs, words: str = "words", min_
     joined back on the term (common terms are left to the skew-join splitting).
     """
     tf = exploded(df, words, "term", key).groupBy(key, "term").agg(F.count("*").alias("n"))
+    tf = materialise(tf, "terms")   # both sides of the join read it; texts are tokenised once
     counts = tf.groupBy("term").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     idf = F.log((total_docs + 1) / (F.col("docs") + 1))
     return tf.join(counts, "term").select(key, "term", "n", (F.col("n") * idf).alias("tfidf"))

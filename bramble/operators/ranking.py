@@ -26,26 +26,28 @@ BUCKET_ROWS = 1_000_000
 
 
 def running_totals(df: DataFrame, by: str, sums: Sequence[str], *, descending: bool = False,
-                   buckets: int | None = None) -> DataFrame:
-    """Add ``cum_<name>`` for each column of ``sums``, accumulated in the order of ``by``.
+                   buckets: int | None = None, within: Sequence[str] = ()) -> DataFrame:
+    """Add ``cum_<name>`` for each column of ``sums``, accumulated in the order of ``by``, per group of ``within``.
 
-    Rows must be unique in ``by`` (aggregate first). They are dealt out by ranges of ``by``; each
-    range is accumulated on its own and shifted by the totals of the ranges before it, so no task
-    sorts the whole table. The number of ranges follows the row count.
+    Rows must be unique in ``within`` and ``by`` (aggregate first). They are dealt out by ranges;
+    each range is accumulated on its own and shifted by the totals of its group in the ranges
+    before it, so no task sorts a whole group. The number of ranges follows the row count.
     """
     df = materialise(df, "totals")
     if buckets is None:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         buckets = max(2, parts, -(-df.count() // BUCKET_ROWS))
     order = F.col(by).desc() if descending else F.col(by).asc()
-    placed = materialise(df.repartitionByRange(buckets, order).withColumn("_bucket", F.spark_partition_id()), "ranges")
-    before = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = placed.groupBy("_bucket").agg(*[F.sum(s).alias(s) for s in sums])
-    shifts = totals.select("_bucket", *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"_b_{s}")
-                                        for s in sums])   # one row per bucket
-    inside = Window.partitionBy("_bucket").orderBy(order) \
+    placed = materialise(df.repartitionByRange(buckets, *within, order).withColumn("_bucket", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy(*(within or [F.lit(0)])).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("_bucket", *within).agg(*[F.sum(s).alias(s) for s in sums])
+    shifts = totals.select("_bucket", *within, *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"_b_{s}")
+                                                 for s in sums])   # one row per range and group in it
+    inside = Window.partitionBy("_bucket", *within).orderBy(order) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return placed.join(F.broadcast(shifts), "_bucket").select(
+    # ungrouped totals have one row per range; groups may be many
+    shifts = shifts if within else F.broadcast(shifts)
+    return placed.join(shifts, ["_bucket", *within]).select(
         *df.columns, *[(F.sum(s).over(inside) + F.col(f"_b_{s}")).alias(f"cum_{s}") for s in sums])
 
 
@@ -73,6 +75,14 @@ def average_ranks(df: DataFrame, column: str, out: str = "rank") -> DataFrame:
     return totals.select("value", (F.col("cum_n") - (F.col("n") - 1) / 2.0).alias(out))
 
 
+def average_ranks_of(df: DataFrame, columns: Sequence[str], out: str = "rank") -> DataFrame:
+    """``(slot, value, rank)`` of several numeric columns in one pass; ``slot`` is the column's place in the list."""
+    stacked = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("slot", "value"))
+    counts = stacked.groupBy("slot", "value").agg(F.count("*").alias("n"))
+    totals = running_totals(counts, "value", ["n"], within=["slot"])
+    return totals.select("slot", "value", (F.col("cum_n") - (F.col("n") - 1) / 2.0).alias(out))
+
+
 def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float]:
     """The smallest values that reach each share of the rows; one row per share leaves the cluster."""
     values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")) \

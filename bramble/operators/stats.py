@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from bramble.functions.columns import with_slots
 from bramble.functions.encode import lookup
-from bramble.operators.ranking import average_ranks
+from bramble.operators.ranking import average_ranks_of
+from bramble.session import materialise
 
 
 def assemble(df: DataFrame, columns: Sequence[str], out: str = "features") -> DataFrame:
@@ -37,10 +38,11 @@ def correlations(df: DataFrame, columns: Sequence[str], method: str = "pearson")
     """
     rows = df.select(*columns).na.drop()
     if method == "spearman":
-        complete = rows
-        for c in columns:
-            ranks = average_ranks(complete, c, "_rank").withColumnRenamed("value", c)
-            rows = lookup(rows, ranks, c).withColumn(c, F.col("_rank")).drop("_rank")
+        rows = rows.select(*[F.col(c).cast("double").alias(c) for c in columns])
+        ranks = materialise(average_ranks_of(rows, columns, "_rank"), "ranks")
+        for slot, c in enumerate(columns):
+            own = ranks.where(F.col("slot") == slot).select(F.col("value").alias(c), "_rank")
+            rows = lookup(rows, own, c).withColumn(c, F.col("_rank")).drop("_rank")
     elif method != "pearson":
         raise ValueError(f"unknown method {method}")
     rows = assemble(rows.select(*columns), columns, "_features")

@@ -275,7 +275,7 @@ def encode_onehot_full(t: Tables) -> DataFrame:
 def _quad(t: Tables) -> DataFrame:
     rows = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_tax",
                              F.col("l_linenumber").cast("double").alias("line"))
-    return stats.assemble(rows, ["l_quantity", "l_discount", "l_tax", "line"])
+    return stats.assemble(spread(rows, "l_orderkey"), ["l_quantity", "l_discount", "l_tax", "line"])
 
 
 _QUAD = """WITH q AS (SELECT l_orderkey, l_partkey, l_quantity AS a, l_discount AS b, l_tax AS c,

@@ -78,10 +78,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition by key when a scan yields fewer partitions than there are cores.
+    """Repartition by key when a table has fewer files or splits than there are cores.
 
-    For work that is heavy per row on a table of few files; inputs with enough splits stay as
-    they are and no shuffle is added.
+    For work that is heavy per row on a table of few files, each of which may be a single row group
+    and hence one task; inputs with enough files stay as they are and no shuffle is added.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    files = len(df._jdf.inputFiles())
+    few = 0 < files < cores or df.rdd.getNumPartitions() < cores
+    return df.repartition(cores, *keys) if few else df
