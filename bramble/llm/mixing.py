@@ -1,11 +1,13 @@
 """Mixing sources to target weights by Pareto order sampling (operator 1).
 
-Every source has a target of words. A document's expected number of copies is its source's target
-over its source's words: the whole part is taken for certain, the rest is an inclusion probability
-that differs between sources. A document's place in the Pareto order is the odds of a uniform random
-number over the odds of its inclusion; documents are taken in that order until the source's
-remaining words are used up. Random numbers are hashes of the row's number in the sorted table, so
-that reruns agree whatever the partitioning.
+Every source has a target of words. Whole copies that all its documents get are taken for certain;
+the words that remain are filled by a sample of unequal probabilities: a document's inclusion
+probability is proportional to the square root of its words, so long documents are favoured, though
+less than in proportion, and documents for which that reaches 1 are certain as well. The factor is set
+so that the expected words equal the words that remain. A document's place in the Pareto order is
+the odds of a uniform random number over the odds of its inclusion; documents are taken in that
+order until the source's remaining words are used up. Random numbers are hashes of the row's number
+in the sorted table, so that reruns agree whatever the partitioning.
 """
 
 from __future__ import annotations
@@ -60,14 +62,39 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, cap: in
         .select("key", "source", "docs", "words", "target")
 
 
+def inclusion_factors(sizes: DataFrame, budgets: DataFrame) -> DataFrame:
+    """``key, factor``: inclusion probabilities are ``least(1, factor * sqrt(size))`` and their words add up to the budget.
+
+    ``sizes`` holds ``key, size, docs``, one row per size of a source. Documents whose probability
+    reaches 1 are set aside and the factor is computed anew, until no more do; every step is one
+    aggregate over the sizes.
+    """
+    held = materialise(sizes.where("size > 0").join(budgets.select("key", "budget"), "key").where("budget > 0"), "sizes")
+    mass = F.col("docs") * F.col("size")
+    # the largest size that is not certain; nothing is at first
+    limits = materialise(held.groupBy("key").agg(F.max("size").alias("limit")), "limits")
+    while True:
+        open_ = F.col("size") <= F.col("limit")
+        sums = held.join(limits, "key").groupBy("key", "limit").agg(
+            F.first("budget").alias("budget"), F.sum(F.when(~open_, mass)).alias("certain"),
+            F.sum(F.when(open_, mass * F.sqrt("size"))).alias("mass"))
+        factor = (F.col("budget") - F.coalesce("certain", F.lit(0))) / F.col("mass")
+        steps = materialise(sums.withColumn("factor", factor)
+                            .withColumn("next", F.floor(1 / (F.col("factor") * F.col("factor")) - 1e-9)), "factors")
+        # a size is certain from factor * sqrt(size) >= 1 on
+        if steps.where("next < limit").isEmpty():
+            return steps.select("key", "factor")
+        limits = materialise(steps.select("key", F.least("next", "limit").alias("limit")), "limits")
+
+
 def plan_mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source",
              weights: Sequence[float] = WEIGHTS, cap: int = MAX_COPIES, seed: int = 7,
              keep: Sequence[str] = ()) -> DataFrame:
-    """``doc_id, size, source_size, target, copies, taken`` for every row, and the columns in ``keep``.
+    """``doc_id, size, source_size, target, copies, taken, inclusion`` for every row, and the columns in ``keep``.
 
     Null texts have size 0 and take no words, a null source is a source, repeated rows are sampled
     one by one. The words taken from a source differ from its target by less than half of the smallest
-    document left in the last stretch of the order.
+    document left in the last stretch of the order. Ties in the order go to the row of smaller number.
     """
     key = F.when(F.col(source).isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), F.col(source)))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), key.alias("key"),
@@ -78,12 +105,18 @@ def plan_mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sou
     copies = F.when(F.col("words") > 0, F.col("target") / F.col("words")).otherwise(0.0)
     shares = shares.withColumn("whole", F.floor(copies + 1e-12)).withColumn(
         "budget", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("words"))) \
-        .withColumn("inclusion", F.greatest(F.lit(0.0), copies - F.col("whole")))
-    joined = join_by_weight(rows, materialise(shares.drop("source"), "shares"), "key", "docs", rows.count())
+        .withColumn("mean", F.greatest(F.lit(0.0), copies - F.col("whole")))
+    shares = materialise(shares.drop("source"), "budgets")
+    counted = rows.groupBy("key", "size").agg(F.count("*").alias("docs"))
+    factors = inclusion_factors(counted, shares)
+    shares = materialise(shares.join(factors, "key", "left"), "shares")
+    joined = join_by_weight(rows, shares, "key", "docs", rows.count())
     u = (F.shiftrightunsigned(F.xxhash64("number", F.lit(seed)), 11) + 0.5) * F.lit(2.0 ** -53)
-    odds = F.col("inclusion") / (1 - F.col("inclusion"))
-    order = (u / (1 - u)) / odds
-    # a monotone function of the order that is uniform when a source's inclusions are equal
+    joined = joined.withColumn("inclusion", F.least(F.lit(1.0), F.coalesce(F.col("factor") * F.sqrt("size"), F.lit(0.0))))
+    # certain documents come first
+    order = F.when(F.col("inclusion") >= 1, 0.0).otherwise((u / (1 - u)) * (1 - F.col("inclusion")) / F.col("inclusion"))
+    # a monotone function of the order that is about uniform in a source
+    odds = F.col("mean") / (1 - F.col("mean"))
     stretch = F.floor(F.col("order") * odds / (1 + F.col("order") * odds) * F.ceil(F.col("docs") / BUCKET))
     sampled = F.col("inclusion") > 0
     placed = materialise(joined.withColumn("order", F.when(sampled, order))
@@ -103,7 +136,7 @@ def plan_mix(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sou
     chosen = placed.join(sure.unionByName(last.where("taken_too")), "number", "left")
     copies = F.col("whole") + F.coalesce(F.col("taken_too"), F.lit(False)).cast("long")
     return chosen.select("doc_id", "size", F.col("words").alias("source_size"), "target", copies.alias("copies"),
-                         (copies * F.col("size")).alias("taken"), *keep)
+                         (copies * F.col("size")).alias("taken"), "inclusion", *keep)
 
 
 def _take_in_order(rows: pd.DataFrame) -> pd.DataFrame:
