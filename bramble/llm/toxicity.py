@@ -113,7 +113,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     """Learn from the labelled documents outside the held-out fold.
 
     At most SAMPLE_TOXIC toxic and SAMPLE_CLEAN other labels are used, those of lowest id hash, so
-    the fit reads a bounded number of whole texts. A toxic document's training grade is 1, and
+    the fit reads a bounded number of whole texts. Where a limit bites, the sample's odds of toxic
+    labels differ from all labels' odds; all thresholds are shifted by the log of their ratio, so
+    that calls do not depend on the size of the table. A toxic document's training grade is 1, and
     higher with the number of its marker words. Without labels of both kinds the model calls
     everything grade 0.
     """
@@ -121,6 +123,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     bounded_batches(spark)
     ids = labels.where(F.col(toxic).isNotNull() & F.col(doc_id).isNotNull() & (id_fold(doc_id, FOLDS) != HELD_OUT)) \
         .groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(F.col(toxic).cast("int")).alias("toxic"))
+    ids = materialise(ids, "labels")
+    found = {r["toxic"]: r["count"] for r in ids.groupBy("toxic").count().collect()}
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
     some = ids.where("toxic = 1").orderBy(*by_hash).limit(SAMPLE_TOXIC) \
         .unionByName(ids.where("toxic = 0").orderBy(*by_hash).limit(SAMPLE_CLEAN))
@@ -159,7 +163,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     grades = np.array([0 if not r["toxic"] else 1 + sum(r["markers"] >= g for g in GRADE_FROM) for r in rows])
     x = [{i: float(np.log1p(n)) for i, n in zip(r["index"], r["n"])} for r in rows]
     w, cuts = fit_cumulative_link(x, grades, len(known), len(GRADE_FROM) + 2)
-    return OrdinalModel({f: float(w[i]) for f, i in known.items()}, tuple(float(c) for c in cuts))
+    shift = prior_shift(found.get(1, 0), found.get(0, 0))
+    return OrdinalModel({f: float(w[i]) for f, i in known.items()}, tuple(float(c) + shift for c in cuts))
+
+
+def prior_shift(toxic: int, clean: int) -> float:
+    """Log of the sample's odds of toxic labels over all labels' odds."""
+    if not toxic or not clean:
+        return 0.0
+    return float(np.log(min(toxic, SAMPLE_TOXIC) / min(clean, SAMPLE_CLEAN)) - np.log(toxic / clean))
 
 
 def graded(docs: DataFrame, model: OrdinalModel, *, doc_id: str = "doc_id", text: str = "text",
@@ -191,7 +203,12 @@ def graded(docs: DataFrame, model: OrdinalModel, *, doc_id: str = "doc_id", text
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that are not called toxic, with the columns of ``docs``."""
+    """The rows that are not called toxic, with the columns of ``docs``.
+
+    A row goes if a grade above 0 is likelier than not; at exactly one half it stays. Null and empty
+    texts have no features and stay unless the base rate alone says toxic. Repeated rows are judged
+    alike, and an empty table gives an empty one.
+    """
     model = fit(docs, labels, doc_id=doc_id, text=text)
     bounded_batches(docs.sparkSession)
     weights, where = model.weights, docs.columns.index(text)

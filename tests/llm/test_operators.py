@@ -266,6 +266,34 @@ def labelled(spark):
             spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
 
 
+def test_long_documents_are_likelier_and_fill_the_budget(spark):
+    rows = [row(i, prose(i, 1 + i % 97), source="s" if i % 3 else "t") for i in range(2400)] + [row(9000, prose(1, 4000), source="s")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    plan = mixing.plan_mix(df).toPandas()
+    for _, own in plan.groupby("source_size"):
+        copies = own["target"] / own["source_size"]
+        whole = np.floor(copies.iloc[0] + 1e-12)
+        p = own["inclusion"]
+        if copies.iloc[0] > whole + 1e-9:
+            assert abs((p * own["size"]).sum() - (own["target"].iloc[0] - whole * own["source_size"].iloc[0])) < 1e-6 * own["source_size"].iloc[0]
+            part = own[p < 1]
+            factor = part["inclusion"] / np.sqrt(part["size"])
+            assert factor.max() - factor.min() < 1e-9                      # in proportion to the root of the size
+            assert (own["copies"][p >= 1] == whole + 1).all()              # certain documents are taken
+            extra = part["copies"] - whole
+            long, short = extra[part["size"] > 70].mean(), extra[part["size"] < 25].mean()
+            assert long > 1.3 * short                                      # equal odds would take both alike
+    again = mixing.plan_mix(df.repartition(7)).toPandas()
+    assert sorted(again[["doc_id", "taken"]].itertuples(index=False)) == sorted(plan[["doc_id", "taken"]].itertuples(index=False))
+
+
+def test_mix_of_empty_table_and_ties(spark, none):
+    assert not mixing.mixed(none).count()
+    same = spark.createDataFrame([row(1, "one two three", source="a")] * 40 + [row(2, None, source="b")], SCHEMA)
+    plan = mixing.plan_mix(same).toPandas()
+    assert abs(plan[plan["size"] > 0]["taken"].sum() - plan[plan["size"] > 0]["target"].iloc[0]) <= 3
+
+
 def test_toxicity_grades_held_out_documents(spark):
     docs, labels = labelled(spark)
     model = toxicity.fit(docs, labels)
@@ -280,6 +308,21 @@ def test_toxicity_grades_held_out_documents(spark):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {i for i in got if i % 4}
 
 
+def test_more_clean_labels_change_no_call(spark, monkeypatch):
+    """A limit on clean labels shifts the thresholds back to the odds of all labels."""
+    docs, labels = labelled(spark)
+    monkeypatch.setattr(toxicity, "SAMPLE_CLEAN", 100)
+    capped = toxicity.fit(docs, labels)
+    monkeypatch.setattr(toxicity, "SAMPLE_CLEAN", 12_000)
+    whole = toxicity.fit(docs, labels)
+    calls = [{r["doc_id"] for r in toxicity.graded(docs, m).where("toxic").collect()} for m in (capped, whole)]
+    assert calls[0] == calls[1] == {i for i in range(400) if i % 4 == 0}
+    monkeypatch.setattr(toxicity, "SAMPLE_CLEAN", 100)
+    assert toxicity.prior_shift(50, 80) == 0.0
+    assert abs(toxicity.prior_shift(50, 300) - np.log(3)) < 1e-12
+    assert toxicity.prior_shift(0, 5) == 0.0
+
+
 def test_cumulative_link_recovers_order():
     rng = np.random.default_rng(2)
     x = rng.normal(size=4000)
