@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from bramble.functions import text as tx
 from bramble.functions.columns import big, r6, with_slots
-from bramble.learners import jobs
+from bramble.learners import command, jobs
 from bramble.learners.knn import KNNRegression
 from bramble.learners.registry import learner
 from bramble.operators import stats
 from bramble.operators.metrics import regression_errors
 from bramble.plans.registry import Tables, plan
 from bramble.plans.registry import r6 as sql6
-from bramble.session import scratch_path, spread
+from bramble.session import materialise, scratch_path, spread
 from bramble.sources import delimited
 
 _RULE = """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')
@@ -194,6 +194,50 @@ def job_recovers_rule(t: Tables) -> DataFrame:
     return jobs.score_job(t.spark, source, out, model, schema=table.schema).select("o_orderkey", "predicted_label")
 
 
+def _by_command(t: Tables, learner_name: str, table: DataFrame, *options: str) -> DataFrame:
+    """A table written as CSV, trained on by command with the learner's default grid, and scored by command."""
+    source, model, out = (scratch_path(t.spark, n) for n in ("command-csv", "command-model", "command-scored"))
+    delimited.write_csv(table, source)
+    command.run(["train", learner_name, source, model, *options], t.spark)
+    command.run(["score", source, out, model], t.spark)
+    return delimited.read_csv(t.spark, out, header=True, infer=True)
+
+
+def _sized_parts(t: Tables) -> DataFrame:
+    """Parts far apart in size on both sides of a gap, with a label that the size decides."""
+    size = F.when(F.col("p_size") > 25, F.col("p_size") + 30).otherwise(F.col("p_size") - 30)
+    return t.part.select("p_partkey", size.alias("size"), F.when(F.col("p_size") > 25, "large").otherwise("small").alias("answer"))
+
+
+_SIZED = """SELECT p_partkey, CASE WHEN p_size > 25 THEN 'large' ELSE 'small' END AS predicted_label FROM part"""
+
+
+@plan("O7 O8 O4 I3 A1 A12", oracle=_SIZED)
+def logistic_by_command(t: Tables) -> DataFrame:
+    return _by_command(t, "logistic", _sized_parts(t), "--key", "p_partkey") \
+        .select(big("p_partkey").alias("p_partkey"), "predicted_label")
+
+
+@plan("O7 O8 O4 A1 A12", oracle=_SIZED)
+def svm_by_command(t: Tables) -> DataFrame:
+    return _by_command(t, "svm", _sized_parts(t), "--key", "p_partkey", "--folds", "2", "--param", "maxIter=10") \
+        .select(big("p_partkey").alias("p_partkey"), "predicted_label")
+
+
+@plan("O7 O8 O4 K1 N12", oracle="""
+    SELECT p_partkey, count(*) FILTER (p_size > 25) OVER () AS large, p_size > 25 AS is_large,
+           CASE WHEN p_size > 25 THEN count(*) FILTER (p_size > 25) OVER () ELSE count(*) FILTER (p_size <= 25) OVER () END AS together
+    FROM part""")
+def kmeans_by_command(t: Tables) -> DataFrame:
+    """Clusters of the same parts; every row with the size of its cluster and of the large parts' cluster."""
+    table = _sized_parts(t).select("p_partkey", "size")
+    found = _by_command(t, "kmeans", table, "--key", "p_partkey", "--label", "p_partkey", "--param", "seed=1")
+    found = materialise(found.select(big("p_partkey").alias("p_partkey"), "prediction", (F.col("size") > 25).alias("is_large")), "scored")
+    sizes = found.groupBy("prediction").agg(F.count("*").alias("together"))
+    large = found.agg(F.count_if("is_large")).scalar()
+    return found.join(F.broadcast(sizes.limit(100)), "prediction").select("p_partkey", large.alias("large"), "is_large", "together")
+
+
 _LANGUAGE = "SELECT doc_id, (lang = 'fr')::INT::DOUBLE AS prediction FROM documents"
 
 
