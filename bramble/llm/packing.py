@@ -103,13 +103,16 @@ def word_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
             words = data.lower().split()
             found = list(map(ids.get, words))
             if None in found:
-                later.append((k, words))
-                fresh.update(w for w, f in zip(words, found) if f is None)
+                gaps = [at for at, f in enumerate(found) if f is None]
+                later.append((k, words, found, gaps))
+                fresh.update([words[at] for at in gaps])
             else:
                 out[k] = b"".join(found)
         learn(list(fresh))
-        for k, words in later:
-            out[k] = b"".join(map(ids.__getitem__, words))
+        for k, words, found, gaps in later:
+            for at in gaps:
+                found[at] = ids[words[at]]
+            out[k] = b"".join(found)
         for k, e in zip(special, packed([texts[k] for k in special])):
             out[k] = e
         return out
