@@ -389,7 +389,7 @@ def test_rules_against_brute_force(spark, docs):
     assert not got.where("base_failed and kept").count()
 
 
-def test_ratio_against_brute_force(spark):
+def test_ratio_separates_kinds_of_text(spark):
     def plain(i):
         return re.sub(r"\d", "", prose(i, 90, ("the ", "of ", "river ", "stone ", "green ", "walks ")).replace("  ", " "))
     good = [(i, plain(i)) for i in range(60)]
