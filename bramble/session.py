@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,25 +56,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 _written: list[str] = []
 
 
-def drop_materialised(spark: SparkSession) -> int:
-    """Delete the tables this process has materialised, once no result that reads them is needed."""
+def owned(path: str) -> str:
+    """Note a path below the shared folder as this process's own, to be deleted by ``drop_materialised``."""
+    _written.append(path)
+    return path
+
+
+def written_so_far() -> int:
+    """How many tables this process holds; a mark for ``drop_materialised``."""
+    return len(_written)
+
+
+def drop_materialised(spark: SparkSession, since: int = 0, keep: Sequence[str] = ()) -> int:
+    """Delete the tables written after the mark ``since``, but for the paths in ``keep``; the number deleted.
+
+    To be called once no result that reads them is needed.
+    """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    count = len(_written)
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    gone = [p for p in _written[since:] if p not in keep]
+    _written[since:] = [p for p in _written[since:] if p in keep]
+    for name in gone:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
-    return count
+    return len(gone)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared folder and read back.
+def materialise(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write once to the shared folder (to ``path`` if given) and read back.
 
     Used where a result feeds several later jobs: the files outlive executors, and, unlike
     ``checkpoint()``, the plan runs only once.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = path or scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    _written.append(path)
+    owned(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
