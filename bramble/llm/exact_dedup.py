@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bramble.llm.common import PLACE, SPACE, addressable, join_by_weight, text_of
-from bramble.session import materialise, scratch_path
+from bramble.session import materialise, owned, scratch_path
 
 #: copies compared with one replica of their kept text
 COPIES_PER_REPLICA = 256
@@ -86,7 +86,7 @@ def exact_classes(spark: SparkSession, path: str, *, doc_id: str = "doc_id", tex
     fully tied rows exactly one. Other columns, also those named like the ones added here, are
     ignored. Rows of one digest whose bytes differ are put into classes by their full texts.
     """
-    state = materialise(digest_state(spark, path, scratch_path(spark, "dedup"), doc_id=doc_id, text=text,
+    state = materialise(digest_state(spark, path, owned(scratch_path(spark, "dedup")), doc_id=doc_id, text=text,
                                      files_per_batch=files_per_batch, digest=digest), "digests")
     full = _located(spark.read.parquet(path), doc_id, text, digest)
     rows = materialise(full.select("doc_id", "file", "row", "digest"), "rows")
@@ -118,9 +118,13 @@ def _collided(full: DataFrame, repeated: DataFrame, same_row: Column, total: int
 
 
 def keep_first(content: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``content`` that stay, all columns; the content is written once to be addressable."""
+    """The rows of ``content`` that stay, all columns; the content is written once to be addressable.
+
+    Null texts count as empty, of equal texts the longest original stays, then the row of smallest id
+    (null last), of fully tied rows exactly one. Ids must be numbers.
+    """
     spark = content.sparkSession
-    path = scratch_path(spark, "content")
+    path = owned(scratch_path(spark, "content"))
     content.write.parquet(path)
     stay = exact_classes(spark, path, doc_id=doc_id, text=text).where("kept").select(
         F.col("file").alias(PLACE[0]), F.col("row").alias(PLACE[1]))

@@ -505,6 +505,20 @@ def test_learners_without_labels_call_nothing_bad(spark, docs):
     assert {r["doc_id"] for r in scored.collect()} == {r[0] for r in ROWS}
 
 
+def test_pipeline_deletes_the_tables_of_its_stages(spark):
+    from pathlib import Path
+
+    from bramble.session import drop_materialised, scratch_root
+    drop_materialised(spark)
+    before = set(Path(scratch_root(spark)).iterdir())
+    result = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert result.count() > 0
+    held = {p.name.rpartition("-")[0] for p in set(Path(scratch_root(spark)).iterdir()) - before}
+    assert held == {"mixing", "bins"}      # the last stage's input and tables
+    drop_materialised(spark)
+    assert set(Path(scratch_root(spark)).iterdir()) <= before
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     root = str(tmp_path)
     base = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
