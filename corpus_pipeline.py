@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from bramble.llm import exact_dedup, mixing, packing, simhash, toxicity
-from bramble.session import materialise
+from bramble.session import drop_materialised, materialise, scratch_path, written_so_far
 
 #: learned and seeded stages have no SQL counterpart; tests compare them with brute force
 ORACLE_SQL = None
@@ -46,8 +46,14 @@ STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_exact_copies), ("near_d
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; every result but the last is written to the shared folder."""
+    """All stages over the documents; every result but the last is written to the shared folder.
+
+    A stage's own tables and the result before it are deleted as soon as its result is written.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    first = written_so_far()
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        docs = materialise(stage(spark, docs, sf_dir), name, path)
+        drop_materialised(spark, first, keep=[path])
     return STAGES[-1][1](spark, docs, sf_dir)
