@@ -210,6 +210,24 @@ def sample_many_sizes(t: Tables) -> DataFrame:
         .groupBy("sample_size").agg(F.count("*").alias("n"), F.avg("o_totalprice").alias("mean"))
 
 
+_DRAWN = """('0x' || substr(md5('3:' || s || ':' || o_orderkey), 1, 8))::BIGINT / 4294967296.0 * (SELECT count(*) FROM orders) < s"""
+
+
+@plan("B28", oracle=f"SELECT o_orderkey FROM orders, (SELECT 1000 AS s) WHERE {_DRAWN}")
+def digest_sample(t: Tables) -> DataFrame:
+    """About a thousand rows, drawn by the digest of their key."""
+    return sampling.digest_samples(t.orders.select("o_orderkey"), "o_orderkey", [1000], seed=3).select("o_orderkey")
+
+
+@plan("B29", oracle=f"""
+    SELECT s::INTEGER AS sample_size, count(*) AS n, round(sum(o_totalprice), 2) AS total
+    FROM orders, (SELECT unnest(range(100, 1001, 100)) AS s) WHERE {_DRAWN} GROUP BY s""")
+def digest_sample_sizes(t: Tables) -> DataFrame:
+    """Ten samples of growing size in one pass."""
+    return sampling.digest_samples(t.orders.select("o_orderkey", "o_totalprice"), "o_orderkey", range(100, 1001, 100), seed=3) \
+        .groupBy("sample_size").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
 @plan("B30 B31 B32 D3", oracle="""
     SELECT o_orderpriority, count(*) AS n, min(o_orderkey) AS first_key FROM orders GROUP BY 1""")
 def cached_counts(t: Tables) -> DataFrame:
