@@ -18,11 +18,10 @@ billion, by decimal division, so every result is exact.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,14 +30,14 @@ from bramble.session import materialise
 
 MIN_DOCS, SMOOTHING, SCALE, TOP_TERMS = 30, 5, 1_000_000_000, 50
 #: partial counts that a task holds before it hands them on
-HELD = 200_000
-#: runs of ASCII letters and of bytes of other code points; A-Z are lowered before
-TERM = re.compile(rb"[a-z\x80-\xff]+")
+HELD = 400_000
+#: terms are runs of ASCII letters and of bytes of other code points, with A-Z lowered; all else separates
+LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 CHUNK = 64
 
 
-def terms_of(text: str | None) -> list[bytes]:
-    return TERM.findall(text.encode("utf-8", "surrogatepass").lower()) if isinstance(text, str) else []
+def terms_of(text: bytes | None) -> list[bytes]:
+    return text.translate(LETTERS).split() if text else []
 
 
 def term_counts(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -49,26 +48,29 @@ def term_counts(docs: DataFrame, *, text: str = "text", lang: str = "lang", sour
     """
     bounded_batches(docs.sparkSession)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_store("terms")  # lets go of what the worker remembers for other operators
-        groups: dict[tuple, tuple[Counter, Counter]] = {}
-
-        def rows() -> Iterator[pd.DataFrame]:
-            for (g, s), (n, d) in groups.items():
-                yield pd.DataFrame({"lang": g, "source": s, "term": [t and t.decode("utf-8", "surrogatepass") for t in n],
-                                    "n": list(n.values()), "docs": [d[t] for t in n]})
+        groups: dict[tuple, tuple[Counter, Counter, list]] = {}
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for (g, s), (n, d, seen) in groups.items():
+                terms = pa.concat_arrays([pa.array(list(n), pa.binary()), pa.nulls(1, pa.binary())]).cast(pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([g] * len(terms), pa.string()), pa.array([s] * len(terms), pa.string()), terms,
+                     pa.array([*n.values(), 0], pa.int64()), pa.array([*map(d.__getitem__, n), seen[0]], pa.int64())],
+                    names=["lang", "source", "term", "n", "docs"])
             groups.clear()
 
         held = 0
         for batch in batches:
-            for g, s, value in zip(batch["lang"], batch["source"], batch["text"]):
-                n, d = groups.setdefault((g, s), (Counter(), Counter()))
+            texts = batch.column(2).cast(pa.binary()).to_pylist()
+            for g, s, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
+                n, d, seen = groups.setdefault((g, s), (Counter(), Counter(), [0]))
                 held -= len(n)
-                found = Counter(terms_of(value))
+                found = terms_of(text)
                 n.update(found)
-                d.update(found.keys())
-                n[None] += 0
-                d[None] += 1
+                d.update(set(found))
+                seen[0] += 1
                 held += len(n)
                 if held > HELD:
                     yield from rows()
@@ -77,7 +79,7 @@ def term_counts(docs: DataFrame, *, text: str = "text", lang: str = "lang", sour
 
     named = docs.select(F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.coalesce(F.col(source), F.lit("")).alias("source"),
                         F.col(text).alias("text"))
-    return named.mapInPandas(count, "lang string, source string, term string, n long, docs long") \
+    return named.mapInArrow(count, "lang string, source string, term string, n long, docs long") \
         .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
