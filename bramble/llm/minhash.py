@@ -3,7 +3,7 @@
 1. A document is its set of distinct word shingles, each a 64-bit hash. Equal sets are one point.
 2. A point's signature holds the minima of HASHES universal hash functions over the set. ROWS minima
    form a band; points with an equal band meet in its bucket. A pair of similarity 0.85 misses all
-   of the 32 bands of four with a probability of 6e-11.
+   of the 24 bands of four with a probability of 2e-8.
 3. Hubs. In every bucket the best-connected member (most bucket mates over all its buckets) is
    paired with each other member: one pair per member, however large the bucket. Signatures that
    agree too little are refused; the rest is confirmed on the full sets, and components are
@@ -25,6 +25,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +34,9 @@ from bramble.llm.simhash import FEW, shingle_hashes
 from bramble.session import materialise
 
 WIDTH, PERCENT = 3, 85
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 24, 4
 HASHES = BANDS * ROWS
-MARGIN, SEED = 0.17, 42
+MARGIN, SEED = 0.2, 42
 #: shingles hashed to minima at a time
 BLOCK = 2048
 #: members of a bucket that are compared as one block, and shingles that one block holds about
@@ -225,22 +226,22 @@ def hub_links(content: DataFrame, points: DataFrame, members: DataFrame, sizes:
     return materialise(_at_hubs(_with_replicas(passed, sets, ["shingles"]), linked, ["shingles"]), "confirmed")
 
 
-def _open_members(probes: pd.DataFrame, members: pd.DataFrame, percent: int) -> set[int]:
+def _open_members(rows: dict[str, np.ndarray], percent: int) -> np.ndarray:
     """Ids with a partner in another component whose signature and size allow the similarity."""
-    enough, involved = _enough(percent), set()
-    if probes.empty or members.empty:
-        return involved
-    label, n, least = (members[c].to_numpy() for c in ("label", "n", "least"))
-    least = np.frombuffer(b"".join(least), np.uint8).reshape(len(members), -1)
-    ids = members["id"].to_numpy()
-    for i, mine, size, minima in zip(probes["id"], probes["label"], probes["n"], probes["least"]):
-        near = (label != mine) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
+    probe, label, n, least, ids = (rows[c] for c in ("probe", "label", "n", "least", "id"))
+    members, probes = np.flatnonzero(~probe), np.flatnonzero(probe)
+    if not len(members) or not len(probes):
+        return ids[:0]
+    enough, involved = _enough(percent), np.zeros(len(ids), bool)
+    labels, sizes, minima = label[members], n[members], least[members]
+    for i in probes:
+        near = (labels != label[i]) & (100 * np.minimum(sizes, n[i]) >= percent * np.maximum(sizes, n[i]))
         at = np.flatnonzero(near)
-        at = at[_agreement(least[at], np.frombuffer(minima, np.uint8)) >= enough]
+        at = at[_agreement(minima[at], least[i]) >= enough]
         if len(at):
-            involved.add(int(i))
-            involved.update(ids[at].tolist())
-    return involved
+            involved[i] = True
+            involved[members[at]] = True
+    return np.unique(ids[involved])
 
 
 def block_links(probes: list[tuple], members: list[tuple], percent: int) -> list[tuple[int, int]]:
@@ -282,20 +283,24 @@ def block_links(probes: list[tuple], members: list[tuple], percent: int) -> list
     return links
 
 
-def _blocks(batches: Iterator[pd.DataFrame], work) -> Iterator[pd.DataFrame]:
-    """``work`` on the rows of each (key, block, part), which come together."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """The rows of each (key, block, part), which come together, as arrays by column; binary columns as objects."""
+    def columns(table: pa.Table) -> dict[str, np.ndarray]:
+        return {c: table[c].to_numpy() for c in table.column_names}
+
     held = None
     for batch in batches:
-        rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-        if rows.empty:
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        if not table.num_rows:
             continue
-        task = rows[["key", "block", "part"]].to_numpy()
-        turns = np.flatnonzero((task[1:] != task[:-1]).any(axis=1)) + 1
+        rows = columns(table)
+        turns = np.flatnonzero((np.diff(rows["key"]) != 0) | (np.diff(rows["block"]) != 0) | (np.diff(rows["part"]) != 0)) + 1
         for lo, hi in zip([0, *turns[:-1]], turns):
-            yield from work(rows.iloc[lo:hi])
-        held = rows.iloc[turns[-1] if len(turns) else 0:]
+            yield {c: v[lo:hi] for c, v in rows.items()}
+        held = table.slice(turns[-1] if len(turns) else 0)
     if held is not None:
-        yield from work(held)
+        yield columns(held)
 
 
 def _dealt(members: DataFrame, volume: Column, limit: int) -> DataFrame:
@@ -332,28 +337,31 @@ def remaining_links(content: DataFrame, points: DataFrame, members: DataFrame, l
     placed = materialise(members.join(known.select("id", "label", "n"), "id"), "placed")
     dealt = _dealt(placed, F.lit(1), MEMBERS).drop("n", "label")
 
-    def look(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        found = _open_members(rows[rows["probe"]], rows[~rows["probe"]], percent)
-        if found:
-            yield pd.DataFrame({"key": rows["key"].iloc[0], "id": sorted(found)})
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _blocks(batches):
+            rows["least"] = np.frombuffer(b"".join(rows["least"]), np.uint8).reshape(len(rows["id"]), -1)
+            found = _open_members(rows, percent)
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), rows["key"][0])), pa.array(found)], ["key", "id"])
 
     rows = dealt.join(known, "id").repartition(parts, "key", "block", "part").sortWithinPartitions("key", "block", "part")
     involved = rows.select("key", "block", "part", "probe", "id", "label", "n", "least") \
-        .mapInPandas(lambda batches: _blocks(batches, look), "key long, id long").distinct()
+        .mapInArrow(look, "key long, id long").distinct()
     involved = materialise(involved.join(known.select("id", "label", "n"), "id"), "involved")
     sets = _fetched(content, points, involved, text, width)
 
-    def search(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        listed = [(int(i), int(c), np.frombuffer(s, np.uint64)) for i, c, s in zip(rows["id"], rows["label"], rows["shingles"])]
-        probe = rows["probe"].tolist()
-        found = block_links([r for r, p in zip(listed, probe) if p], [r for r, p in zip(listed, probe) if not p], percent)
-        if found:
-            yield pd.DataFrame(found, columns=["a", "b"])
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _blocks(batches):
+            listed = [(int(i), int(c), np.frombuffer(s, np.uint64)) for i, c, s in zip(rows["id"], rows["label"], rows["shingles"])]
+            found = block_links([r for r, p in zip(listed, rows["probe"]) if p],
+                                [r for r, p in zip(listed, rows["probe"]) if not p], percent)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     again = _dealt(involved, F.col("n"), SHINGLES).drop("n")
     rows = again.join(sets, "id").repartition(parts, "key", "block", "part").sortWithinPartitions("key", "block", "part")
     return rows.select("key", "block", "part", "probe", "id", "label", "shingles") \
-        .mapInPandas(lambda batches: _blocks(batches, search), "a long, b long")
+        .mapInArrow(search, "a long, b long")
 
 
 def near_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
