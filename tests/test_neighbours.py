@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from bramble import session
 from bramble.operators import neighbours as nb
 from bramble.operators import ranking, setjoin
 
@@ -123,6 +124,22 @@ def test_leaves_with_many_queries_are_cut(spark, monkeypatch):
     assert {(r.qid, r.rank, r.nid) for r in got.collect()} == brute(x, q, 3)
 
 
+def test_queries_that_reach_most_leaves_meet_panels(spark, monkeypatch):
+    monkeypatch.setattr(nb, "PANEL_BLOCKS", 8)
+    rng = np.random.default_rng(21)
+    x, q = rng.normal(size=(400, 12)), rng.normal(size=(90, 12))    # the bound excludes next to nothing
+    x[300:330] = x[:30]
+    mark = session.written_so_far()
+    got = nb.knn_join(frame(spark, x), frame(spark, x), 3, base_id="id", query_id="id", block_rows=10, exclude_self=True)
+    found = {(r.qid, r.rank, r.nid) for r in got.collect()}
+    routed = sum(spark.read.parquet(p).count() for p in session._written[mark:] if "/routes-" in p)
+    assert routed <= 2 * 5 * len(x)       # 400 rows are five panels; the leaves are forty
+    assert found == brute(x, x, 3, True)
+    got = nb.range_join(frame(spark, x), frame(spark, q), 3.8, a_id="id", b_id="id", block_rows=10)
+    d = np.sqrt(((q[:, None] - x[None]) ** 2).sum(2))
+    assert sum(r.a_copies * r.b_copies for r in got.collect()) == int((d < 3.8).sum())
+
+
 def test_margin_acts_alike_at_every_size(spark):
     found = []
     for n in (600, 900):    # fewer and more than two blocks
