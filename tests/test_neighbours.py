@@ -224,3 +224,19 @@ def test_top_scores(spark):
     got = ranking.top_scores(frame(spark, u), frame(spark, v), 4, user_id="id", item_id="id", num_pivots=5).collect()
     want = {(i, r + 1, int(j)) for i in range(20) for r, j in enumerate(np.argsort(-(u[i] @ v.T))[:4])}
     assert {(r.user, r.rank, r.item) for r in got} == want
+
+
+def test_bucket_join_lists_no_bucket_pairs(spark, monkeypatch):
+    from pyspark.ml.feature import BucketedRandomProjectionLSHModel as Model
+    from bramble.plans import similarity
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(90, 8))
+    x /= np.sqrt((x ** 2).sum(1))[:, None]
+    x[80:] = x[:10]
+    tables = type("Rows", (), {"embeddings": frame(spark, x).select(F.col("id").alias("vec_id"), F.col("features").alias("embedding"))})
+    model, rows = similarity._projection_lsh(tables)
+    want = {(r[0], r[1]) for r in model.approxSimilarityJoin(rows, rows, 1.15, "dist").where("datasetA.id < datasetB.id")
+            .select("datasetA.id", "datasetB.id").collect()}
+    monkeypatch.setattr(Model, "approxSimilarityJoin", None, raising=False)
+    got = [(r.a_id, r.b_id) for r in similarity.lsh_euclid_join(tables).collect()]
+    assert set(got) == want and len(got) == len(want)
