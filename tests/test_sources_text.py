@@ -93,3 +93,34 @@ def test_sequence_fixture(spark):
     df = spark.createDataFrame(rows, "sequence array<array<int>>")
     got = {tuple(tuple(sorted(s)) for s in r.sequence): r.freq for r in patterns.frequent_sequences(df).collect()}
     assert got == {((1,),): 3, ((2,),): 3, ((3,),): 2, ((1, 2),): 3, ((1,), (3,)): 2}
+
+
+def test_words_are_counted_inside_their_row(spark):
+    from collections import Counter
+    from bramble.functions.text import word_counts
+    rows = [(1, ["b", "a", "b", ""]), (2, []), (3, None), (4, ["a"]), (4, ["a", "c"]), (None, ["x"]), (None, ["x", "x"])]
+    df = spark.createDataFrame(rows, "id bigint, words array<string>")
+    want = Counter()
+    for key, words in rows:
+        want.update((key, w) for w in words or [])
+    got = word_counts(df, "words", "term", "id")
+    assert Counter({(r.id, r.term): r.n for r in got.collect()}) == want and got.count() == len(want)
+    alone = word_counts(df.where("id < 4"), "words", "term", "id")
+    assert "Exchange" not in alone._jdf.queryExecution().executedPlan().toString()
+
+
+def test_perplexity_is_counted_by_mixture(spark, monkeypatch):
+    import math
+    from bramble.operators import topics
+    from bramble.plans import training
+    docs = [(1, "en", "a b b"), (2, "en", "a c"), (3, "fr", "b d d"), (4, None, "a d")]
+    table = type("Rows", (), {"documents": spark.createDataFrame(docs, "doc_id bigint, lang string, text string")})
+    seen = []
+    keep = topics.word_likelihood
+    monkeypatch.setattr(training.tp, "word_likelihood", lambda counts, *rest: seen.append(counts.count()) or keep(counts, *rest))
+    row = training.given_topics_perplexity(table).first()
+    weight = {"en": {"a": 2 / 5, "b": 2 / 5, "c": 1 / 5}, "fr": {"b": 1 / 3, "d": 2 / 3}}
+    logs = [math.log(sum((0.7 if k == lang else 0.1) * weight[k].get(w, 0) for k in weight))
+            for _, lang, text in docs for w in text.split()]
+    assert row.tokens == len(logs) == 10 and abs(row.perplexity - math.exp(-sum(logs) / 10)) < 1e-4
+    assert seen == [7]      # a row per language and word, not per document and word
