@@ -11,7 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import (ClusteringEvaluator, Evaluator, MulticlassClassificationEvaluator,
                                    RegressionEvaluator)
-from pyspark.ml.feature import (HashingTF, IDF, IndexToString, StandardScaler, StringIndexer, Tokenizer,
+from pyspark.ml.feature import (HashingTF, IDF, IndexToString, Normalizer, StandardScaler, StringIndexer, Tokenizer,
                                 VectorAssembler)
 from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
@@ -185,12 +185,16 @@ def score_job(spark: SparkSession, source: str, out: str, model: str, *,
 
 
 def tf_idf_classifier(*, label: str = "label", text: str = "text", slots: int = 1 << 18,
-                      max_iter: int = 20, reg: float = 0.01) -> Pipeline:
-    """Tokens, hashed counts, inverse document frequency, logistic regression."""
+                      max_iter: int = 20, reg: float = 0.01, unit: bool = False) -> Pipeline:
+    """Tokens, hashed counts, inverse document frequency, logistic regression.
+
+    ``unit`` scales every document to length one, so that a short text weighs as much as a long one.
+    """
+    scaled = [Normalizer(inputCol="weights", outputCol="features")] if unit else []
     return Pipeline(stages=[
         Tokenizer(inputCol=text, outputCol="words"),
         HashingTF(inputCol="words", outputCol="tf", numFeatures=slots),
-        IDF(inputCol="tf", outputCol="features"),
+        IDF(inputCol="tf", outputCol="weights" if unit else "features"), *scaled,
         make_learner("classification", "logistic", labelCol=label, maxIter=max_iter, regParam=reg)])
 
 

@@ -249,7 +249,7 @@ def _french(t: Tables) -> DataFrame:
 def language_by_tf_idf(t: Tables) -> DataFrame:
     """Whether a document is French, learned from its words."""
     rows = _french(t)
-    return jobs.tf_idf_classifier(slots=1 << 14, max_iter=50, reg=0.0).fit(rows).transform(rows) \
+    return jobs.tf_idf_classifier(max_iter=100, reg=0.0, unit=True).fit(rows).transform(rows) \
         .select("doc_id", "prediction")
 
 

@@ -176,3 +176,18 @@ def test_training_invariants(spark):
     exact = {(r.a_id, r.b_id) for r in PLANS["euclid_range_join"](spark, SMALL).collect()}
     lsh = {(r.a_id, r.b_id) for r in PLANS["lsh_euclid_join"](spark, SMALL).collect()}
     assert lsh <= exact
+
+
+def test_language_of_short_texts_with_words_of_one_slot(spark):
+    """A French and an English word of one slot among 2**14, each the whole of a text."""
+    from pyspark.ml.feature import HashingTF
+    from bramble.plans.concepts import language_by_tf_idf
+    small, seen, pair = HashingTF(numFeatures=1 << 14), {}, None
+    for word in (f"w{i}" for i in range(2000)):
+        other = seen.setdefault(small.indexOf(word), word)
+        if other != word:
+            pair = other, word
+            break
+    texts = [(0, pair[0], "fr"), (1, pair[1], "en"), (2, "le chat noir " * 50, "fr"), (3, "the black cat " * 50, "en")]
+    table = type("Rows", (), {"documents": spark.createDataFrame(texts, "doc_id bigint, text string, lang string")})
+    assert {r.doc_id: r.prediction for r in language_by_tf_idf(table).collect()} == {0: 1.0, 1: 0.0, 2: 1.0, 3: 0.0}
