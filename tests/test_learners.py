@@ -191,3 +191,20 @@ def test_language_of_short_texts_with_words_of_one_slot(spark):
     texts = [(0, pair[0], "fr"), (1, pair[1], "en"), (2, "le chat noir " * 50, "fr"), (3, "the black cat " * 50, "en")]
     table = type("Rows", (), {"documents": spark.createDataFrame(texts, "doc_id bigint, text string, lang string")})
     assert {r.doc_id: r.prediction for r in language_by_tf_idf(table).collect()} == {0: 1.0, 1: 0.0, 2: 1.0, 3: 0.0}
+
+
+def test_word_vectors_do_not_grow_with_the_words(spark, monkeypatch):
+    """Every word has a vector, of its own but for words that share both slots; the model holds slots only."""
+    from bramble.functions import text
+    monkeypatch.setattr(text, "WORD_SLOTS", 64)
+    df = spark.createDataFrame([(i, [f"w{i}", f"w{i + 1}", "common"]) for i in range(500)] + [(500, [])],
+                               "id int, words array<string>")
+    model = text.word_vector_stage(df, "words", "v", size=5, maxIter=1, seed=1).fit(df)
+    assert [s.getVectors().count() <= 64 for s in model.stages if hasattr(s, "getVectors")] == [True, True]
+    vectors = {r.word: r.vector.toArray() for r in text.word_vectors(model, df, "words", "v").collect()}
+    assert len(vectors) == 502 and all(len(v) == 5 for v in vectors.values())
+    assert len({tuple(v) for v in vectors.values()}) > 400
+    assert model.transform(df).columns == ["id", "words", "v"]
+    for r in model.transform(df).where("id in (0, 500)").collect():
+        mean = sum(vectors[w] for w in r.words) / len(r.words) if r.words else 0.0
+        assert abs(r.v.toArray() - mean).max() < 1e-6
