@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import LDAModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -48,6 +52,59 @@ def mixtures(model: LDAModel, df: DataFrame, key: str) -> DataFrame:
     return rows.select(key, "topic", F.when(F.col("_total") > 0, F.col("share")).otherwise(1.0 / k).alias("share"))
 
 
+def _digamma(x: np.ndarray) -> np.ndarray:
+    """Derivative of log gamma: recurrence up to 8, then the asymptotic series."""
+    x, shift = np.array(x, float), 0.0
+    for _ in range(8):
+        low = x < 8
+        shift = shift + np.where(low, 1.0 / x, 0.0)
+        x = np.where(low, x + 1, x)
+    y = 1.0 / (x * x)
+    return np.log(x) - 0.5 / x - y * (1 / 12 - y * (1 / 120 - y * (1 / 252 - y * (1 / 240 - y / 132)))) - shift
+
+
+_lgamma = np.vectorize(math.lgamma, otypes=[float])
+
+
+def likelihood_bound(model: LDAModel, df: DataFrame) -> tuple[float, float]:
+    """The variational bound on the log likelihood, as ``model.logLikelihood`` defines it, and the number of tokens.
+
+    Spark's method goes through the whole topic matrix for every document. Here the expected log
+    weights are worked out once and a document looks up its own slots; its mixture is the model's,
+    whose unnormalised form sums to the document's tokens and the prior.
+    """
+    weights = model.topicsMatrix().toArray()                     # slots x topics, bounded by the slots
+    slots, k = weights.shape
+    alpha = np.broadcast_to(np.asarray(model.estimatedDocConcentration().toArray(), float), (k,)).copy()
+    eta = model.getOrDefault(model.topicConcentration) if model.isDefined(model.topicConcentration) else 1.0 / k
+    logs = _digamma(weights) - _digamma(weights.sum(0))
+    shared = df.sparkSession.sparkContext.broadcast(logs)
+
+    @F.pandas_udf("double")
+    def bound(idx: pd.Series, n: pd.Series, share: pd.Series) -> pd.Series:
+        out = []
+        for i, c, s in zip(idx, n, share):
+            c = np.asarray(c, float)
+            gamma = np.asarray(s, float) * (alpha.sum() + c.sum())
+            theta = _digamma(gamma) - _digamma(gamma.sum())
+            words = shared.value[np.asarray(i, int)] + theta
+            top = words.max(1)
+            out.append(float((c * (top + np.log(np.exp(words - top[:, None]).sum(1)))).sum()
+                             + ((alpha - gamma) * theta).sum() + (_lgamma(gamma) - _lgamma(alpha)).sum()
+                             + math.lgamma(alpha.sum()) - math.lgamma(gamma.sum())))
+        return pd.Series(out, dtype=float)
+
+    raw = F.unwrap_udt(F.col(model.getFeaturesCol()))
+    rows = model.transform(df).select(raw["indices"].alias("idx"), raw["values"].alias("n"),
+                                      vector_to_array(model.getTopicDistributionCol()).alias("share"))
+    tokens = F.aggregate("n", F.lit(0.0), lambda a, v: a + v)
+    found = rows.where(F.size("n") > 0).select(bound("idx", "n", "share").alias("b"), tokens.alias("t"))
+    total, count = found.agg(F.sum("b"), F.sum("t")).first()
+    topics = ((eta - weights) * logs).sum() + (_lgamma(weights) - math.lgamma(eta)).sum() \
+        + sum(math.lgamma(eta * slots) - math.lgamma(v) for v in weights.sum(0))
+    return float((total or 0.0) + topics), float(count or 0.0)
+
+
 def word_likelihood(counts: DataFrame, shares: DataFrame, weights: DataFrame, key: str) -> DataFrame:
     """``key, tokens, log_likelihood`` of every document under a given model, as joins and aggregations.
 

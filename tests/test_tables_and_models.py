@@ -167,3 +167,17 @@ def test_synonyms_are_the_largest_cosines(spark):
     for q in (3, 7):
         want = [f"w{i:02d}" for i in np.argsort(-(unit @ unit[q])) if i != q][:4]
         assert [r.word for r in sorted(got, key=lambda r: r["rank"]) if r["query"] == f"w{q:02d}"] == want
+
+
+def test_likelihood_bound_is_the_models_own(spark, monkeypatch):
+    """The bound equals Spark's, which passes over all slots for every document and is not called."""
+    from pyspark.ml.clustering import LDA, LDAModel
+    words = [["a", "b", "b", "c"], ["c", "d"], ["a"] * 30 + ["e"], [], ["d", "e", "f", "a"] * 5]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "k int, words array<string>")
+    rows, _ = topics.hashed_counts(df, "words")
+    model = LDA(k=3, maxIter=3, seed=1, subsamplingRate=1.0).fit(rows)
+    want = model.logLikelihood(rows), model.logPerplexity(rows)
+    for name in ("logLikelihood", "logPerplexity"):
+        monkeypatch.setattr(LDAModel, name, None)
+    likelihood, tokens = topics.likelihood_bound(model, rows)
+    assert tokens == 57 and abs(likelihood / want[0] - 1) < 1e-4 and abs(-likelihood / tokens / want[1] - 1) < 1e-4
