@@ -17,15 +17,12 @@ from bramble.llm.common import SPACE, text_of
 from bramble.session import materialise
 
 SLOTS = 1 << 14
-#: trusted documents that are counted, at most: those of lowest id hash among the labelled ones
-TRUSTED_DOCS = 5_000
 #: added to every slot's count
 SMOOTHING = 1.0
 #: the threshold lies so many mean absolute deviations below the trusted documents' mean
 DEVIATIONS = 20.0
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SYMBOLS = "#*$%&|<>"
-TOKEN = r"[^\x20\x09-\x0D\p{Punct}]+|\p{Punct}+"
 
 
 def words(text: Column) -> Column:
@@ -89,25 +86,26 @@ def mean_ratio(slots: str, ratios: str) -> Column:
 
 
 def tokenised(docs: DataFrame, text: str) -> DataFrame:
-    return docs.withColumn("_tokens", F.regexp_extract_all(text_of(text), F.lit(TOKEN), F.lit(0))) \
-        .withColumn("_slots", ngram_slots("_tokens")).drop("_tokens")
+    """Adds the slots of the tokens, runs of punctuation or of other characters; splitting is faster than extracting."""
+    apart = F.regexp_replace(text_of(text), r"(\p{Punct}+)", " $1 ")
+    return docs.withColumn("_tokens", words(apart)).withColumn("_slots", ngram_slots("_tokens")).drop("_tokens")
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> RatioModel:
-    """Slot counts over all documents and over the trusted ones (labelled good and not toxic).
+    """Slot counts over all documents and over the trusted ones (all that are labelled good and not toxic).
 
     Without trusted documents every ratio is 0 and every document passes; it also passes if none of
     them, of the third that sets the threshold, is long enough.
     """
     ids = labels.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("doc_id")) \
         .agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic")) \
-        .where("quality = 1 and not coalesce(toxic, 0) = 1").select("doc_id") \
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_DOCS)
+        .where("quality = 1 and not coalesce(toxic, 0) = 1").select("doc_id")
     # two thirds are counted, the rest sets the threshold: counted documents look likelier than they are
     counted = F.when(F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)) > 0, 1)
+    # one narrow row per document: Spark broadcasts the table while it is small and shuffles otherwise
     trusted = materialise(ids, "trusted").withColumn("_trusted", counted)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")) \
-        .join(F.broadcast(trusted), "doc_id", "left")
+        .join(trusted, "doc_id", "left")
     # explode() would put a filter that repeats the tokenising for every n-gram below itself
     counts = tokenised(rows, "text").select("_trusted", F.explode_outer("_slots").alias("slot")) \
         .groupBy("slot").agg(F.count("*").alias("raw"), F.count("_trusted").alias("target")) \
@@ -122,7 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     shift = math.log(sum(raw) / sum(target))
     ratios = ",".join(f"{math.log(t / r) + shift:.6g}" for t, r in zip(target, raw))
     seen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")) \
-        .join(F.broadcast(trusted.where("_trusted is null")), "doc_id", "left_semi")
+        .join(trusted.where("_trusted is null"), "doc_id", "left_semi")
     found = tokenised(seen, "text").select(F.size("_slots").alias("n"), mean_ratio("_slots", ratios).alias("r"))
     own = materialise(found, "ratios").where(F.col("n") >= 2 * MIN_WORDS)
     middle = own.agg(F.avg(F.round("r", 9))).first()[0]

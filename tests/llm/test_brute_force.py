@@ -88,6 +88,26 @@ def test_likelihood_ratios(spark, docs, labels):
     assert len(found) == len(sample(240))
 
 
+def test_all_trusted_documents_are_counted(spark):
+    """More trusted documents than a fixed number: a word that only the counted two thirds hold ends above another's ratio."""
+    n = 9000
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('w', id % 50, ',z') AS text")
+    trusted = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    table = [float(v) for v in rules.fit(docs, trusted).ratios.split(",")]
+    part = docs.selectExpr("doc_id", "pmod(xxhash64(doc_id, 'part'), 3) > 0 AS counted").where("counted").count()
+    raw, target = 5 * n, 5 * part     # w., comma and z, and two pairs
+    shift = math.log((raw + rules.SLOTS) / (target + rules.SLOTS))
+    for slot in (slots_by_hand("z")[0], slots_by_hand(",")[0], slots_by_hand(",z")[2]):
+        assert abs(table[slot] - math.log((part + 1) / (n + 1)) - shift) < 1e-5
+
+
+def test_tokens_are_runs_of_punctuation_or_of_other_characters(spark):
+    texts = [None, "", " ", "...", "a", " a.b,,c  d! ", "\n$$x\ty-z\x0b", "«é»…ok(1)", "\u00a0a\u2003b.\x1c", "$1 \\2 $&"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in rules.tokenised(rows, "text").collect():
+        assert list(r["_slots"]) == slots_by_hand(r["text"])
+
+
 def shares_by_hand(words, cost, limit, rounds):
     """Expectation-maximisation and the penalised choice, in plain lists."""
     k, n = len(words[0]), len(words)
