@@ -240,3 +240,16 @@ def test_bucket_join_lists_no_bucket_pairs(spark, monkeypatch):
     monkeypatch.setattr(Model, "approxSimilarityJoin", None, raising=False)
     got = [(r.a_id, r.b_id) for r in similarity.lsh_euclid_join(tables).collect()]
     assert set(got) == want and len(got) == len(want)
+
+
+def test_sets_outside_every_pair_are_not_moved(spark, monkeypatch):
+    """Candidate pairs are written and few, so the full sets are looked up by broadcast; signatures follow the pairs."""
+    names = []
+    keep = setjoin.materialise
+    monkeypatch.setattr(setjoin, "materialise", lambda df, name, *rest: names.append(name) or keep(df, name, *rest))
+    rows = [(i, [f"t{i}a", f"t{i}b", f"t{i}c", "x"]) for i in range(300)] + [(500, ["t7a", "t7b", "t7c", "x", "y"])]
+    df = spark.createDataFrame(rows, "id bigint, tokens array<string>")
+    found = setjoin.jaccard_join(df, "id", "tokens", 0.5)
+    assert [(r.a_id, r.b_id, r.overlap) for r in found.collect()] == [(7, 500, 4)]
+    assert names == ["sets", "postings", "candidates", "ids"]
+    assert "ShuffledHashJoin" not in (plan := found._jdf.queryExecution().executedPlan().toString()) and "SortMergeJoin" not in plan
