@@ -90,7 +90,7 @@ class _NeighbourEstimator(Estimator, NeighbourParams, DefaultParamsWritable, Def
         rows, key = self._with_id(df)
         index = nb.build_index(rows, id_col=key, features=self.getFeaturesCol(), aux=aux,
                                num_pivots=self._num_pivots(), seed=self.getSeed(),
-                               block_rows=self.getOrDefault(self.blockRows))
+                               block_rows=self.getOrDefault(self.blockRows), one_panel=True)
         buffer = self.getOrDefault(self.bufferSize)
         if not self.getOrDefault(self.exact) and buffer < 0:
             buffer = 2 * nb.estimate_tau(rows, id_col=key, features=self.getFeaturesCol(),

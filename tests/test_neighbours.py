@@ -253,3 +253,18 @@ def test_sets_outside_every_pair_are_not_moved(spark, monkeypatch):
     assert [(r.a_id, r.b_id, r.overlap) for r in found.collect()] == [(7, 500, 4)]
     assert names == ["sets", "postings", "candidates", "ids"]
     assert "ShuffledHashJoin" not in (plan := found._jdf.queryExecution().executedPlan().toString()) and "SortMergeJoin" not in plan
+
+
+def test_rows_of_one_panel_meet_without_a_tree(spark, monkeypatch):
+    """Queries of a table that fits one panel go to its panels, with float vectors as floats, and not to every block."""
+    x = skewed(np.random.default_rng(11), 200).astype(np.float32)
+    x[7], x[9] = x[150], x[151]
+    df = frame(spark, x).withColumn("features", F.col("features").cast("array<float>"))
+    seen, keep = [], nb._scan_panels
+    monkeypatch.setattr(nb, "_scan", None)
+    monkeypatch.setattr(nb, "_scan_panels", lambda index, asked, **o: seen.append((index, asked)) or keep(index, asked, **o))
+    for exclude_self in (False, True):
+        got = nb.knn_join(df, df, 4, base_id="id", query_id="id", exclude_self=exclude_self, block_rows=20)
+        assert {(r.qid, r.rank, r.nid) for r in got.collect()} == brute(x.astype(float), x.astype(float), 4, exclude_self)
+    assert len(seen) == 2 and all(index.single and index.width == 4 for index, _ in seen)
+    assert all(side.schema["vec"].dataType.simpleString() == "array<float>" for i, q in seen for side in (i.vectors, q))
