@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bramble.llm.common import SPACE, text_of
 from bramble.session import materialise
@@ -23,12 +24,12 @@ SMOOTHING = 1.0
 DEVIATIONS = 20.0
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SYMBOLS = "#*$%&|<>"
+#: rows up to which the table of trusted ids, 64 neighbouring ids a row, is broadcast
+BROADCAST_ROWS = 1 << 20
 
 
 def words(text: Column) -> Column:
-    trimmed = F.regexp_replace(text, "^" + SPACE + "+", "")
-    found = F.split(F.regexp_replace(trimmed, SPACE + "+$", ""), SPACE + "+")
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(found)
+    return F.array_remove(F.split(text, SPACE + "+"), "")  # empty ones can only be the first and the last
 
 
 def with_base(docs: DataFrame, text: str) -> DataFrame:
@@ -52,8 +53,8 @@ def with_base(docs: DataFrame, text: str) -> DataFrame:
     covered = F.array_distinct(F.flatten(F.transform(twice, lambda e: F.array(e["i"], e["i"] + 1, e["i"] + 2))))
     repeated = F.when(F.col("_sorted").isNull(), 0).otherwise(F.size(covered))
     docs = docs.withColumn("n_words", n.cast("long")) \
-        .withColumn("word_chars", F.length(F.regexp_replace(value, SPACE + "+", "")).cast("long")) \
-        .withColumn("n_symbols", (F.length(value) - F.length(F.translate(value, SYMBOLS, ""))).cast("long")) \
+        .withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long")) \
+        .withColumn("n_symbols", (F.size(F.split(value, f"[{SYMBOLS}]")) - 1).cast("long")) \
         .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long")) \
         .withColumn("n_repeat_words", repeated.cast("long"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
@@ -91,6 +92,25 @@ def tokenised(docs: DataFrame, text: str) -> DataFrame:
     return docs.withColumn("_tokens", words(apart)).withColumn("_slots", ngram_slots("_tokens")).drop("_tokens")
 
 
+def _place(ids: DataFrame) -> DataFrame:
+    """Adds ``_row`` and ``_bit`` of the id in the table of trusted ids; ids that are no whole numbers have a row each."""
+    whole = isinstance(ids.schema["doc_id"].dataType, T.IntegralType)
+    bit = "shiftleft(1L, cast(cast(doc_id as bigint) & 63 as int))" if whole else "1L"
+    row = "shiftright(cast(doc_id as bigint), 6)" if whole else "doc_id"
+    return ids.withColumn("_row", F.expr(row)).withColumn("_bit", F.expr(bit))
+
+
+def _with_trusted(docs: DataFrame, table: DataFrame) -> DataFrame:
+    """``text`` of all documents, ``_trusted`` (1 if counted, else null) and ``_own`` (whether it sets the threshold).
+
+    The table goes to the texts while it is small; a join by id would shuffle every text.
+    """
+    few = F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+    held = lambda c: F.coalesce(F.col(c).bitwiseAND(F.col("_bit")) != 0, F.lit(False))
+    return _place(docs).join(few, "_row", "left") \
+        .select("text", F.when(held("_counted"), 1).alias("_trusted"), held("_rest").alias("_own"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> RatioModel:
     """Slot counts over all documents and over the trusted ones (all that are labelled good and not toxic).
 
@@ -101,11 +121,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
         .agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic")) \
         .where("quality = 1 and not coalesce(toxic, 0) = 1").select("doc_id")
     # two thirds are counted, the rest sets the threshold: counted documents look likelier than they are
-    counted = F.when(F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)) > 0, 1)
-    # one narrow row per document: Spark broadcasts the table while it is small and shuffles otherwise
-    trusted = materialise(ids, "trusted").withColumn("_trusted", counted)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")) \
-        .join(trusted, "doc_id", "left")
+    counted = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)) > 0
+    same = ids.withColumn("_part", counted).withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
+    table = _place(same).groupBy("_row").agg(F.bit_or(F.when(F.col("_part"), F.col("_bit"))).alias("_counted"),
+                                             F.bit_or(F.when(~F.col("_part"), F.col("_bit"))).alias("_rest"))
+    rows = _with_trusted(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
+                         materialise(table, "trusted"))
     # explode() would put a filter that repeats the tokenising for every n-gram below itself
     counts = tokenised(rows, "text").select("_trusted", F.explode_outer("_slots").alias("slot")) \
         .groupBy("slot").agg(F.count("*").alias("raw"), F.count("_trusted").alias("target")) \
@@ -119,9 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     import math
     shift = math.log(sum(raw) / sum(target))
     ratios = ",".join(f"{math.log(t / r) + shift:.6g}" for t, r in zip(target, raw))
-    seen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")) \
-        .join(trusted.where("_trusted is null"), "doc_id", "left_semi")
-    found = tokenised(seen, "text").select(F.size("_slots").alias("n"), mean_ratio("_slots", ratios).alias("r"))
+    found = tokenised(rows.where("_own"), "text").select(F.size("_slots").alias("n"), mean_ratio("_slots", ratios).alias("r"))
     own = materialise(found, "ratios").where(F.col("n") >= 2 * MIN_WORDS)
     middle = own.agg(F.avg(F.round("r", 9))).first()[0]
     if middle is None:  # nobody to set a threshold by: everything passes

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 import zstandard
+from pyspark.sql import functions as F
 
 from bramble.llm import language, quality, rules, sharding, toxicity
 
@@ -101,6 +102,33 @@ def test_all_trusted_documents_are_counted(spark):
         assert abs(table[slot] - math.log((part + 1) / (n + 1)) - shift) < 1e-5
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_texts_are_not_shuffled_to_the_trusted_ids(spark, monkeypatch, kind):
+    """Trusted documents are found by a small table beside the texts, whatever Spark would broadcast by itself."""
+    ids = [*range(-70, 200), None, 2 ** 62, 5]
+    docs = spark.createDataFrame([(i, f"w{i or 0}") for i in ids], "doc_id bigint, text string") \
+        .withColumn("doc_id", F.col("doc_id").cast(kind))
+    good = {i for i in range(-70, 200) if i % 3} | {2 ** 62}
+    labels = spark.createDataFrame([(i, int(i in good), 0) for i in ids if i is not None],
+                                   "doc_id bigint, quality int, toxic int").withColumn("doc_id", F.col("doc_id").cast(kind))
+    seen, keep = [], rules.tokenised
+    monkeypatch.setattr(rules, "tokenised", lambda df, text: seen.append(df) or keep(df, text))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rules.fit(docs, labels)
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in seen]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(plans) == 2 and not any("SortMergeJoin" in p or "ShuffledHashJoin" in p for p in plans)
+    part = {r["doc_id"]: r["p"] for r in docs.selectExpr("doc_id", "pmod(xxhash64(doc_id, 'part'), 3) > 0 AS p").collect()}
+    name = (lambda i: str(i)) if kind == "string" else (lambda i: i)
+    listed = [i for i in ids if i in good]
+    assert sorted(r["text"] for r in seen[0].where("_trusted = 1").collect()) == sorted(f"w{i}" for i in listed if part[name(i)])
+    assert sorted(r["text"] for r in seen[1].collect()) == sorted(f"w{i}" for i in listed if not part[name(i)])
+    assert seen[0].count() == len(ids)
+
+
 def test_tokens_are_runs_of_punctuation_or_of_other_characters(spark):
     texts = [None, "", " ", "...", "a", " a.b,,c  d! ", "\n$$x\ty-z\x0b", "«é»…ok(1)", "\u00a0a\u2003b.\x1c", "$1 \\2 $&"]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
