@@ -14,36 +14,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bramble.llm.common import SPACE, text_of
+from bramble.llm.common import text_of
 from bramble.session import materialise
 
-SLOTS = 1 << 14
+SLOTS = 1 << 14  # a power of two
 #: added to every slot's count
 SMOOTHING = 1.0
 #: the threshold lies so many mean absolute deviations below the trusted documents' mean
 DEVIATIONS = 20.0
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SYMBOLS = "#*$%&|<>"
+#: classes without ranges, which Java looks up in a table
+SPACES = r"[ \t\n\x0B\f\r]+"
+PUNCTUATION = r"""[!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~]+"""
 #: rows up to which the table of trusted ids, 64 neighbouring ids a row, is broadcast
 BROADCAST_ROWS = 1 << 20
 
 
 def words(text: Column) -> Column:
-    return F.array_remove(F.split(text, SPACE + "+"), "")  # empty ones can only be the first and the last
+    return F.array_remove(F.split(text, SPACES), "")  # empty ones can only be the first and the last
+
+
+def base_fails() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
 def with_base(docs: DataFrame, text: str) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed.
 
-    Windows of three words are hashed to 64 bits. If a document's hashes are all different, so are
+    Words and windows of three of them are hashed to 64 bits. If a document's hashes are all different, so are
     its windows; only otherwise they are sorted with their positions and neighbours compared.
     """
     value = text_of(text)
     lines = F.filter(F.split(value, "\n"), lambda line: line.rlike("[^\\x20\\x09-\\x0D]"))
     n = F.size("_words")
-    window = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(
-        F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)))
+    window = F.transform(F.slice("_hashes", 1, n - 2), lambda h, i: F.xxhash64(
+        h, F.get("_hashes", i + 1), F.get("_hashes", i + 2)))
     docs = docs.withColumn("_words", words(value)).withColumn("_lines", lines)
+    docs = docs.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
     docs = docs.withColumn("_windows", F.when(n >= 3, window))
     repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
     order = F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -57,12 +65,11 @@ def with_base(docs: DataFrame, text: str) -> DataFrame:
         .withColumn("n_symbols", (F.size(F.split(value, f"[{SYMBOLS}]")) - 1).cast("long")) \
         .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long")) \
         .withColumn("n_repeat_words", repeated.cast("long"))
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return docs.withColumn("base_failed", failed).drop("_words", "_lines", "_windows", "_sorted")
+    return docs.withColumn("base_failed", base_fails()).drop("_words", "_lines", "_hashes", "_windows", "_sorted")
 
 
 def _slot(*parts: Column) -> Column:
-    return F.pmod(F.xxhash64(*parts), F.lit(SLOTS)).cast("int")
+    return F.xxhash64(*parts).bitwiseAND(F.lit(SLOTS - 1)).cast("int")
 
 
 def ngram_slots(tokens: str) -> Column:
@@ -88,8 +95,22 @@ def mean_ratio(slots: str, ratios: str) -> Column:
 
 def tokenised(docs: DataFrame, text: str) -> DataFrame:
     """Adds the slots of the tokens, runs of punctuation or of other characters; splitting is faster than extracting."""
-    apart = F.regexp_replace(text_of(text), r"(\p{Punct}+)", " $1 ")
-    return docs.withColumn("_tokens", words(apart)).withColumn("_slots", ngram_slots("_tokens")).drop("_tokens")
+    apart = F.regexp_replace(text_of(text), PUNCTUATION, " $0 ")
+    return docs.withColumn("_tokens", words(apart)).withColumn("_slots", ngram_slots("_tokens"))
+
+
+def ngrams(docs: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and ``slot`` per n-gram of ``_tokens``, with a null slot in their place for a text without any.
+
+    The same slots as ``ngram_slots``, by generators and hashes that Spark compiles; functions of array elements it interprets.
+    """
+    following = F.slice("_tokens", 2, F.greatest(F.size("_tokens"), F.lit(1)))
+    pairs = F.arrays_zip(F.col("_tokens").alias("a"), following.alias("b"))
+    rows = docs.select(*keep, F.inline_outer(pairs).alias("_a", "_b"))
+    pair = F.when(F.col("_b").isNotNull(), _slot("_a", "_b"))
+    one = F.when(F.col("_a").isNotNull(), _slot("_a"))
+    both = F.when(F.col("_b").isNotNull(), F.array(one, pair)).otherwise(F.array(one))
+    return rows.select(*keep, F.explode(both).alias("slot"))
 
 
 def _place(ids: DataFrame) -> DataFrame:
@@ -127,9 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
                                              F.bit_or(F.when(~F.col("_part"), F.col("_bit"))).alias("_rest"))
     rows = _with_trusted(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
                          materialise(table, "trusted"))
-    # explode() would put a filter that repeats the tokenising for every n-gram below itself
-    counts = tokenised(rows, "text").select("_trusted", F.explode_outer("_slots").alias("slot")) \
-        .groupBy("slot").agg(F.count("*").alias("raw"), F.count("_trusted").alias("target")) \
+    counts = ngrams(tokenised(rows, "text"), "_trusted").groupBy("slot").agg(F.count("*").alias("raw"), F.count("_trusted").alias("target")) \
         .where("slot is not null").collect()
     raw, target = [SMOOTHING] * SLOTS, [SMOOTHING] * SLOTS
     for r in counts:
@@ -151,11 +170,17 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
 
 def judged(docs: DataFrame, model: RatioModel, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, the base columns, ``base_failed``, ``ratio`` and ``kept`` for every row."""
-    rows = with_base(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text")
-    ratio = mean_ratio("_slots", model.ratios)
-    found = tokenised(rows, "text").withColumn("ratio", ratio) \
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    rows = with_base(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text") \
+        .withColumn("_uid", F.monotonically_increasing_id())
+    table = docs.sparkSession.range(1).select(
+        F.posexplode(F.split(F.lit(model.ratios), ",").cast("array<double>")).alias("slot", "r"))
+    # a document's n-grams are all in one task, so only its sum is shuffled
+    found = ngrams(tokenised(rows, "text"), "_uid", "doc_id", *base).join(F.broadcast(table), "slot", "left") \
+        .groupBy("_uid", "doc_id").agg(F.coalesce(F.avg("r"), F.lit(0.0)).alias("ratio"),
+                                       *[F.max(c).alias(c) for c in base]) \
+        .withColumn("base_failed", base_fails()) \
         .withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= model.threshold)) \
-        .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                "ratio", "kept")
+        .select("doc_id", *base, "base_failed", "ratio", "kept")
     # written, as a filter on these columns would otherwise be evaluated below the arrays they are made of
     return materialise(found, "judged")

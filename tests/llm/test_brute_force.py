@@ -136,6 +136,23 @@ def test_tokens_are_runs_of_punctuation_or_of_other_characters(spark):
         assert list(r["_slots"]) == slots_by_hand(r["text"])
 
 
+def test_ngrams_are_hashed_in_compiled_stages(spark):
+    """Counting and scoring see the slots of every text, and no function of array elements, which Spark interprets, makes them."""
+    texts = [None, "", " \t", "...", "a", "a b", " a.b,,c  d! " * 50, "$$x\ty-z\x0b\x0c", "".join(f"q{c}" for c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"),
+             "«é»…ok(1)", "\u00a0a\u2003b.\x1c", "a", None]
+    rows = spark.createDataFrame([(i, i % 10, t) for i, t in enumerate(texts)], "_uid long, doc_id long, text string")
+    made = rules.ngrams(rules.tokenised(rows, "text"), "_uid", "doc_id")
+    got, want = {}, {}
+    for r in made.collect():
+        got.setdefault((r["_uid"], r["doc_id"]), []).append(r["slot"])
+    for i, t in enumerate(texts):
+        want[i, i % 10] = sorted(slots_by_hand(t)) or [None]
+    assert {k: sorted(v) if v != [None] else v for k, v in got.items()} == want
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and plan.count("Generate") == 2
+    assert not made._jdf.queryExecution().toString().count("Python")
+
+
 def shares_by_hand(words, cost, limit, rounds):
     """Expectation-maximisation and the penalised choice, in plain lists."""
     k, n = len(words[0]), len(words)
