@@ -63,7 +63,9 @@ def _digamma(x: np.ndarray) -> np.ndarray:
     return np.log(x) - 0.5 / x - y * (1 / 12 - y * (1 / 120 - y * (1 / 252 - y * (1 / 240 - y / 132)))) - shift
 
 
-_lgamma = np.vectorize(math.lgamma, otypes=[float])
+def _lgamma(x: np.ndarray) -> np.ndarray:
+    """Log gamma by element; np.vectorize, once called, keeps what cannot be sent to tasks."""
+    return np.fromiter(map(math.lgamma, x.flat), float, x.size).reshape(x.shape)
 
 
 def likelihood_bound(model: LDAModel, df: DataFrame) -> tuple[float, float]:

@@ -15,6 +15,8 @@ from bramble.functions import encode, text
 from bramble.learners import jobs
 from bramble.learners.indexing import TableIndexer, TableIndexerModel
 from bramble.operators import factors, likelihood, patterns, topics
+from bramble.plans import training
+from bramble.plans.registry import Tables
 
 
 def test_many_values_are_indexed_as_spark_does(spark, tmp_path):
@@ -181,3 +183,22 @@ def test_likelihood_bound_is_the_models_own(spark, monkeypatch):
         monkeypatch.setattr(LDAModel, name, None)
     likelihood, tokens = topics.likelihood_bound(model, rows)
     assert tokens == 57 and abs(likelihood / want[0] - 1) < 1e-4 and abs(-likelihood / tokens / want[1] - 1) < 1e-4
+
+
+def test_likelihood_bound_twice_in_one_process(spark):
+    from pyspark.ml.clustering import LDA
+    df = spark.createDataFrame([(0, ["a", "b", "b"]), (1, ["b", "c"])], "k int, words array<string>")
+    rows, _ = topics.hashed_counts(df, "words")
+    model = LDA(k=2, maxIter=2, seed=1, subsamplingRate=1.0).fit(rows)
+    assert topics.likelihood_bound(model, rows) == pytest.approx(topics.likelihood_bound(model, rows))
+
+
+def test_topic_model_learns_from_every_document(spark, tmp_path):
+    """Words of one document each all outweigh the slots that no word has."""
+    spark.createDataFrame([(i, f"own{i} " * 20) for i in range(40)], "doc_id bigint, text string") \
+        .write.parquet(str(tmp_path / "documents.parquet"))
+    model, _, docs, stage = training._topic_model(Tables(spark, str(tmp_path)))
+    slots = {r.term: r.slot for r in topics.slot_names(docs, "filtered", stage).collect()}
+    weights = model.topicsMatrix().toArray().sum(1)
+    unused = np.delete(weights, list(slots.values())).max()
+    assert len(slots) == 40 and min(weights[list(slots.values())]) > unused
