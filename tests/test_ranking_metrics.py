@@ -123,3 +123,20 @@ def test_top_scores_beside_one_huge_item(spark):
         got.setdefault(r.user, {})[r["rank"]] = r.item
     want = np.argsort(-(x @ y.T), axis=1, kind="stable")[:, :5]
     assert all([got[i][k] for k in range(1, 6)] == want[i].tolist() for i in range(40))
+
+
+def test_short_items_are_not_met(spark):
+    """Items lie in panels by norm, of which a user meets those in reach; equal norms and repeated vectors too."""
+    import numpy as np
+    from bramble.operators.ranking import _best_of_panel, top_scores
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=(50, 4)), rng.normal(size=(9000, 4))
+    y[4000:] /= np.sqrt((y[4000:] ** 2).sum(1))[:, None]
+    y[8990:] = y[0]
+    frame = lambda v: spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(v)], "id long, features array<double>")
+    got = {(r.user, r["rank"]): r.item for r in top_scores(frame(x), frame(y), 4, user_id="id", item_id="id").collect()}
+    score = x @ y.T
+    want = [sorted(range(len(y)), key=lambda j: (-round(score[i, j], 12), j))[:4] for i in range(50)]
+    assert [[got[i, k] for k in (1, 2, 3, 4)] for i in range(50)] == want
+    qi, bi, found = _best_of_panel(y, np.arange(len(y)), x, np.sort(score, 1)[:, -2], 4, None)
+    assert np.bincount(qi).tolist() == [2] * 50 and np.allclose(found, score[qi, bi])
