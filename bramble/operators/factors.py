@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,25 @@ from pyspark.sql import functions as F
 
 from bramble.functions.columns import as_array
 from bramble.operators.ranking import number_rows
-from bramble.session import materialise
+from bramble.session import ensure_checkpoint_dir, materialise
+
+
+#: ratings that one task of a factorisation holds and sorts
+BLOCK_RATINGS = 5_000_000
+
+
+def blocks(ratings: DataFrame) -> dict:
+    """Settings by which no task of ``ALS`` holds more than about ``BLOCK_RATINGS`` ratings; few ratings keep Spark's own.
+
+    The ratings are counted, so they should be written. More blocks send a factor to more tasks, so
+    what an iteration has shuffled is deleted once the factors after it are written.
+    """
+    number = math.ceil(ratings.count() / BLOCK_RATINGS)
+    if number <= 1:
+        return {}
+    ensure_checkpoint_dir(ratings.sparkSession)
+    least = ALS().getNumUserBlocks()
+    return dict(numUserBlocks=max(least, number), numItemBlocks=max(least, number), checkpointInterval=1)
 
 
 def dense_ids(df: DataFrame, column: str, out: str) -> DataFrame:
@@ -30,7 +49,8 @@ def factorise(ratings: DataFrame, *, user: str = "user", item: str = "item", rat
     """
     users, items = dense_ids(ratings, user, "_u"), dense_ids(ratings, item, "_i")
     rows = ratings.join(users, user).join(items, item).select("_u", "_i", F.col(rating).cast("float").alias("_r"))
-    model = ALS(userCol="_u", itemCol="_i", ratingCol="_r", **params).fit(materialise(rows, "ratings"))
+    rows = materialise(rows, "ratings")
+    model = ALS(userCol="_u", itemCol="_i", ratingCol="_r", **{**blocks(rows), **params}).fit(rows)
     return (model.userFactors.withColumnRenamed("id", "_u").join(users, "_u").select(user, "features"),
             model.itemFactors.withColumnRenamed("id", "_i").join(items, "_i").select(item, "features"))
 

@@ -202,3 +202,20 @@ def test_topic_model_learns_from_every_document(spark, tmp_path):
     weights = model.topicsMatrix().toArray().sum(1)
     unused = np.delete(weights, list(slots.values())).max()
     assert len(slots) == 40 and min(weights[list(slots.values())]) > unused
+
+
+def test_blocks_follow_the_number_of_ratings(spark, monkeypatch):
+    """No block has more than its share; few ratings keep the solver's own number."""
+    df = spark.range(600).select((F.col("id") % 30).cast("int").alias("user"), (F.col("id") % 20).cast("int").alias("item"),
+                                 (F.col("id") % 7).cast("float").alias("rating"))
+    assert factors.blocks(df) == {}
+    few = ALS(rank=2, maxIter=3, seed=1, itemCol="item", userCol="user", ratingCol="rating")
+    want = {r.id: r.features for r in few.fit(df).userFactors.collect()}
+    monkeypatch.setattr(factors, "BLOCK_RATINGS", 40)
+    settings = factors.blocks(df)
+    assert settings["numUserBlocks"] == settings["numItemBlocks"] == 15
+    model = few.copy().setParams(**settings).fit(df)
+    assert model.userFactors.count() == len(want) == 30
+    monkeypatch.setattr(factors, "BLOCK_RATINGS", 100)
+    more = few.copy().setParams(**factors.blocks(df)).fit(df)      # ten blocks, whose shuffles are deleted on the way
+    assert all(np.allclose(r.features, want[r.id], atol=1e-4) for r in more.userFactors.collect())
